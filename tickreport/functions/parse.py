@@ -26,7 +26,8 @@ FLOAT_PATTERN = (
 
 
 def _clean_number(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), "_", "")
+    # The cast itself trims blanks; only digit separators need removing.
+    return F.translate(c, "_", "")
 
 
 def parse_long(c: Column) -> Column:

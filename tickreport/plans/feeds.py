@@ -107,7 +107,13 @@ def csv_lines_from_events(events: DataFrame) -> DataFrame:
         .when(et == "error", F.concat_ws(",", d, F.lit("T"), sym, eid, tmin, eid, exch))
         .otherwise(F.concat_ws(",", d, F.lit("Q"), sym, tmin, F.lit("n/a"), exch, ks, ks, ks, ks))
     )
-    return events.select(line.alias("value"), F.struct(F.col("event_id").alias("pos")).alias("ingest_seq"))
+    return events.select(line.alias("value"), _feed_position())
+
+
+def _feed_position() -> Column:
+    """Place of a derived line in the feed (``read_lines`` gives files a
+    similar tag): the event id, unique, so later events win version ties."""
+    return F.struct(F.col("event_id").alias("pos")).alias("ingest_seq")
 
 
 def json_lines_from_events(events: DataFrame) -> DataFrame:
@@ -133,7 +139,7 @@ def json_lines_from_events(events: DataFrame) -> DataFrame:
         tmin.alias("event_time"), eid.alias("event_seq_num"), exch.alias("exchange")))
     line = (F.when(et == "purchase", trade).when(et == "view", quote).when(et == "click", unknown)
             .when(et == "error", broken).otherwise(partial))
-    return events.select(line.alias("value"), F.struct(F.col("event_id").alias("pos")).alias("ingest_seq"))
+    return events.select(line.alias("value"), _feed_position())
 
 
 def job_updates_from_orders(orders: DataFrame) -> DataFrame:

@@ -54,75 +54,116 @@ def read_lines(spark: SparkSession, path: str | list[str], options: dict | None
     )
 
 
-def _typed(rt: Column, raw_t: dict[str, Column], raw_q: dict[str, Column],
-           width_ok_t: Column, width_ok_q: Column) -> dict[str, Column]:
-    """Typed fields, the partition label and the reason for bad lines."""
-    is_t = rt == F.lit(TRADE)
-    is_q = rt == F.lit(QUOTE)
-
-    def pick(name: str, conv=None, t_default=None, q_default=None) -> Column:
-        def side(raw: dict, default):
-            if name in raw:
-                return conv(raw[name]) if conv else raw[name]
-            return default
-        return F.when(is_t, side(raw_t, t_default)).when(is_q, side(raw_q, q_default))
-
-    zero_d, zero_l = F.lit(0.0), F.lit(0).cast("bigint")
-    cols = {
-        "trade_dt": pick("trade_dt", parse_date),
-        "rec_type": F.when(is_t | is_q, rt),
-        "symbol": pick("symbol"),
-        "exchange": pick("exchange"),
-        "event_time": pick("event_time", parse_event_time),
-        "event_seq_num": pick("event_seq_num", parse_long),
-        "trade_price": pick("trade_price", parse_double, q_default=zero_d),
-        "trade_size": pick("trade_size", parse_long, q_default=zero_l),
-        "bid_price": pick("bid_price", parse_double, t_default=zero_d),
-        "bid_size": pick("bid_size", parse_long, t_default=zero_l),
-        "ask_price": pick("ask_price", parse_double, t_default=zero_d),
-        "ask_size": pick("ask_size", parse_long, t_default=zero_l),
-    }
-    all_typed = F.lit(True)
-    for c in cols.values():
-        all_typed = all_typed & c.isNotNull()
-    width_ok = F.when(is_t, width_ok_t).when(is_q, width_ok_q).otherwise(F.lit(False))
-    valid = (is_t | is_q) & width_ok & all_typed
-    cols["partition"] = F.when(valid, rt).otherwise(F.lit(BAD))
-    return cols, valid, is_t | is_q, width_ok
-
-
-def _assemble(df: DataFrame, cols: dict[str, Column], valid: Column, known: Column,
-              width_ok: Column, arrival_time: Column | None, keep_reason: bool) -> DataFrame:
-    arrival = arrival_time if arrival_time is not None else F.localtimestamp()
-    seq = F.col("ingest_seq") if "ingest_seq" in df.columns else F.struct(
+# Generic slots of a record: the text of each slot is picked by record type
+# first, so every slot is parsed once whatever the type.
+#   slot      trade field     quote field
+#   dt        trade_dt        trade_dt
+#   sym       symbol          symbol
+#   time      event_time      event_time
+#   seq       event_seq_num   event_seq_num
+#   exch      exchange        exchange
+#   p1, s1    trade price/size  bid price/size
+#   p2, s2    -               ask price/size
+_SLOT_T = {"dt": "trade_dt", "sym": "symbol", "time": "event_time", "seq": "event_seq_num",
+           "exch": "exchange", "p1": "trade_price", "s1": "trade_size"}
+_SLOT_Q = {"dt": "trade_dt", "sym": "symbol", "time": "event_time", "seq": "event_seq_num",
+           "exch": "exchange", "p1": "bid_price", "s1": "bid_size", "p2": "ask_price", "s2": "ask_size"}
+_SLOT_PARSE = {"dt": parse_date, "sym": None, "time": parse_event_time, "seq": parse_long,
+               "exch": None, "p1": parse_double, "s1": parse_long, "p2": parse_double, "s2": parse_long}
+
+
+def _pick(rt: Column, t: Column | None, q: Column | None) -> Column:
+    """Raw text of a slot for the line's record type (unknown types are
+    rejected by the verdict, so their slot text does not matter)."""
+    if q is None:
+        return F.when(rt == F.lit(TRADE), t)
+    if t is None:
+        return F.when(rt == F.lit(QUOTE), q)
+    if str(t) == str(q):
+        return t
+    return F.when(rt == F.lit(TRADE), t).otherwise(q)
+
+
+def _parse_records(df: DataFrame, rt: Column, raw_t: dict[str, Column], raw_q: dict[str, Column],
+                   complete_t: Column, complete_q: Column, arrival_time: Column | None,
+                   keep_reason: bool) -> DataFrame:
+    """Raw text per field (by record type) → typed common_event rows.
+
+    Built as a chain of projections that each compute an expression once;
+    Catalyst keeps them apart because the later ones reuse the earlier
+    results more than once.
+    """
+    seq_col = F.col("ingest_seq") if "ingest_seq" in df.columns else F.struct(
         F.monotonically_increasing_id().alias("pos"))
-    # Stage 1: typed fields and the verdict, computed once per line.
+    is_t, is_q = F.col("_rt") == F.lit(TRADE), F.col("_rt") == F.lit(QUOTE)
+    # 1. record type and raw slot text
+    raw = {}
+    for slot in _SLOT_PARSE:
+        t = raw_t.get(_SLOT_T.get(slot, ""))
+        q = raw_q.get(_SLOT_Q.get(slot, ""))
+        raw[slot] = (t, q)
     staged = df.select(
-        F.col("value").alias("_line"),
-        seq.alias("ingest_seq"),
-        valid.alias("_valid"),
-        *[c.alias(n) for n, c in cols.items()],
-        F.when(F.trim(F.col("value")) == "", F.lit(REASON_BLANK))
+        F.col("value").alias("_line"), seq_col.alias("ingest_seq"), rt.alias("_rt"),
+        complete_t.alias("_ct"), complete_q.alias("_cq"),
+        *[_pick(rt, t, q).alias(f"_raw_{slot}") for slot, (t, q) in raw.items()],
+    )
+    # 2. typed slots, each parsed once
+    typed = staged.select(
+        "_line", "ingest_seq", "_rt", "_ct", "_cq",
+        *[(conv(F.col(f"_raw_{s}")) if conv else F.col(f"_raw_{s}")).alias(f"_v_{s}")
+          for s, conv in _SLOT_PARSE.items()],
+    )
+    # 3. verdict: every slot is named once; ask slots are needed only by quotes
+    known = is_t | is_q
+    complete = F.when(is_t, F.col("_ct")).otherwise(F.col("_cq"))
+    common = [f"_v_{s}" for s in _SLOT_T]
+    quote_only = [f"_v_{s}" for s in _SLOT_Q if s not in _SLOT_T]
+    ok = known & complete
+    for c in common:
+        ok = ok & F.col(c).isNotNull()
+    q_ok = F.lit(True)
+    for c in quote_only:
+        q_ok = q_ok & F.col(c).isNotNull()
+    ok = ok & (is_t | q_ok)
+    judged = typed.select(
+        "*",
+        F.coalesce(ok, F.lit(False)).alias("_valid"),
+        F.when(F.trim(F.col("_line")) == "", F.lit(REASON_BLANK))
         .when(~known, F.lit(REASON_TYPE))
-        .when(~width_ok, F.lit(REASON_MISSING))
+        .when(~complete, F.lit(REASON_MISSING))
         .otherwise(F.lit(REASON_VALUE)).alias("_reason"),
     )
-    out = []
-    for f in COMMON_EVENT.fields:
-        n = f.name
-        if n == "partition":
-            c = F.col("partition")
-        elif n == "original_line":
-            c = F.when(F.col("_valid"), F.lit("")).otherwise(F.col("_line"))
-        elif n == "arrival_time":
-            c = F.when(F.col("_valid"), arrival.cast("timestamp_ntz"))
-        else:
-            c = F.when(F.col("_valid"), F.col(n))
-        out.append(c.cast(f.dataType).alias(n))
+    # 4. output in schema order; bad rows keep only partition and line
+    arrival = (arrival_time if arrival_time is not None else F.localtimestamp()).cast("timestamp_ntz")
+    v = F.col("_valid")
+    zero_d, zero_l = F.lit(0.0), F.lit(0).cast("bigint")
+    vt, vq = v & is_t, v & is_q
+    cols = {
+        "trade_dt": F.when(v, F.col("_v_dt")),
+        "rec_type": F.when(v, F.col("_rt")),
+        "symbol": F.when(v, F.col("_v_sym")),
+        "exchange": F.when(v, F.col("_v_exch")),
+        "event_time": F.when(v, F.col("_v_time")),
+        "event_seq_num": F.when(v, F.col("_v_seq")),
+        "arrival_time": F.when(v, arrival),
+        "trade_price": F.when(vt, F.col("_v_p1")).when(vq, zero_d),
+        "trade_size": F.when(vt, F.col("_v_s1")).when(vq, zero_l),
+        "bid_price": F.when(vq, F.col("_v_p1")).when(vt, zero_d),
+        "bid_size": F.when(vq, F.col("_v_s1")).when(vt, zero_l),
+        "ask_price": F.when(vq, F.col("_v_p2")).when(vt, zero_d),
+        "ask_size": F.when(vq, F.col("_v_s2")).when(vt, zero_l),
+        "partition": F.when(v, F.col("_rt")).otherwise(F.lit(BAD)),
+        "original_line": F.when(v, F.lit("")).otherwise(F.col("_line")),
+    }
+    out = [cols[f.name].cast(f.dataType).alias(f.name) for f in COMMON_EVENT.fields]
     out.append(F.col("ingest_seq"))
     if keep_reason:
-        out.append(F.when(~F.col("_valid"), F.col("_reason")).alias("bad_reason"))
-    return staged.select(*out)
+        out.append(F.when(~v, F.col("_reason")).alias("bad_reason"))
+    # The record leaves through a one-element generator: filters on its
+    # columns (partition = 'T', ...) stay above it instead of being pushed
+    # into the parser, which would then run twice per line (and overflow the
+    # generated code).
+    return judged.select(F.inline(F.array(F.struct(*out))))
 
 
 def parse_csv_lines(df: DataFrame, arrival_time: Column | None = None,
@@ -132,13 +173,13 @@ def parse_csv_lines(df: DataFrame, arrival_time: Column | None = None,
     Extra trailing fields are accepted; no quoting; blanks around numbers are
     accepted, blanks in text fields are kept.
     """
-    parts = F.split(F.col("value"), ",", -1)
+    split = df.select("*", F.split(F.col("value"), ",", -1).alias("_parts"))
+    parts = F.col("_parts")
     n = F.size(parts)
     raw_t = {k: field(parts, i) for k, i in CSV_TRADE_FIELDS.items()}
     raw_q = {k: field(parts, i) for k, i in CSV_QUOTE_FIELDS.items()}
-    cols, valid, known, width_ok = _typed(
-        field(parts, 1), raw_t, raw_q, n >= CSV_TRADE_WIDTH, n >= CSV_QUOTE_WIDTH)
-    return _assemble(df, cols, valid, known, width_ok, arrival_time, keep_reason)
+    return _parse_records(split, field(parts, 1), raw_t, raw_q,
+                          n >= CSV_TRADE_WIDTH, n >= CSV_QUOTE_WIDTH, arrival_time, keep_reason)
 
 
 def parse_json_lines(df: DataFrame, arrival_time: Column | None = None,
@@ -148,15 +189,12 @@ def parse_json_lines(df: DataFrame, arrival_time: Column | None = None,
     Every key is read as text and typed like a CSV field; malformed JSON or a
     missing key makes the line bad.
     """
-    rec = F.from_json(F.col("value"), JSON_LINE)
-    get = lambda k: rec.getField(k)
-    raw_t = {"trade_dt": get("trade_date"), "rec_type": get("record_type"), "symbol": get("symbol"),
-             "event_time": get("event_time"), "event_seq_num": get("event_seq_num"),
-             "exchange": get("exchange"), "trade_price": get("trade_price"),
-             "trade_size": get("trade_size")}
-    raw_q = {"trade_dt": get("trade_date"), "rec_type": get("record_type"), "symbol": get("symbol"),
-             "event_time": get("event_time"), "event_seq_num": get("event_seq_num"),
-             "exchange": get("exchange"), "bid_price": get("bid_price"), "bid_size": get("bid_size"),
+    rec_df = df.select("*", F.from_json(F.col("value"), JSON_LINE).alias("_rec"))
+    get = lambda k: F.col("_rec").getField(k)
+    common = {"trade_dt": get("trade_date"), "symbol": get("symbol"), "event_time": get("event_time"),
+              "event_seq_num": get("event_seq_num"), "exchange": get("exchange")}
+    raw_t = {**common, "trade_price": get("trade_price"), "trade_size": get("trade_size")}
+    raw_q = {**common, "bid_price": get("bid_price"), "bid_size": get("bid_size"),
              "ask_price": get("ask_price"), "ask_size": get("ask_size")}
     present_t = F.lit(True)
     for c in raw_t.values():
@@ -164,8 +202,8 @@ def parse_json_lines(df: DataFrame, arrival_time: Column | None = None,
     present_q = F.lit(True)
     for c in raw_q.values():
         present_q = present_q & c.isNotNull()
-    cols, valid, known, width_ok = _typed(get("record_type"), raw_t, raw_q, present_t, present_q)
-    return _assemble(df, cols, valid, known, width_ok, arrival_time, keep_reason)
+    return _parse_records(rec_df, get("record_type"), raw_t, raw_q, present_t, present_q,
+                          arrival_time, keep_reason)
 
 
 def ingest_csv(spark: SparkSession, path: str | list[str], arrival_time: Column | None = None,
