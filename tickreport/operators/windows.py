@@ -100,15 +100,12 @@ def moving_avg_rows(df: DataFrame, value: str = "trade_price", n: int = 3,
     halo = n - 1
     pos = F.col("_rank") - 1
     chunk = F.floor(pos / F.lit(c)).cast("bigint")
-    # Each row lives in its chunk; the last n-1 rows of a chunk are also sent
-    # to the next chunk, as halo, so every frame is complete inside one chunk.
-    targets = F.array(F.struct(chunk.alias("_chunk"), F.lit(False).alias("_halo")))
-    if halo > 0:
-        targets = F.when(
-            F.pmod(pos, F.lit(c)) >= F.lit(c - halo),
-            F.array_union(targets, F.array(F.struct((chunk + 1).alias("_chunk"), F.lit(True).alias("_halo")))),
-        ).otherwise(targets)
-    spread = ranked.withColumn("_t", F.explode(targets)).select("*", "_t._chunk", "_t._halo").drop("_t")
+    # Each row lives in its chunk and is also sent, as halo, to every later
+    # chunk whose frames reach back to it (those starting within n-1 rows
+    # after it), so every frame is complete inside one chunk.
+    last_chunk = F.floor((pos + F.lit(halo)) / F.lit(c)).cast("bigint")
+    spread = ranked.withColumn("_chunk", F.explode(F.sequence(chunk, last_chunk))).withColumn(
+        "_halo", F.col("_chunk") != chunk)
     w = _w([*partition, "_chunk"], ["_rank"]).rowsBetween(-halo, 0)
     res = spread.withColumn(out, F.avg(value).over(w)).where(~F.col("_halo"))
     return res.drop("_chunk", "_halo", "_rank")

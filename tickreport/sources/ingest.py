@@ -95,7 +95,9 @@ def _parse_records(df: DataFrame, rt: Column, raw_t: dict[str, Column], raw_q: d
     """
     seq_col = F.col("ingest_seq") if "ingest_seq" in df.columns else F.struct(
         F.monotonically_increasing_id().alias("pos"))
-    is_t, is_q = F.col("_rt") == F.lit(TRADE), F.col("_rt") == F.lit(QUOTE)
+    # Null-safe: a line without a type field has _rt = NULL.
+    is_t = F.coalesce(F.col("_rt") == F.lit(TRADE), F.lit(False))
+    is_q = F.coalesce(F.col("_rt") == F.lit(QUOTE), F.lit(False))
     # 1. record type and raw slot text
     raw = {}
     for slot in _SLOT_PARSE:
