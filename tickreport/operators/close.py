@@ -24,17 +24,24 @@ def day_last(df: DataFrame, values: Sequence[str], outs: Sequence[str] | None =
 
 
 def close_price(trades_with_avg: DataFrame, avg_col: str = "avg_trade_price",
-                per_exchange: bool = True) -> DataFrame:
+                per_exchange: bool = True, venues: DataFrame | None = None) -> DataFrame:
     """Closing price of each symbol and day = its last moving average.
 
     The close is a property of the symbol; with ``per_exchange`` it is listed
     once for every exchange the symbol traded on that day (the key the report
-    joins on).
+    joins on).  ``venues`` (trade_dt, symbol, exchange) may be passed from the
+    raw trades so the list does not depend on the window computation.
     """
     close = day_last(trades_with_avg, [avg_col], ["close_price"])
     if not per_exchange:
         return close
-    venues = trades_with_avg.select("trade_dt", "symbol", "exchange").distinct()
+    return close_per_venue(close, venues if venues is not None else trades_with_avg)
+
+
+def close_per_venue(close: DataFrame, trades: DataFrame) -> DataFrame:
+    """Replicate a per-symbol close (trade_dt, symbol, close_price) to every
+    exchange the symbol traded on that day."""
+    venues = trades.select("trade_dt", "symbol", "exchange").distinct()
     return venues.join(close, ["trade_dt", "symbol"]).select("trade_dt", "symbol", "exchange", "close_price")
 
 

@@ -144,6 +144,22 @@ def moving_avg_range(df: DataFrame, value: str = "trade_price", minutes: int = 3
     return res.drop("_b", "_halo")
 
 
+def range_avg_at_series_end(df: DataFrame, value: str = "trade_price", minutes: int = 30,
+                            out: str = "avg_trade_price", partition: Sequence[str] = SERIES_KEY,
+                            time_col: str = "event_time") -> DataFrame:
+    """W2 evaluated at the last row of each series, without a window.
+
+    The last row's RANGE frame is every row within ``minutes`` of the series'
+    latest time (its peers included), so: latest time per series (partial
+    aggregate), join back, keep rows inside the frame, average (partial
+    aggregate).  No task ever holds a whole series.
+    """
+    end = df.groupBy(*partition).agg(F.max(time_col).alias("_end"))
+    inside = df.join(end, list(partition)).where(
+        F.col(time_col) >= F.col("_end") - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    return inside.groupBy(*partition).agg(F.avg(value).alias(out))
+
+
 # --------------------------------------------------------------------------
 # Last value of the whole series, on every row.
 # --------------------------------------------------------------------------

@@ -22,9 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.close import close_price, day_last, shift_to_next_day
-from ..operators.joins import asof_join, attach_prev_close, broadcast_if_small, quote_last_trade
-from ..operators.windows import DEFAULT_SPLIT, Split, moving_avg_range, moving_avg_rows
+from ..operators.close import day_last
+from ..operators.joins import asof_join, broadcast_if_small
+from ..operators.windows import (DEFAULT_SPLIT, Split, moving_avg_range, moving_avg_rows,
+                                 range_avg_at_series_end)
 from ..schema import REPORT_COLUMNS
 
 TRADE_FIELDS = ["trade_dt", "symbol", "exchange", "event_time", "event_seq_num", "trade_price"]
@@ -60,14 +61,61 @@ def _movement(df: DataFrame) -> DataFrame:
     )
 
 
-def _prev_close(trades_avg: DataFrame, quotes: DataFrame, prev_trading_day: bool,
-                broadcast_close_rows: int | None) -> DataFrame:
-    close = close_price(trades_avg)
+def _next_day_col(df: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
+    """Adds ``_next``: the day a row's values serve as *previous* day for.
+    Calendar: trade_dt + 1.  Trading days: the next date present in ``days``
+    (a one-row-per-date table, tiny whatever the data size)."""
+    if not prev_trading_day:
+        return df.withColumn("_next", F.date_add(F.col("trade_dt"), 1))
+    from pyspark.sql import Window
+    all_days = days.select("trade_dt").union(df.select("trade_dt")).distinct()
+    nxt = all_days.select("trade_dt", F.lead("trade_dt").over(Window.orderBy("trade_dt")).alias("_next"))
+    return df.join(nxt, "trade_dt")
+
+
+def _today_and_prev(last: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
+    """One row per (trade_dt, symbol) with that day's last values and the
+    previous day's close, from a single pass over the day-last table.
+
+    Each day-last row is emitted twice - as "today" under its own date and as
+    "previous close" under the next date - and folded back per key, so the
+    (expensive) window + aggregate that produced ``last`` has one consumer.
+    """
+    vals = [c for c in last.columns if c not in ("trade_dt", "symbol")]
+    tagged = _next_day_col(last, prev_trading_day, days)
+    both = tagged.select(F.inline(F.array(
+        F.struct(F.col("trade_dt").alias("_d"), "symbol", F.lit(True).alias("_cur"), *vals),
+        F.struct(F.col("_next").alias("_d"), "symbol", F.lit(False).alias("_cur"), *vals),
+    ))).where(F.col("_d").isNotNull())
+    cur = F.col("_cur")
+    return both.groupBy(F.col("_d").alias("trade_dt"), "symbol").agg(
+        *[F.max(F.when(cur, F.col(v))).alias(v) for v in vals if v != "last_avg_trade_price"],
+        F.max(F.when(cur, F.col("last_avg_trade_price"))).alias("last_avg_trade_price"),
+        F.max(F.when(~cur, F.col("last_avg_trade_price"))).alias("close_price"),
+        F.max(cur.cast("int")).alias("_has_cur"),
+        F.max((~cur).cast("int")).alias("_has_prev"),
+    )
+
+
+def _prev_venues(trades: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
+    """(trade_dt, symbol, exchange) of venues that traded on the previous day."""
+    venues = trades.select("trade_dt", "symbol", "exchange").distinct()
+    return _next_day_col(venues, prev_trading_day, days).select(
+        F.col("_next").alias("trade_dt"), "symbol", "exchange").where(F.col("trade_dt").isNotNull())
+
+
+def _assemble(quotes: DataFrame, last: DataFrame, trades: DataFrame, prev_trading_day: bool,
+              need_today: bool, broadcast_close_rows: int | None) -> DataFrame:
     days = quotes.select("trade_dt").distinct() if prev_trading_day else None
-    prev = shift_to_next_day(close, prev_trading_day, days)
+    per_day = _today_and_prev(last, prev_trading_day, days).where(F.col("_has_prev") == 1)
+    if need_today:
+        per_day = per_day.where(F.col("_has_cur") == 1)
+    per_day = per_day.drop("_has_cur", "_has_prev")
+    venues = _prev_venues(trades, prev_trading_day, days)
     if broadcast_close_rows:
-        prev = broadcast_if_small(prev, broadcast_close_rows)
-    return prev
+        per_day = broadcast_if_small(per_day, broadcast_close_rows)
+    # Quotes on an exchange without a previous-day trade have no close: inner.
+    return quotes.join(per_day, ["trade_dt", "symbol"]).join(venues, ["trade_dt", "symbol", "exchange"])
 
 
 def quote_report(trades: DataFrame, quotes: DataFrame, dates: Sequence | None = None,
@@ -78,9 +126,7 @@ def quote_report(trades: DataFrame, quotes: DataFrame, dates: Sequence | None =
     trades_avg = moving_avg_rows(trades, "trade_price", rows, "avg_trade_price", split=split)
     last = day_last(trades_avg, ["trade_price", "avg_trade_price"],
                     ["last_trade_price", "last_avg_trade_price"])
-    with_last = quote_last_trade(quotes, last)
-    prev = _prev_close(trades_avg, quotes, prev_trading_day, broadcast_close_rows)
-    return _movement(attach_prev_close(with_last, prev))
+    return _movement(_assemble(quotes, last, trades, prev_trading_day, True, broadcast_close_rows))
 
 
 def quote_report_asof(trades: DataFrame, quotes: DataFrame, dates: Sequence | None = None,
@@ -91,10 +137,18 @@ def quote_report_asof(trades: DataFrame, quotes: DataFrame, dates: Sequence | No
                                dates, prev_trading_day)
     trades_avg = moving_avg_range(trades, "trade_price", minutes, "avg_trade_price", split=split)
     with_last = asof_join(quotes, trades_avg, ["trade_price", "avg_trade_price"],
-                          outs=["last_trade_price", "last_avg_trade_price"],
-                          inclusive=inclusive, split=split)
-    prev = _prev_close(trades_avg, quotes, prev_trading_day, broadcast_close_rows)
-    return _movement(attach_prev_close(with_last, prev))
+                          outs=["last_trade_price", "last_avg_trade_price"], inclusive=inclusive, split=split)
+    # The close (last 30-minute average of the day) straight from the trades,
+    # so the windowed table above has a single consumer.
+    last = range_avg_at_series_end(trades, "trade_price", minutes, "close_price")
+    days = quotes.select("trade_dt").distinct() if prev_trading_day else None
+    close = _next_day_col(last, prev_trading_day, days).select(
+        F.col("_next").alias("trade_dt"), "symbol", "close_price").where(F.col("trade_dt").isNotNull())
+    if broadcast_close_rows:
+        close = broadcast_if_small(close, broadcast_close_rows)
+    venues = _prev_venues(trades, prev_trading_day, days)
+    out = with_last.join(close, ["trade_dt", "symbol"]).join(venues, ["trade_dt", "symbol", "exchange"])
+    return _movement(out)
 
 
 def report_preview(report: DataFrame, n: int = 20) -> DataFrame:
