@@ -21,7 +21,7 @@ from ..operators import joins as JN
 from ..operators import setops as S
 from ..operators import windows as W
 from ..schema import COMMON_EVENT_COLUMNS, QUOTE_COLUMNS, REPORT_COLUMNS, TRADE_COLUMNS
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import ingest as I
 from ..sources import store as ST
 from ..functions.parse import event_text
@@ -205,7 +205,8 @@ def q_report_preview(spark, d):
 def _asof(spark, d, avg: bool, inclusive: bool):
     t = _trades(spark, d).select(*R.TRADE_FIELDS)
     if avg:
-        t = W.moving_avg_range(t, "trade_price", 30, "avg_trade_price")
+        # The window output feeds both halves of the split as-of: write once.
+        t = materialize(W.moving_avg_range(t, "trade_price", 30, "avg_trade_price"))
         vals, outs = ["avg_trade_price"], ["last_avg_trade_price"]
     else:
         vals, outs = ["trade_price"], ["last_trade_price"]

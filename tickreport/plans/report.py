@@ -27,6 +27,7 @@ from ..operators.joins import asof_join, broadcast_if_small
 from ..operators.windows import (DEFAULT_SPLIT, Split, moving_avg_range, moving_avg_rows,
                                  range_avg_at_series_end)
 from ..schema import REPORT_COLUMNS
+from ..session import materialize
 
 TRADE_FIELDS = ["trade_dt", "symbol", "exchange", "event_time", "event_seq_num", "trade_price"]
 QUOTE_FIELDS = ["trade_dt", "symbol", "event_time", "event_seq_num", "exchange",
@@ -131,11 +132,16 @@ def quote_report(trades: DataFrame, quotes: DataFrame, dates: Sequence | None =
 
 def quote_report_asof(trades: DataFrame, quotes: DataFrame, dates: Sequence | None = None,
                       minutes: int = 30, inclusive: bool = True, split: Split | None = DEFAULT_SPLIT,
-                      prev_trading_day: bool = False, broadcast_close_rows: int | None = None
-                      ) -> DataFrame:
+                      prev_trading_day: bool = False, broadcast_close_rows: int | None = None,
+                      checkpoint: bool = True) -> DataFrame:
+    """``checkpoint``: write the windowed trades once (shared checkpoint
+    folder); the split as-of join reads its right side twice (bucket fill and
+    bucket table), which would otherwise recompute the window."""
     trades, quotes = _restrict(trades.select(*TRADE_FIELDS), quotes.select(*QUOTE_FIELDS),
                                dates, prev_trading_day)
     trades_avg = moving_avg_range(trades, "trade_price", minutes, "avg_trade_price", split=split)
+    if checkpoint and split is not None:
+        trades_avg = materialize(trades_avg)
     with_last = asof_join(quotes, trades_avg, ["trade_price", "avg_trade_price"],
                           outs=["last_trade_price", "last_avg_trade_price"], inclusive=inclusive, split=split)
     # The close (last 30-minute average of the day) straight from the trades,

@@ -57,3 +57,11 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df):
+    """Write an expensive intermediate once to the shared checkpoint folder and
+    read it back (lineage cut, survives executor loss).  Used where one
+    windowed table feeds two branches of a plan."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
