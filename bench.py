@@ -34,14 +34,19 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 1) * 2,
                           app_name="tickreport-bench", extra={"spark.driver.memory": "16g"})
-    # Warm the JVM and the parquet reader once (not timed).
-    QUERIES["distinct_dates"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # Warm the JVM, the parquet reader and the generated-code cache with the
+    # same query shapes on the smallest tables (not timed).
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
+    for name in HEADLINE:
+        QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times, rows = {}, {}
     for name in HEADLINE:
-        df = QUERIES[name](spark, sf_dir)
+        # Build + run: some plans materialise an intermediate while building.
         t0 = time.perf_counter()
-        df.write.format("noop").mode("overwrite").save()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         rows[name] = QUERIES[name](spark, sf_dir).count()

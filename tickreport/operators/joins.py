@@ -19,18 +19,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SERIES_KEY
+from ..session import materialize
 from .windows import DEFAULT_SPLIT, Split, forward_fill
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only behind a checked size bound.
 
-    Counts the (already reduced) table once; above ``max_rows`` the frame is
-    returned unchanged and the join stays a shuffle join, where AQE may still
+    The (already reduced) table is written once to the shared checkpoint
+    folder and counted there, so checking its size does not compute it twice.
+    Above ``max_rows`` the join stays a shuffle join, where AQE may still
     broadcast it at run time or split skewed partitions.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = materialize(df)
+    return F.broadcast(small) if small.count() <= max_rows else small
 
 
 def quote_last_trade(quotes: DataFrame, day_last_trades: DataFrame) -> DataFrame:
