@@ -141,3 +141,25 @@ def test_split_windows_match_plain_on_hot_symbol(spark, split):
         plain = {r["event_seq_num"]: round(r["avg_trade_price"], 9) for r in fn(df, split=None, **kw).collect()}
         got = {r["event_seq_num"]: round(r["avg_trade_price"], 9) for r in fn(df, split=split, **kw).collect()}
         assert got == plain, (fn.__name__, kw)
+
+
+@pytest.mark.parametrize("split", SPLITS)
+@pytest.mark.parametrize("n", [1, 3, 5])
+def test_series_end_averages_match_full_windows(spark, split, n):
+    import random
+    from tickreport.operators.windows import range_avg_at_series_end, rows_avg_at_series_end
+    rnd = random.Random(5 + n)
+    rows = []
+    for i in range(500):
+        sym = "HOT" if rnd.random() < 0.7 else f"S{rnd.randint(0, 3)}"
+        t = dt.datetime(2021, 1, 1 + rnd.randint(0, 1), 9) + dt.timedelta(minutes=rnd.randint(0, 240))
+        rows.append((t.date(), sym, f"X{rnd.randint(0, 2)}", t, i, float(rnd.randint(1, 1000))))
+    df = spark.createDataFrame(rows, "trade_dt date, symbol string, exchange string, "
+                                     "event_time timestamp_ntz, event_seq_num bigint, trade_price double")
+    key = lambda r: (str(r["trade_dt"]), r["symbol"])
+    want = {key(r): round(r["a"], 9) for r in day_last(moving_avg_rows(df, n=n, split=None), ["avg_trade_price"], ["a"]).collect()}
+    got = {key(r): round(r["a"], 9) for r in rows_avg_at_series_end(df, n=n, out="a", split=split).collect()}
+    assert got == want
+    want30 = {key(r): round(r["a"], 9) for r in day_last(moving_avg_range(df, split=None), ["avg_trade_price"], ["a"]).collect()}
+    got30 = {key(r): round(r["a"], 9) for r in range_avg_at_series_end(df, out="a").collect()}
+    assert got30 == want30

@@ -45,6 +45,17 @@ def close_per_venue(close: DataFrame, trades: DataFrame) -> DataFrame:
     return venues.join(close, ["trade_dt", "symbol"]).select("trade_dt", "symbol", "exchange", "close_price")
 
 
+def day_close(trades: DataFrame, rows: int = 3, split=None) -> DataFrame:
+    """Per (trade_dt, symbol): the last trade price and the last ``rows``-row
+    moving average (the value W1 has on the day's last trade), both from
+    partial aggregates over the series' tail - no window over every trade."""
+    from .windows import DEFAULT_SPLIT, rows_avg_at_series_end
+    last_price = day_last(trades, ["trade_price"], ["last_trade_price"])
+    last_avg = rows_avg_at_series_end(trades, "trade_price", rows, "last_avg_trade_price",
+                                      split=split if split is not None else DEFAULT_SPLIT)
+    return last_price.join(last_avg, ["trade_dt", "symbol"])
+
+
 def shift_to_next_day(close: DataFrame, prev_trading_day: bool = False,
                       days: DataFrame | None = None) -> DataFrame:
     """Re-key a close table to the day it is the *previous* close for.

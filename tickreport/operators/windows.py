@@ -144,6 +144,30 @@ def moving_avg_range(df: DataFrame, value: str = "trade_price", minutes: int = 3
     return res.drop("_b", "_halo")
 
 
+def rows_avg_at_series_end(df: DataFrame, value: str = "trade_price", n: int = 3,
+                           out: str = "avg_trade_price", partition: Sequence[str] = SERIES_KEY,
+                           order: Sequence[str] = SERIES_ORDER, time_col: str = "event_time",
+                           split: Split | None = DEFAULT_SPLIT) -> DataFrame:
+    """W1 evaluated at the last row of each series: the average of its last
+    ``n`` rows, without ranking the whole series.
+
+    Per-bucket row counts (a partial aggregate, one row per series and bucket)
+    show which tail buckets hold the last ``n`` rows; only those rows are
+    ranked.  A task holds at most the tail bucket(s) of one series.
+    """
+    bucket_minutes = split.bucket_minutes if split is not None else 24 * 60
+    with_b = df.withColumn("_b", time_bucket(F.col(time_col), bucket_minutes))
+    counts = with_b.groupBy(*partition, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    later = F.sum("_n").over(Window.partitionBy(*partition).orderBy(F.col("_b").desc())
+                             .rowsBetween(Window.unboundedPreceding, -1))
+    tail = counts.select(*partition, "_b", F.coalesce(later, F.lit(0)).alias("_later")).where(
+        F.col("_later") < n).select(*partition, "_b")
+    rows = with_b.join(tail, [*partition, "_b"], "left_semi")
+    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*[F.col(o).desc() for o in order]))
+    last_n = rows.withColumn("_rk", rank).where(F.col("_rk") <= n)
+    return last_n.groupBy(*partition).agg(F.avg(value).alias(out))
+
+
 def range_avg_at_series_end(df: DataFrame, value: str = "trade_price", minutes: int = 30,
                             out: str = "avg_trade_price", partition: Sequence[str] = SERIES_KEY,
                             time_col: str = "event_time") -> DataFrame:

@@ -154,27 +154,29 @@ def q_last_value_per_trade(spark, d):
 
 
 def q_day_last_trade(spark, d):
-    last = CL.day_last(_with_avg(_trades(spark, d)), ["trade_price", "avg_trade_price"],
-                       ["last_trade_price", "last_avg_trade_price"])
+    last = CL.day_close(_trades(spark, d).select(*R.TRADE_FIELDS))
     return last.select("trade_dt", "symbol", "last_trade_price", _r("last_avg_trade_price"))
 
 
+def _close(spark, d):
+    t = _trades(spark, d).select(*R.TRADE_FIELDS)
+    close = CL.day_close(t).select("trade_dt", "symbol", F.col("last_avg_trade_price").alias("close_price"))
+    return CL.close_per_venue(close, t)
+
+
 def q_close_price(spark, d):
-    c = CL.close_price(_with_avg(_trades(spark, d)))
-    return c.select("trade_dt", "symbol", "exchange", _r("close_price"))
+    return _close(spark, d).select("trade_dt", "symbol", "exchange", _r("close_price"))
 
 
 def q_quote_last_trade(spark, d):
-    t = _with_avg(_trades(spark, d))
-    last = CL.day_last(t, ["trade_price", "avg_trade_price"], ["last_trade_price", "last_avg_trade_price"])
+    last = CL.day_close(_trades(spark, d).select(*R.TRADE_FIELDS))
     j = JN.quote_last_trade(_quotes(spark, d).select(*R.QUOTE_FIELDS), last)
     return j.select("trade_dt", F.lit("Q").alias("rec_type"), *R.QUOTE_FIELDS[1:],
                     "last_trade_price", _r("last_avg_trade_price"))
 
 
 def _prev_close_query(spark, d, broadcast_rows=None):
-    t = _with_avg(_trades(spark, d))
-    prev = CL.shift_to_next_day(CL.close_price(t))
+    prev = CL.shift_to_next_day(_close(spark, d))
     if broadcast_rows:
         prev = JN.broadcast_if_small(prev, broadcast_rows)
     j = JN.attach_prev_close(_quotes(spark, d).select(*R.QUOTE_FIELDS), prev)

@@ -22,10 +22,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.close import day_last
+from ..operators.close import day_close
 from ..operators.joins import asof_join, broadcast_if_small
-from ..operators.windows import (DEFAULT_SPLIT, Split, moving_avg_range, moving_avg_rows,
-                                 range_avg_at_series_end)
+from ..operators.windows import DEFAULT_SPLIT, Split, moving_avg_range, range_avg_at_series_end
 from ..schema import REPORT_COLUMNS
 from ..session import materialize
 
@@ -124,9 +123,9 @@ def quote_report(trades: DataFrame, quotes: DataFrame, dates: Sequence | None =
                  broadcast_close_rows: int | None = None) -> DataFrame:
     trades, quotes = _restrict(trades.select(*TRADE_FIELDS), quotes.select(*QUOTE_FIELDS),
                                dates, prev_trading_day)
-    trades_avg = moving_avg_rows(trades, "trade_price", rows, "avg_trade_price", split=split)
-    last = day_last(trades_avg, ["trade_price", "avg_trade_price"],
-                    ["last_trade_price", "last_avg_trade_price"])
+    # Only the last row's moving average of each day is reported, so it is
+    # computed from each series' tail instead of windowing every trade.
+    last = day_close(trades, rows, split)
     return _movement(_assemble(quotes, last, trades, prev_trading_day, True, broadcast_close_rows))
 
 
