@@ -43,9 +43,11 @@ def parse_date(c: Column) -> Column:
 
 
 def parse_event_time(c: Column) -> Column:
-    # try_to_timestamp yields a zoned timestamp read in the session zone; the
-    # cast back to timestamp_ntz in the same zone restores the wall clock.
-    return F.try_to_timestamp(c, F.lit(EVENT_TIME_FORMAT)).cast("timestamp_ntz")
+    # try_to_timestamp decides validity without raising; the wall-clock value
+    # is then read as timestamp_ntz, so no session time zone (or daylight
+    # saving gap) can shift it.
+    fmt = F.lit(EVENT_TIME_FORMAT)
+    return F.when(F.try_to_timestamp(c, fmt).isNotNull(), F.to_timestamp_ntz(c, fmt))
 
 
 def field(parts: Column, i: int) -> Column:
