@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 import pytest
 
 from conftest import SAMPLE
@@ -146,3 +147,17 @@ def test_union_documented(spark):
     assert [(r["rec_type"], r["event_seq_num"], r["bid_price"], round(r["mov_avg_pr"], 4)) for r in u[1:]] == [
         ("T", None, None, 24.12), ("T", None, None, 22.665)]
     assert [r["exchange"] for r in exchange_overlap(trades, quotes).collect()] == ["Exchange1"]
+
+
+def test_report_asof_previous_trading_day(sample):
+    trades, quotes = sample
+    plain = quote_report_asof(trades, quotes, split=Split(bucket_minutes=1)).count()
+    trading = quote_report_asof(trades, quotes, split=Split(bucket_minutes=1), prev_trading_day=True).count()
+    assert plain == trading == 7
+    # A gap day: move day 2 two days later; calendar close is missing, trading-day close is not.
+    shift = lambda df: df.withColumn("trade_dt", F.when(F.col("trade_dt") == F.lit("2021-01-02").cast("date"),
+                                                        F.lit("2021-01-04").cast("date")).otherwise(F.col("trade_dt")))
+    t2, q2 = shift(trades), shift(quotes)
+    assert quote_report(t2, q2).count() == 0
+    assert quote_report(t2, q2, prev_trading_day=True).count() == 7
+    assert quote_report_asof(t2, q2, prev_trading_day=True).count() == 7
