@@ -8,7 +8,7 @@
 * ``asof_join`` (J3): for every left row, the latest right row of the same
   series at or before (or strictly before) its time.  Built as union + forward
   fill, split into time buckets so a hot symbol never sits in one task.
-* ``same_time_join`` (J5): equality on (trade_dt, symbol, event_time).
+* ``same_time_join`` (J5): quotes with a same-time trade (semi join, no pairs).
 """
 
 from __future__ import annotations
@@ -87,10 +87,12 @@ def asof_join(left: DataFrame, right: DataFrame, values: Sequence[str],
 
 
 def same_time_join(quotes: DataFrame, trades: DataFrame) -> DataFrame:
-    """Quotes with the trades of the same symbol at the same event_time."""
-    t = trades.select(
-        "trade_dt", "symbol", "event_time",
-        F.col("exchange").alias("trade_exchange"),
-        F.col("event_seq_num").alias("trade_seq_num"),
-        "trade_price", "trade_size")
-    return quotes.join(t, ["trade_dt", "symbol", "event_time"])
+    """Quotes that have a trade of the same symbol at the same event_time.
+
+    The equality variant of the day-last join is followed by DISTINCT over the
+    quote's columns, which collapses the (quote, trade) pairs; a left semi
+    join against the distinct trade times gives the same rows without ever
+    forming the pairs (a busy minute would otherwise fan out M x N).
+    """
+    times = trades.select("trade_dt", "symbol", "event_time").distinct()
+    return quotes.join(times, ["trade_dt", "symbol", "event_time"], "left_semi")

@@ -230,9 +230,10 @@ def q_quote_asof_strict(spark, d):
 
 def q_quote_trade_same_time(spark, d):
     ev = _csv_events(spark, d)
-    q = C.select_quotes(ev).select(*R.QUOTE_FIELDS)
-    t = C.select_trades(ev)
-    return JN.same_time_join(q, t)
+    trades = C.select_trades(ev).select(*R.TRADE_FIELDS)
+    quotes = JN.same_time_join(C.select_quotes(ev).select(*R.QUOTE_FIELDS), trades)
+    j = JN.quote_last_trade(quotes, CL.day_close(trades))
+    return j.select(*R.QUOTE_FIELDS, "last_trade_price", _r("last_avg_trade_price"))
 
 
 def q_quote_union(spark, d):
@@ -531,11 +532,13 @@ ORDER BY trade_dt, symbol, event_time, event_seq_num, exchange LIMIT {PREVIEW_RO
                                 ["last_avg_trade_price"], ">="),
     "quote_asof_strict": _asof_sql(_TRADES.replace("value AS trade_price", "value AS trade_price, value AS last_trade_price"),
                                    ["last_trade_price"], ">"),
-    "quote_trade_same_time": f"""SELECT q.trade_dt, q.symbol, q.event_time, q.event_seq_num, q.exchange,
-  q.bid_price, q.bid_size, q.ask_price, q.ask_size,
-  t.exchange AS trade_exchange, t.event_seq_num AS trade_seq_num, t.trade_price, t.trade_size
-FROM ({_QUOTE_SELECT}) q JOIN ({_TRADE_SELECT}) t
-  ON q.trade_dt = t.trade_dt AND q.symbol = t.symbol AND q.event_time = t.event_time""",
+    "quote_trade_same_time": f"""SELECT DISTINCT q.trade_dt, q.symbol, q.event_time, q.event_seq_num,
+  q.exchange, q.bid_price, q.bid_size, q.ask_price, q.ask_size,
+  l.last_trade_price, round(l.last_avg_trade_price, 6) AS last_avg_trade_price
+FROM ({_QUOTE_SELECT}) q
+JOIN ({_TRADE_SELECT}) t ON q.trade_dt = t.trade_dt AND q.symbol = t.symbol AND q.event_time = t.event_time
+JOIN {_LAST.format(ma=_MA.format(trades=f"({_TRADE_SELECT})"))} l
+  ON q.trade_dt = l.trade_dt AND q.symbol = l.symbol""",
     "quote_union": f"""SELECT trade_dt, 'T' AS rec_type, symbol, event_time, CAST(NULL AS BIGINT) AS event_seq_num,
   exchange, CAST(NULL AS DOUBLE) AS bid_price, CAST(NULL AS BIGINT) AS bid_size,
   CAST(NULL AS DOUBLE) AS ask_price, CAST(NULL AS BIGINT) AS ask_size, trade_price,
