@@ -63,9 +63,17 @@ def _with_avg(trades: DataFrame) -> DataFrame:
     return W.moving_avg_rows(trades.select(*R.TRADE_FIELDS), "trade_price", 3, "avg_trade_price")
 
 
+def _r0(c: str | Column, name: str | None = None) -> Column:
+    """Rounded difference with the sign of zero normalised (-0.0 + 0.0 =
+    +0.0): two engines may land on either side of zero for a difference of
+    equal prices."""
+    col = F.col(c) if isinstance(c, str) else c
+    return (F.round(col, 6) + F.lit(0.0)).alias(name or (c if isinstance(c, str) else None))
+
+
 def _round_report(df: DataFrame) -> DataFrame:
-    rounded = {"last_avg_trade_price", "bid_pr_mv", "ask_pr_mv"}
-    return df.select(*[_r(c) if c in rounded else F.col(c) for c in REPORT_COLUMNS])
+    return df.select(*[_r(c) if c == "last_avg_trade_price" else _r0(c) if c in ("bid_pr_mv", "ask_pr_mv")
+                       else F.col(c) for c in REPORT_COLUMNS])
 
 
 # ---------------------------------------------------------------- queries ---
@@ -105,7 +113,7 @@ def q_event_text(spark, d):
 def q_quote_spread(spark, d):
     q = _quotes(spark, d)
     return q.select("trade_dt", "symbol", "exchange", "event_time", "event_seq_num",
-                    _r(q["ask_price"] - q["bid_price"], "spread"))
+                    _r0(q["ask_price"] - q["bid_price"], "spread"))
 
 
 def q_distinct_dates(spark, d):
@@ -390,8 +398,8 @@ _CLOSE = """(SELECT DISTINCT m.trade_dt, m.symbol, m.exchange, l.last_avg_trade_
 REPORT_SQL_BODY = """SELECT q.trade_dt, q.symbol, q.event_time, q.event_seq_num, q.exchange,
   q.bid_price, q.bid_size, q.ask_price, q.ask_size,
   l.last_trade_price, round(l.last_avg_trade_price, 6) AS last_avg_trade_price,
-  round(q.bid_price - c.close_price, 6) AS bid_pr_mv,
-  round(q.ask_price - c.close_price, 6) AS ask_pr_mv
+  round(q.bid_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS bid_pr_mv,
+  round(q.ask_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS ask_pr_mv
 FROM {quotes} q
 JOIN {last} l ON q.trade_dt = l.trade_dt AND q.symbol = l.symbol
 JOIN {close} c ON c.trade_dt + 1 = q.trade_dt AND c.symbol = q.symbol AND c.exchange = q.exchange"""
@@ -426,8 +434,8 @@ _CLOSE30_T = _CLOSE.format(ma=_MA30_T, last=_LAST30_T)
 _ASOF_REPORT = f"""SELECT a.trade_dt, a.symbol, a.event_time, a.event_seq_num, a.exchange,
   a.bid_price, a.bid_size, a.ask_price, a.ask_size,
   a.last_trade_price, round(a.last_avg_trade_price, 6) AS last_avg_trade_price,
-  round(a.bid_price - c.close_price, 6) AS bid_pr_mv,
-  round(a.ask_price - c.close_price, 6) AS ask_pr_mv
+  round(a.bid_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS bid_pr_mv,
+  round(a.ask_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS ask_pr_mv
 FROM (SELECT q.*, t.trade_price AS last_trade_price, t.avg_trade_price AS last_avg_trade_price
       FROM {_QUOTES} q ASOF LEFT JOIN {_MA30_T} t
         ON q.trade_dt = t.trade_dt AND q.symbol = t.symbol AND q.event_time >= t.event_time) a
@@ -486,7 +494,7 @@ FROM ({_CSV_COMMON}) c GROUP BY 1""",
   ELSE original_line END AS event_text
 FROM ({_CSV_COMMON}) c""",
     "quote_spread": f"""SELECT trade_dt, symbol, exchange, event_time, event_seq_num,
-  round(ask_price - bid_price, 6) AS spread FROM {_QUOTES} q""",
+  round(ask_price - bid_price, 6) + CAST(0 AS DOUBLE) AS spread FROM {_QUOTES} q""",
     "distinct_dates": f"SELECT DISTINCT trade_dt FROM {_TRADES} t",
     "latest_trade_version": _ROWNUM_LATEST.format(
         cols="trade_dt, symbol, exchange, arrival_time, event_time, event_seq_num, trade_price, trade_size",
