@@ -95,3 +95,17 @@ def test_streaming_landing(spark, tmp):
     df = read_landing(spark, landing)
     assert df.where("partition = 'T'").count() == 31 and df.where("partition = 'B'").count() == 6
     assert df.where(F.col("arrival_time").isNull() & (F.col("partition") != "B")).count() == 0
+
+
+def test_daily_job_records_stage_status(spark, tmp):
+    import pytest
+    from tickreport.operators.jobs import read_state
+    log = os.path.join(tmp, "runlog")
+    daily_job.run_all(spark, SAMPLE, tmp, dates=["2021-01-02"], run_log=log)
+    state = {r["job_name"]: (r["job_id"], r["status"]) for r in read_state(spark, log).collect()}
+    assert {k: v[1] for k, v in state.items() if not k.startswith("job")} == {
+        "extract_csv": "success", "clean_trade": "success", "clean_quote": "success", "transform": "success"}
+    assert sorted(v[0] for k, v in state.items() if not k.startswith("job")) == [4, 5, 6, 7]
+    with pytest.raises(Exception):
+        daily_job.land(spark, os.path.join(tmp, "missing.csv"), tmp, run_log=log)
+    assert {r["job_name"]: r["status"] for r in read_state(spark, log).collect()}["extract_csv"] == "failed"

@@ -9,6 +9,7 @@ names and updates are handled in one pass.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -86,3 +87,29 @@ def append_run_log(updates: DataFrame, path: str) -> None:
 def read_state(spark: SparkSession, log_path: str) -> DataFrame:
     log = spark.read.parquet(log_path)
     return apply_status_updates(seed_tracker(spark), log)
+
+
+def record_status(spark: SparkSession, log_path: str, job_name: str, status: str) -> None:
+    """Append one status update (K2) to the run log; the current state of
+    every job is ``read_state``.  The time is the driver's wall clock."""
+    now = _dt.datetime.now()
+    row = spark.createDataFrame(
+        [(job_name, status, now, time.time_ns())],
+        "job_name string, status string, updated_time timestamp_ntz, _seq bigint")
+    append_run_log(row, log_path)
+
+
+class tracked:
+    """``with tracked(spark, log, "extract_csv"): ...`` records ``success``
+    when the block finishes and ``failed`` (then re-raises) when it fails."""
+
+    def __init__(self, spark: SparkSession, log_path: str | None, job_name: str):
+        self.spark, self.log_path, self.job_name = spark, log_path, job_name
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, exc_type, exc, tb):
+        if self.log_path:
+            record_status(self.spark, self.log_path, self.job_name, "failed" if exc_type else "success")
+        return False

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, SparkSession
 
 from ..operators.clean import clean_quotes, clean_trades
+from ..operators.jobs import tracked
 from ..schema import QUOTE, TRADE
 from ..sources.ingest import ingest_csv, ingest_json
 from ..sources.store import read_daily, read_landing, write_daily, write_landing, write_report
@@ -21,35 +22,41 @@ from .report import quote_report, quote_report_asof
 
 def land(spark: SparkSession, source: str | list[str], root: str, fmt: str = "csv",
          mode: str = "append", arrival_time: Column | None = None,
-         conf: dict | None = None) -> str:
-    reader = ingest_csv if fmt == "csv" else ingest_json
-    events = reader(spark, source, arrival_time=arrival_time, conf=conf)
-    path = os.path.join(root, "landing")
-    write_landing(events, path, mode)
+         conf: dict | None = None, run_log: str | None = None) -> str:
+    with tracked(spark, run_log, f"extract_{fmt}"):
+        reader = ingest_csv if fmt == "csv" else ingest_json
+        events = reader(spark, source, arrival_time=arrival_time, conf=conf)
+        path = os.path.join(root, "landing")
+        write_landing(events, path, mode)
     return path
 
 
-def correct(spark: SparkSession, root: str) -> tuple[str, str]:
+def correct(spark: SparkSession, root: str, run_log: str | None = None) -> tuple[str, str]:
     landing = os.path.join(root, "landing")
     trade_root = os.path.join(root, "daily", "trade")
     quote_root = os.path.join(root, "daily", "quote")
-    write_daily(clean_trades(read_landing(spark, landing, TRADE)), trade_root)
-    write_daily(clean_quotes(read_landing(spark, landing, QUOTE)), quote_root)
+    with tracked(spark, run_log, "clean_trade"):
+        write_daily(clean_trades(read_landing(spark, landing, TRADE)), trade_root)
+    with tracked(spark, run_log, "clean_quote"):
+        write_daily(clean_quotes(read_landing(spark, landing, QUOTE)), quote_root)
     return trade_root, quote_root
 
 
 def report(spark: SparkSession, root: str, dates: Sequence | None = None, asof: bool = False,
-           **kwargs) -> str:
-    trades = read_daily(spark, os.path.join(root, "daily", "trade"))
-    quotes = read_daily(spark, os.path.join(root, "daily", "quote"))
-    build = quote_report_asof if asof else quote_report
+           run_log: str | None = None, **kwargs) -> str:
     out = os.path.join(root, "analytic", "asof" if asof else "report")
-    write_report(build(trades, quotes, dates, **kwargs), out)
+    with tracked(spark, run_log, "transform"):
+        trades = read_daily(spark, os.path.join(root, "daily", "trade"))
+        quotes = read_daily(spark, os.path.join(root, "daily", "quote"))
+        build = quote_report_asof if asof else quote_report
+        write_report(build(trades, quotes, dates, **kwargs), out)
     return out
 
 
 def run_all(spark: SparkSession, source: str | list[str], root: str, fmt: str = "csv",
-            dates: Sequence | None = None, asof: bool = False) -> str:
-    land(spark, source, root, fmt)
-    correct(spark, root)
-    return report(spark, root, dates, asof)
+            dates: Sequence | None = None, asof: bool = False, run_log: str | None = None) -> str:
+    """All stages in order; with ``run_log`` every stage appends its status
+    (``success`` / ``failed``) and a failure stops the run."""
+    land(spark, source, root, fmt, run_log=run_log)
+    correct(spark, root, run_log=run_log)
+    return report(spark, root, dates, asof, run_log=run_log)
