@@ -34,7 +34,8 @@ def main() -> None:
     from tickreport.session import build_session
     from tickreport.plans.registry import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 1) * 2,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(cpus, 1) * 2)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts,
                           app_name="tickreport-bench", extra={"spark.driver.memory": "16g"})
     # Warm the JVM, the parquet reader and the generated-code cache with the
     # same query shapes on the smallest tables (not timed).
