@@ -55,11 +55,12 @@ def field(parts: Column, i: int) -> Column:
     return F.get(parts, i)
 
 
-def spread(df_ask: Column, df_bid: Column) -> Column:
-    return df_ask - df_bid
+def spread(ask: Column, bid: Column) -> Column:
+    """quoted spread (ask minus bid)."""
+    return ask - bid
 
 
-def event_text(prefix_cols: list[str] | None = None) -> Column:
+def event_text() -> Column:
     """Printable form of a common_event row.
 
     Good records print their typed fields in a parenthesised list (dates as

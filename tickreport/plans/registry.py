@@ -24,7 +24,7 @@ from ..schema import COMMON_EVENT_COLUMNS, QUOTE_COLUMNS, REPORT_COLUMNS, TRADE_
 from ..session import materialize, scratch_dir
 from ..sources import ingest as I
 from ..sources import store as ST
-from ..functions.parse import event_text
+from ..functions.parse import event_text, spread
 from . import feeds as FD
 from . import report as R
 
@@ -113,7 +113,7 @@ def q_event_text(spark, d):
 def q_quote_spread(spark, d):
     q = _quotes(spark, d)
     return q.select("trade_dt", "symbol", "exchange", "event_time", "event_seq_num",
-                    _r0(q["ask_price"] - q["bid_price"], "spread"))
+                    _r0(spread(q["ask_price"], q["bid_price"]), "spread"))
 
 
 def q_distinct_dates(spark, d):

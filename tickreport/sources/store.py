@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import COMMON_EVENT, QUOTE, TRADE
 
 
 def _spread(df: DataFrame, partition_col: str, files_per_value: int | None) -> DataFrame:
@@ -88,13 +87,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     if mode == "overwrite":
         props.setdefault("truncate", "true")
     df.write.jdbc(url, table, mode=mode, properties=props)
-
-
-def landing_schema():
-    return COMMON_EVENT
-
-
-__all__ = [
-    "write_landing", "read_landing", "write_daily", "read_daily", "write_report",
-    "read_report", "register_views", "read_jdbc", "write_jdbc", "TRADE", "QUOTE",
-]
