@@ -31,11 +31,15 @@ def test_landing_layout_and_pruning(spark, tmp):
 
 
 def test_daily_dynamic_overwrite_is_idempotent(spark, tmp):
-    root = os.path.join(tmp, "daily")
+    root = os.path.join(tmp, "daily_data")
     daily_job.land(spark, SAMPLE, tmp)
     daily_job.correct(spark, tmp)
+    assert os.path.isdir(os.path.join(tmp, "output_partitions", "partition=B"))
     trade_root = os.path.join(root, "trade")
-    assert sorted(os.listdir(trade_root))[-2:] == ["trade_dt=2021-01-01", "trade_dt=2021-01-02"]
+    assert sorted(os.listdir(trade_root))[-2:] == ["trade-dt=2021-01-01", "trade-dt=2021-01-02"]
+    # A single day folder still carries its trade_dt column.
+    one_day = spark.read.parquet(os.path.join(trade_root, "trade-dt=2021-01-01"))
+    assert "trade_dt" in one_day.columns and one_day.count() == 15
     # Rewrite only day 2 with one row: day 1 stays, day 2 is replaced.
     one = read_daily(spark, trade_root, ["2021-01-02"]).limit(1)
     one = spark.createDataFrame(one.collect(), one.schema)

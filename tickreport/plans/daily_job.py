@@ -19,6 +19,11 @@ from ..sources.ingest import ingest_csv, ingest_json
 from ..sources.store import read_daily, read_landing, write_daily, write_landing, write_report
 from .report import quote_report, quote_report_asof
 
+# Folder names of the storage layout under ``root``.
+LANDING_DIR = "output_partitions"
+DAILY_DIR = "daily_data"
+ANALYTIC_DIR = "analytic_data"
+
 
 def land(spark: SparkSession, source: str | list[str], root: str, fmt: str = "csv",
          mode: str = "append", arrival_time: Column | None = None,
@@ -26,15 +31,15 @@ def land(spark: SparkSession, source: str | list[str], root: str, fmt: str = "cs
     with tracked(spark, run_log, f"extract_{fmt}"):
         reader = ingest_csv if fmt == "csv" else ingest_json
         events = reader(spark, source, arrival_time=arrival_time, conf=conf)
-        path = os.path.join(root, "landing")
+        path = os.path.join(root, LANDING_DIR)
         write_landing(events, path, mode)
     return path
 
 
 def correct(spark: SparkSession, root: str, run_log: str | None = None) -> tuple[str, str]:
-    landing = os.path.join(root, "landing")
-    trade_root = os.path.join(root, "daily", "trade")
-    quote_root = os.path.join(root, "daily", "quote")
+    landing = os.path.join(root, LANDING_DIR)
+    trade_root = os.path.join(root, DAILY_DIR, "trade")
+    quote_root = os.path.join(root, DAILY_DIR, "quote")
     with tracked(spark, run_log, "clean_trade"):
         write_daily(clean_trades(read_landing(spark, landing, TRADE)), trade_root)
     with tracked(spark, run_log, "clean_quote"):
@@ -44,10 +49,10 @@ def correct(spark: SparkSession, root: str, run_log: str | None = None) -> tuple
 
 def report(spark: SparkSession, root: str, dates: Sequence | None = None, asof: bool = False,
            run_log: str | None = None, **kwargs) -> str:
-    out = os.path.join(root, "analytic", "asof" if asof else "report")
+    out = os.path.join(root, ANALYTIC_DIR + ("_asof" if asof else ""))
     with tracked(spark, run_log, "transform"):
-        trades = read_daily(spark, os.path.join(root, "daily", "trade"))
-        quotes = read_daily(spark, os.path.join(root, "daily", "quote"))
+        trades = read_daily(spark, os.path.join(root, DAILY_DIR, "trade"))
+        quotes = read_daily(spark, os.path.join(root, DAILY_DIR, "quote"))
         build = quote_report_asof if asof else quote_report
         write_report(build(trades, quotes, dates, **kwargs), out)
     return out

@@ -44,29 +44,42 @@ def read_landing(spark: SparkSession, path: str, rec_type: str | None = None) ->
     return df
 
 
+# Directory labels of the storage layout.
+DAILY_LABEL = "trade-dt"    # daily_data/{trade,quote}/trade-dt=YYYY-MM-DD
+REPORT_LABEL = "date"       # analytic_data/date=YYYY-MM-DD
+
+
 def write_daily(df: DataFrame, root: str, mode: str = "overwrite",
-                files_per_value: int | None = None) -> None:
-    """Clean trades or quotes → ``root/trade_dt=YYYY-MM-DD`` in one job."""
-    _writer(df, "trade_dt", mode, files_per_value).parquet(root)
+                files_per_value: int | None = None, label: str = DAILY_LABEL) -> None:
+    """Clean trades or quotes → ``root/<label>=YYYY-MM-DD`` in one job.
 
+    The directory label is a copy of ``trade_dt``, so the files keep their
+    ``trade_dt`` column (readers of single day folders still see it)."""
+    out = df if label == "trade_dt" else df.withColumn(label, F.col("trade_dt"))
+    _writer(out, label, mode, files_per_value).parquet(root)
 
-def read_daily(spark: SparkSession, root: str, dates: list | None = None) -> DataFrame:
-    """Daily area; ``dates`` (strings or dates) become partition filters."""
-    df = spark.read.parquet(root).withColumn("trade_dt", F.col("trade_dt").cast("date"))
+
+def read_daily(spark: SparkSession, root: str, dates: list | None = None,
+               label: str = DAILY_LABEL) -> DataFrame:
+    """Daily area; ``dates`` (strings or dates) filter the directory label, so
+    only those day folders are listed and read."""
+    df = spark.read.parquet(root)
     if dates:
-        df = df.where(F.col("trade_dt").isin([F.lit(d).cast("date") for d in dates]))
-    return df
+        df = df.where(F.col(f"`{label}`").cast("date").isin([F.lit(str(d)).cast("date") for d in dates]))
+    if label != "trade_dt":
+        df = df.drop(label)
+    return df.withColumn("trade_dt", F.col("trade_dt").cast("date"))
 
 
 def write_report(report: DataFrame, root: str, mode: str = "overwrite",
                  files_per_value: int | None = None) -> None:
     """Quote report → ``root/date=YYYY-MM-DD`` (one folder per trade day)."""
-    out = report.withColumn("date", F.col("trade_dt"))
-    _writer(out, "date", mode, files_per_value).parquet(root)
+    out = report.withColumn(REPORT_LABEL, F.col("trade_dt"))
+    _writer(out, REPORT_LABEL, mode, files_per_value).parquet(root)
 
 
 def read_report(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop("date")
+    return spark.read.parquet(root).drop(REPORT_LABEL)
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:
