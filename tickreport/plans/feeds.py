@@ -41,10 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The (lazy) DataFrame is reused within one application: listing the files
     and reading the footers once per table, not once per query."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        sc = spark.sparkContext
+        key = (sc.applicationId, path)
+    except Exception:  # a remote (Connect) session has no SparkContext
+        return spark.read.parquet(path)
     if key not in _TABLES:
         df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
+        cores = sc.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         _TABLES[key] = df

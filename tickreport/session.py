@@ -42,7 +42,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only where unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: the server owns the folder
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir on the server for checkpoint()")
+        return root
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="tickreport-ckpt-")
