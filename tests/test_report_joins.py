@@ -161,3 +161,37 @@ def test_report_asof_previous_trading_day(sample):
     assert quote_report(t2, q2).count() == 0
     assert quote_report(t2, q2, prev_trading_day=True).count() == 7
     assert quote_report_asof(t2, q2, prev_trading_day=True).count() == 7
+
+
+def test_union_documented_full(spark):
+    """The documented 16-row union for 2020-12-21: trades with their 3-row
+    averages and quotes on one schema."""
+    day = dt.date(2020, 12, 21)
+
+    def t(h, m):
+        return dt.datetime(2020, 12, 21, h, m)
+    trades = spark.createDataFrame(
+        [(day, s, "Exchange1", t(10, 10 * i), i + 1, p) for s, prices in
+         (("ABC", [24.12, 21.21, 23.11, 21.12]), ("DEF", [26.12, 25.12, 22.12, 21.12]))
+         for i, p in enumerate(prices)],
+        "trade_dt date, symbol string, exchange string, event_time timestamp_ntz, event_seq_num bigint, "
+        "trade_price double")
+    quotes = spark.createDataFrame(
+        [(day, s, "Exchange1", t(10, 10 * i), i + 1, bp, bs, ap, az) for s in ("ABC", "DEF")
+         for i, (bp, bs, ap, az) in enumerate([(20.12, 120, 21.57, 110), (20.12, 120, 20.57, 111),
+                                               (21.12, 125, 19.57, 113), (21.12, 125, 19.57, 113)])],
+        "trade_dt date, symbol string, exchange string, event_time timestamp_ntz, event_seq_num bigint, "
+        "bid_price double, bid_size bigint, ask_price double, ask_size bigint")
+    u = quote_union(moving_avg_rows(trades), quotes).collect()
+    assert len(u) == 16
+    got_t = sorted((r["symbol"], r["event_time"].strftime("%H:%M"), r["trade_price"], round(r["mov_avg_pr"], 4))
+                   for r in u if r["rec_type"] == "T")
+    assert got_t == [("ABC", "10:00", 24.12, 24.12), ("ABC", "10:10", 21.21, 22.665),
+                     ("ABC", "10:20", 23.11, 22.8133), ("ABC", "10:30", 21.12, 21.8133),
+                     ("DEF", "10:00", 26.12, 26.12), ("DEF", "10:10", 25.12, 25.62),
+                     ("DEF", "10:20", 22.12, 24.4533), ("DEF", "10:30", 21.12, 22.7867)]
+    assert all(r["event_seq_num"] is None and r["bid_price"] is None for r in u if r["rec_type"] == "T")
+    got_q = [r for r in u if r["rec_type"] == "Q"]
+    assert len(got_q) == 8 and all(r["trade_price"] is None and r["mov_avg_pr"] is None for r in got_q)
+    assert sorted((r["symbol"], r["event_seq_num"], r["ask_size"]) for r in got_q)[:4] == [
+        ("ABC", 1, 110), ("ABC", 2, 111), ("ABC", 3, 113), ("ABC", 4, 113)]
