@@ -113,3 +113,15 @@ def test_daily_job_records_stage_status(spark, tmp):
     with pytest.raises(Exception):
         daily_job.land(spark, os.path.join(tmp, "missing.csv"), tmp, run_log=log)
     assert {r["job_name"]: r["status"] for r in read_state(spark, log).collect()}["extract_csv"] == "failed"
+
+
+def test_report_reads_only_needed_days(spark, tmp):
+    daily_job.land(spark, SAMPLE, tmp)
+    daily_job.correct(spark, tmp)
+    from tickreport.operators.clean import clean_trades
+    trades = read_daily(spark, os.path.join(tmp, "daily_data", "trade"), ["2021-01-01"])
+    assert "PartitionFilters: [isnotnull(trade-dt" in _plan(trades)
+    # A table without feed positions still cleans (arrival_time orders versions).
+    assert clean_trades(trades.drop("ingest_seq")).count() == 15
+    out = daily_job.report(spark, tmp, dates=["2021-01-02"])
+    assert spark.read.parquet(out).count() == 7

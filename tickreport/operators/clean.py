@@ -41,8 +41,11 @@ def select_quotes(common: DataFrame) -> DataFrame:
 def clean(df: DataFrame, payload: Sequence[str], key: Sequence[str] = EVENT_KEY,
           order: Sequence[str] = ("arrival_time", "ingest_seq"), columns: Sequence[str] | None = None
           ) -> DataFrame:
-    """Latest version per composite event key, in the clean table's column order."""
+    """Latest version per composite event key, in the clean table's column order.
+    Order columns missing from ``df`` (e.g. no ``ingest_seq`` on a table that
+    did not come from a feed scan) are skipped."""
     extra = [c for c in ("arrival_time",) if c not in payload and c not in key]
+    order = [c for c in order if c in df.columns] or ["arrival_time"]
     out = latest_version(df, key, [*extra, *payload], order)
     return out.select(*(columns or out.columns))
 

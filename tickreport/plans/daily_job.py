@@ -7,6 +7,7 @@ write replaces only the days it produces (dynamic partition overwrite).
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 from collections.abc import Sequence
 
@@ -51,8 +52,14 @@ def report(spark: SparkSession, root: str, dates: Sequence | None = None, asof:
            run_log: str | None = None, **kwargs) -> str:
     out = os.path.join(root, ANALYTIC_DIR + ("_asof" if asof else ""))
     with tracked(spark, run_log, "transform"):
-        trades = read_daily(spark, os.path.join(root, DAILY_DIR, "trade"))
-        quotes = read_daily(spark, os.path.join(root, DAILY_DIR, "quote"))
+        # Only the needed day folders are listed: the report days, and for the
+        # close the calendar day before (all earlier days for trading days).
+        trade_days = None
+        if dates and not kwargs.get("prev_trading_day"):
+            ds = [_dt.date.fromisoformat(str(d)) for d in dates]
+            trade_days = sorted(set(ds) | {d - _dt.timedelta(days=1) for d in ds})
+        trades = read_daily(spark, os.path.join(root, DAILY_DIR, "trade"), trade_days)
+        quotes = read_daily(spark, os.path.join(root, DAILY_DIR, "quote"), dates)
         build = quote_report_asof if asof else quote_report
         write_report(build(trades, quotes, dates, **kwargs), out)
     return out
