@@ -109,3 +109,42 @@ def test_filters_stay_above_the_parser(spark):
     filt = [line for line in plan.split("\n") if "Filter" in line]
     assert filt and all("split(" not in line and "gettimestamp" not in line for line in filt)
     assert ev.count() == 30
+
+
+def test_later_file_wins_within_one_batch(spark, tmp_path):
+    import os
+    from tickreport.operators.clean import clean_trades, select_trades
+    old = tmp_path / "a_late_name_but_older.csv"
+    new = tmp_path / "b_newer.csv"
+    old.write_text("2021-01-01,T,S,1,2021-01-01 12:00,1,E,10.0,1\n2021-01-01,T,S,2,2021-01-01 12:05,2,E,20.0,2\n")
+    new.write_text("2021-01-01,T,S,1,2021-01-01 12:00,1,E,11.0,9\n")
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    os.utime(new, (1_700_000_000, 1_700_000_000))
+    ev = parse_csv_lines(read_lines(spark, str(tmp_path)), arrival_time=_arrival())
+    got = {r["event_seq_num"]: (r["trade_price"], r["trade_size"]) for r in clean_trades(select_trades(ev)).collect()}
+    assert got == {1: (11.0, 9), 2: (20.0, 2)}
+    # Reversing the modification times reverses the winner.
+    os.utime(old, (1_800_000_000, 1_800_000_000))
+    ev = parse_csv_lines(read_lines(spark, str(tmp_path)), arrival_time=_arrival())
+    got = {r["event_seq_num"]: (r["trade_price"], r["trade_size"]) for r in clean_trades(select_trades(ev)).collect()}
+    assert got == {1: (10.0, 1), 2: (20.0, 2)}
+
+
+def test_json_files_through_daily_job(spark, tmp_path):
+    import json as _json
+    from tickreport.plans import daily_job
+    src = tmp_path / "feed.json"
+    recs = []
+    for line in open(SAMPLE):
+        f = line.rstrip("\n").split(",")
+        if len(f) > 1 and f[1] == "T":
+            recs.append(dict(zip(["trade_date", "record_type", "symbol", "executionid", "event_time",
+                                  "event_seq_num", "exchange", "trade_price", "trade_size"], f)))
+        elif len(f) > 1 and f[1] == "Q":
+            recs.append(dict(zip(["trade_date", "record_type", "symbol", "event_time", "event_seq_num",
+                                  "exchange", "bid_price", "bid_size", "ask_price", "ask_size"], f)))
+        else:
+            recs.append(line.rstrip("\n"))
+    src.write_text("\n".join(_json.dumps(r) if isinstance(r, dict) else r for r in recs) + "\n")
+    out = daily_job.run_all(spark, str(src), str(tmp_path / "root"), fmt="json", dates=["2021-01-02"])
+    assert spark.read.parquet(out).count() == 7
