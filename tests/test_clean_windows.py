@@ -13,7 +13,8 @@ from tickreport.operators.windows import (Split, forward_fill, last_value_per_se
                                           moving_avg_rows)
 from tickreport.sources.ingest import parse_csv_lines, read_lines
 
-SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2), Split(bucket_minutes=7, chunk_rows=3), Split()]
+SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2, range_bucket_minutes=30),
+          Split(bucket_minutes=7, chunk_rows=3, range_bucket_minutes=45), Split()]
 
 # Trades of two days for two symbols (documented example input).
 DOC_TRADES = [

@@ -15,7 +15,7 @@ from tickreport.operators.windows import Split, moving_avg_rows
 from tickreport.plans.report import quote_report, quote_report_asof, report_preview
 from tickreport.sources.ingest import parse_csv_lines, read_lines
 
-SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2), Split()]
+SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2, range_bucket_minutes=30), Split()]
 
 # Documented report for 2021-01-02 (symbol, exchange, time, seq, last price,
 # last average, bid movement, ask movement).

@@ -29,13 +29,19 @@ from ..schema import SERIES_KEY, SERIES_ORDER
 class Split:
     """How to cut a hot series.
 
-    bucket_minutes: width of a time bucket; one task sees at most one bucket
-      of one series (plus halo rows).
+    bucket_minutes: width of a time bucket for ranking, forward fill and the
+      series tail; one task sees at most one bucket of one series.  The
+      per-bucket tables have at most 24 * 60 / bucket_minutes rows per series
+      and day, so fine buckets stay cheap.
+    range_bucket_minutes: bucket width for range frames (at least the frame
+      length); rows within the frame length of the next bucket are duplicated
+      into it, i.e. a fraction minutes / width of the rows.
     chunk_rows: rows per chunk for row-count frames (ranked series are cut
       into chunks of this many rows plus the frame's halo).
     """
 
-    bucket_minutes: int = 60
+    bucket_minutes: int = 5
+    range_bucket_minutes: int = 60
     chunk_rows: int = 1 << 20
 
 
@@ -129,7 +135,7 @@ def moving_avg_range(df: DataFrame, value: str = "trade_price", minutes: int = 3
 
     if split is None:
         return df.withColumn(out, frame(partition))
-    width = max(split.bucket_minutes, minutes)
+    width = max(split.range_bucket_minutes, minutes)
     mi = minute_index(F.col(time_col))
     bucket = F.floor(mi / F.lit(width)).cast("bigint")
     # A row at minute m is inside the frame of rows of the next bucket only if

@@ -85,7 +85,7 @@ def main() -> None:
     }
     runs = {}
     for name, build in cases.items():
-        for label, sp in (("plain", None), ("split", W.Split(bucket_minutes=60, chunk_rows=5000))):
+        for label, sp in (("plain", None), ("split", W.Split(chunk_rows=5000))):
             group = f"{name}/{label}"
             spark.sparkContext.setJobGroup(group, group)
             t0 = time.perf_counter()
