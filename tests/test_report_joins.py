@@ -195,3 +195,15 @@ def test_union_documented_full(spark):
     assert len(got_q) == 8 and all(r["trade_price"] is None and r["mov_avg_pr"] is None for r in got_q)
     assert sorted((r["symbol"], r["event_seq_num"], r["ask_size"]) for r in got_q)[:4] == [
         ("ABC", 1, 110), ("ABC", 2, 111), ("ABC", 3, 113), ("ABC", 4, 113)]
+
+
+def test_asof_right_side_without_tie_breaks(spark):
+    day = dt.date(2021, 1, 1)
+    right = spark.createDataFrame([(day, "S", dt.datetime(2021, 1, 1, 9, 0), 1.0),
+                                   (day, "S", dt.datetime(2021, 1, 1, 9, 10), 2.0)],
+                                  "trade_dt date, symbol string, event_time timestamp_ntz, px double")
+    left = spark.createDataFrame([(day, "S", dt.datetime(2021, 1, 1, 9, 5), 7),
+                                  (day, "S", dt.datetime(2021, 1, 1, 8, 0), 8)],
+                                 "trade_dt date, symbol string, event_time timestamp_ntz, id int")
+    got = {r["id"]: r["px"] for r in asof_join(left, right, ["px"]).collect()}
+    assert got == {7: 1.0, 8: None}

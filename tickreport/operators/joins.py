@@ -60,6 +60,8 @@ def asof_join(left: DataFrame, right: DataFrame, values: Sequence[str],
     row per group and bucket; it is linear, unlike an inequality join.
     """
     outs = list(outs or values)
+    # Tie-break columns the right side does not have are skipped.
+    right_order = [c for c in right_order if c in right.columns]
     # At equal time, inclusive puts right rows first so the left row sees them.
     r_rank, l_rank = (0, 1) if inclusive else (1, 0)
     order_cols = [f"_o{i}" for i in range(len(right_order))]
