@@ -207,3 +207,10 @@ def test_asof_right_side_without_tie_breaks(spark):
                                  "trade_dt date, symbol string, event_time timestamp_ntz, id int")
     got = {r["id"]: r["px"] for r in asof_join(left, right, ["px"]).collect()}
     assert got == {7: 1.0, 8: None}
+
+
+def test_union_for_one_day(sample):
+    trades, quotes = sample
+    u = quote_union(moving_avg_rows(trades), quotes, dates=["2021-01-02"])
+    assert {str(r["trade_dt"]) for r in u.collect()} == {"2021-01-02"}
+    assert u.where("rec_type = 'T'").count() == 15 and u.where("rec_type = 'Q'").count() == 11

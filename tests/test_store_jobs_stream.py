@@ -125,3 +125,21 @@ def test_report_reads_only_needed_days(spark, tmp):
     assert clean_trades(trades.drop("ingest_seq")).count() == 15
     out = daily_job.report(spark, tmp, dates=["2021-01-02"])
     assert spark.read.parquet(out).count() == 7
+
+
+def test_streaming_landing_json(spark, tmp):
+    import json as _json
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    rec = {"trade_date": "2021-01-01", "record_type": "T", "symbol": "S", "executionid": "1",
+           "event_time": "2021-01-01 12:00", "event_seq_num": "1", "exchange": "E",
+           "trade_price": "10.5", "trade_size": 3}
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(_json.dumps(rec) + "\n" + '{"broken": ' + "\n")
+    landing = os.path.join(tmp, "landing")
+    q = start_landing_stream(spark, src, landing, os.path.join(tmp, "ckpt"), fmt="json")
+    q.awaitTermination(120)
+    df = read_landing(spark, landing)
+    assert {r["partition"]: r["n"] for r in df.groupBy("partition").agg(F.count("*").alias("n")).collect()} == {
+        "T": 1, "B": 1}
+    assert df.where("partition = 'T'").first()["trade_price"] == 10.5

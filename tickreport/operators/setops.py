@@ -17,13 +17,18 @@ def _to_union_schema(df: DataFrame) -> DataFrame:
 
 
 def quote_union(trades_with_avg: DataFrame, quotes: DataFrame, avg_col: str = "avg_trade_price",
-                distinct: bool = True) -> DataFrame:
+                distinct: bool = True, dates: list | None = None) -> DataFrame:
     """Trades (with moving average) and quotes on one 12-column schema.
 
     Trades carry ``rec_type='T'``, price and moving average and NULL quote
     fields (their sequence number too); quotes carry ``rec_type='Q'`` and NULL
-    trade fields.  ``distinct`` gives SQL ``UNION`` semantics.
+    trade fields.  ``distinct`` gives SQL ``UNION`` semantics; ``dates``
+    restricts both sides to those trade days.
     """
+    if dates:
+        days = [F.lit(str(d)).cast("date") for d in dates]
+        trades_with_avg = trades_with_avg.where(F.col("trade_dt").isin(days))
+        quotes = quotes.where(F.col("trade_dt").isin(days))
     t = _to_union_schema(trades_with_avg.select(
         "trade_dt", F.lit("T").alias("rec_type"), "symbol", "event_time", "exchange",
         "trade_price", F.col(avg_col).alias("mov_avg_pr")))
