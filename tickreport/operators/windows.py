@@ -5,10 +5,11 @@ Each operator has two physical forms with identical results:
 * ``split=None`` - one window partitioned by the series key.  One shuffle, but
   a hot symbol's whole day lands in one task.
 * ``split=Split(...)`` (default) - the series is cut into ordered time buckets
-  so that no task ever holds more than one bucket (plus a small halo) of one
-  series.  Results stay exact: what crosses a bucket edge is carried by a
-  small per-bucket table (one row per series and bucket), or by duplicating
-  the few boundary rows into the next bucket.
+  so that no task ever holds more than one bucket of one series (plus halo
+  rows: n-1 rows for row frames, the frame length of the previous bucket for
+  range frames).  Results stay exact: what crosses a bucket edge is carried
+  by a small per-bucket table (one row per series and bucket), or by
+  duplicating the boundary rows into the next bucket or chunk.
 
 All orders are total (``SERIES_ORDER`` = event_time, event_seq_num, exchange),
 so results never depend on the physical row order.
