@@ -534,11 +534,11 @@ FROM {_QUOTES} q JOIN {_CLOSE_T} c
     "quote_report_asof": _ASOF_REPORT,
     "report_preview": f"""SELECT * FROM ({_REPORT}) r
 ORDER BY trade_dt, symbol, event_time, event_seq_num, exchange LIMIT {PREVIEW_ROWS}""",
-    "quote_asof_trade": _asof_sql(_TRADES.replace("value AS trade_price", "value AS trade_price, value AS last_trade_price"),
+    "quote_asof_trade": _asof_sql(f"(SELECT *, trade_price AS last_trade_price FROM {_TRADES} t1)",
                                   ["last_trade_price"], ">="),
     "quote_asof_avg": _asof_sql(f"(SELECT *, avg_trade_price AS last_avg_trade_price FROM {_MA30_T} m)",
                                 ["last_avg_trade_price"], ">="),
-    "quote_asof_strict": _asof_sql(_TRADES.replace("value AS trade_price", "value AS trade_price, value AS last_trade_price"),
+    "quote_asof_strict": _asof_sql(f"(SELECT *, trade_price AS last_trade_price FROM {_TRADES} t1)",
                                    ["last_trade_price"], ">"),
     "quote_trade_same_time": f"""SELECT DISTINCT q.trade_dt, q.symbol, q.event_time, q.event_seq_num,
   q.exchange, q.bid_price, q.bid_size, q.ask_price, q.ask_size,
