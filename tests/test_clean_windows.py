@@ -164,3 +164,16 @@ def test_series_end_averages_match_full_windows(spark, split, n):
     want30 = {key(r): round(r["a"], 9) for r in day_last(moving_avg_range(df, split=None), ["avg_trade_price"], ["a"]).collect()}
     got30 = {key(r): round(r["a"], 9) for r in range_avg_at_series_end(df, out="a").collect()}
     assert got30 == want30
+
+
+def test_latest_version_limits_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, i, float(i)) for i in range(50)], "k int, v int, price double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = latest_version(df, ["k"], ["price"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # A partial group limit runs below the exchange: one row per key per map task.
+    below = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in below
+    assert [r["price"] for r in latest_version(df, ["k"], ["price"], ["v"]).collect()] == [49.0]

@@ -3,15 +3,17 @@
 The landing table may hold several versions of one event (same composite key,
 later arrival).  ``latest_version`` keeps, per key, the one record that is last
 by the version order, as a whole record (never one column from one version and
-another column from another).  It is a single aggregation with map-side partial
-aggregation, so a hot key is reduced on every map task before the shuffle.
+another column from another).  It is ``row_number() = 1`` over the version
+order, which Spark plans with a partial ``WindowGroupLimit`` before the shuffle:
+every map task forwards at most one row per key, so a key with a huge number of
+versions never reaches one task whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import EVENT_KEY, QUOTE, QUOTE_COLUMNS, QUOTE_PAYLOAD, TRADE, TRADE_COLUMNS, TRADE_PAYLOAD
@@ -24,8 +26,9 @@ def latest_version(df: DataFrame, key: Sequence[str], payload: Sequence[str],
     ``order`` must be total within a key (add a sequence column as the last
     element), otherwise the pick among equal orders is arbitrary.
     """
-    picked = F.max_by(F.struct(*payload), F.struct(*order)).alias("_latest")
-    return df.groupBy(*key).agg(picked).select(*key, *[F.col(f"_latest.{c}").alias(c) for c in payload])
+    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
+    ranked = df.select(*key, *payload, *[c for c in order if c not in (*key, *payload)])
+    return ranked.withColumn("_v", F.row_number().over(w)).where(F.col("_v") == 1).select(*key, *payload)
 
 
 def select_trades(common: DataFrame) -> DataFrame:

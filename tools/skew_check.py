@@ -2,7 +2,9 @@
 
 Builds a trade table from ``lineitem`` in which a third of all rows belong to
 one symbol (``HOT``), runs the row window, the range window and the as-of join
-with and without splitting, and reads Spark's event log (written to a fresh
+with and without splitting, and the latest-version step on a table where a
+third of all rows are versions of one key (window baseline vs partial
+aggregate), and reads Spark's event log (written to a fresh
 scratch folder) for the largest number of shuffle records one task read.
 
 Usage: python tools/skew_check.py [sf_dir]   (prints one JSON line)
@@ -65,6 +67,7 @@ def main() -> None:
     from tickreport.session import build_session
     from tickreport.operators import joins as JN
     from tickreport.operators import windows as W
+    from tickreport.operators.clean import latest_version
     # Many shuffle partitions, as on a cluster: the largest task is then set
     # by the largest group a plan keeps together, not by the partition count.
     spark = build_session("local[8]", 200, extra={
@@ -78,7 +81,24 @@ def main() -> None:
                            "event_seq_num")
     n = trades.count()
     hot = trades.where("symbol = 'HOT'").groupBy("trade_dt").count().agg(F.max("count")).first()[0]
+    # Versions: a third of all lineitem rows become versions of one key.
+    li = spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet"))
+    hot_key = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == 0
+    versions = li.withColumn("_hot", hot_key).select(
+        *[F.when(F.col("_hot"), F.lit(-1).cast("bigint")).otherwise(F.col(c)).alias(c) if c == "l_orderkey"
+          else F.when(F.col("_hot"), F.lit(1)).otherwise(F.col(c)).alias(c) if c == "l_linenumber"
+          else F.col(c) for c in li.columns])
+    key, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]
+    payload = [c for c in li.columns if c not in key]
+
+    def dedup(sp):
+        # Baseline ("plain"): the same row_number() = 1 without Spark's
+        # partial group limit, i.e. every version of a key in one task.
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1" if sp is None else "1000")
+        return latest_version(versions, key, payload, order)
+
     cases = {
+        "latest_version": dedup,
         "moving_avg_rows": lambda sp: W.moving_avg_rows(trades, split=sp),
         "moving_avg_range": lambda sp: W.moving_avg_range(trades, split=sp),
         "asof_join": lambda sp: JN.asof_join(quotes, trades, ["trade_price"], split=sp),
