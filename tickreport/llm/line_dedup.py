@@ -56,7 +56,7 @@ def frequent_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
                               [T.StructField(keys, T.ArrayType(T.BinaryType()))], factory, keep=[ids])
     pairs = saved(exploded.select(ids, F.explode(keys).alias("key")), "line-keys")
     counted = pairs.distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"))
-    return pairs, counted.where(F.col("n_docs") >= min_docs)
+    return pairs, saved(counted.where(F.col("n_docs") >= min_docs), "frequent-lines")
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
