@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality_rules
+from . import line_dedup, packing, quality_rules, simhash
 
-_MODULES = [packing, quality_rules, line_dedup]
+_MODULES = [packing, quality_rules, line_dedup, simhash]
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
