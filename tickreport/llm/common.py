@@ -53,9 +53,9 @@ def col(name: str) -> Column:
 
 def append_columns(df: DataFrame, text: str | Column, fields: list[T.StructField],
                    factory: Callable[[], Callable[[pa.Array], list[pa.Array]]],
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, most: int = 8 << 20) -> DataFrame:
     """``keep`` columns of ``df`` (default all) plus ``fields`` computed from the
-    text column, one Arrow batch at a time.  ``factory`` runs once per task and
+    text column, about ``most`` bytes of text at a time.  ``factory`` runs once per task and
     returns the function from a batch of texts to the new columns."""
     keep = df.columns if keep is None else keep
     tmp = fresh(df, "text_")[0]
@@ -66,7 +66,7 @@ def append_columns(df: DataFrame, text: str | Column, fields: list[T.StructField
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = factory()
         for b in batches:
-            for part in slices(b, n):
+            for part in slices(b, n, most):
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(n)] + fn(part.column(n)), names)
 
     return df.select(*map(col, keep), source.alias(tmp)).mapInArrow(run, schema)
