@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality_rules, simhash
+import corpus_pipeline
 
-_MODULES = [packing, quality_rules, line_dedup, simhash]
+from . import language_id, line_crf, line_dedup, packing, quality_rules, simhash
+
+_MODULES = [line_crf, packing, quality_rules, language_id, line_dedup, simhash]
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
