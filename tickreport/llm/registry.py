@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import improbable, language_id, line_crf, line_dedup, maxent_lm, packing, piece_sampling, quality_rules, simhash
+from . import improbable, language_id, license_rules, line_crf, line_dedup, maxent_lm, packing, piece_sampling, quality_rules, simhash
 
-_MODULES = [line_crf, improbable, packing, quality_rules, language_id, maxent_lm, line_dedup, simhash,
+_MODULES = [license_rules, line_crf, improbable, packing, quality_rules, language_id, maxent_lm, line_dedup, simhash,
             piece_sampling]
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
