@@ -55,11 +55,14 @@ def append_columns(df: DataFrame, text: str | Column, fields: list[T.StructField
                    factory: Callable[[], Callable[[pa.Array], list[pa.Array]]],
                    keep: list[str] | None = None, most: int = 8 << 20) -> DataFrame:
     """``keep`` columns of ``df`` (default all) plus ``fields`` computed from the
-    text column, about ``most`` bytes of text at a time.  ``factory`` runs once per task and
+    text column, about ``most`` bytes of text at a time; new names that ``keep`` has
+    take leading underscores.  ``factory`` runs once per task and
     returns the function from a batch of texts to the new columns."""
     keep = df.columns if keep is None else keep
     tmp = fresh(df, "text_")[0]
     source = col(text) if isinstance(text, str) else text
+    new = fresh(df.select(*map(col, keep)), *(f.name for f in fields))
+    fields = [T.StructField(name, f.dataType) for name, f in zip(new, fields)]
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     n, names = len(keep), [*keep, *(f.name for f in fields)]
 
