@@ -13,6 +13,7 @@ through the tokenizer's own pre-tokenizer and model.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -27,47 +28,58 @@ from .cutting_stock import solve
 
 CAPACITY = 1024
 END_ID = 0
-#: Words kept by a task's cache; each takes about 200 bytes.
-CACHE_WORDS = 400_000
+#: Words kept by a worker's caches; each takes about 200 bytes.
+CACHE_WORDS = 800_000
 
 #: White space other than a space and \n: texts with it are not split into words first.
 _OTHER_WHITE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 
 
+#: GPT-2's printable stand-ins for bytes: printable Latin-1 stands for itself, the others follow from U+0100.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_STAND_IN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+@functools.lru_cache(maxsize=2)  # a worker's later tasks find the words of the earlier ones
 def token_ids(path: str, cache_words: int = CACHE_WORDS) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit numbers,
     equal to the tokenizer's ``encode`` without special tokens.
 
-    The tokenizer must split before a space that follows a non-blank and around a
-    \\n between non-blanks, and have no normaliser, as byte-level BPE files do."""
+    The file must hold a byte-level BPE tokenizer without a normaliser and with
+    the usual split: before a space that follows a non-blank, around a \\n between
+    non-blanks, and between letters and a following full stop or comma."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     if tokenizer.normalizer is not None:
         raise ValueError(f"{path}: a tokenizer with a normaliser can't be fed word by word")
     split, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-    parts: dict[str, bytes] = {}
-    words: dict[str, bytes] = {}
+
+    def of_part(part: str) -> bytes:
+        return np.array([t.id for t in model(part)], "<u4").tobytes()
 
     def encode(piece: str) -> bytes:
-        out = []
-        for part, _ in split(piece):
-            ids = parts.get(part)
-            if ids is None:
-                ids = np.array([t.id for t in model(part)], "<u4").tobytes()
-                if len(parts) < cache_words // 2:
-                    parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def missed(word: str) -> bytes:
-        ids = encode(word)
-        if len(words) < cache_words:
-            words[word] = ids
-        return ids
+        return b"".join([of_part(part) for part, _ in split(piece)])
 
+    marks = {m: encode(m) for m in ".,"}
     newline = encode("\n")
-    get = words.get
+
+    def missed(word: str, blank: str, cache: dict[str, bytes]) -> bytes:
+        mark = marks.get(word[-1:], b"")
+        stem = word[:-1] if mark else word
+        if stem.isalpha() and max(stem) < "\u0250":  # Latin letters are one part
+            known = cache.get(stem)
+            if known is None:
+                known = of_part((blank + stem).encode().decode("latin-1").translate(_STAND_IN))
+            ids = known + mark
+        else:
+            ids = encode(blank + word)
+        if len(cache) < cache_words // 2:
+            cache[word] = ids
+        return ids
+
+    heads: dict[str, bytes] = {"": b""}  # words at a line's start
+    words: dict[str, bytes] = {}  # words after a blank
 
     def ids(text: str) -> bytes:
         # Runs of blanks have rules of their own; such texts go through as a whole.
@@ -76,9 +88,12 @@ def token_ids(path: str, cache_words: int = CACHE_WORDS) -> Callable[[str], byte
             return encode(text)
         lines = []
         for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            line_words = [first, *[" " + w for w in rest]]
-            lines.append(b"".join([get(w) or missed(w) for w in line_words]) if line else b"")
+            head, *rest = line.split(" ")
+            got = list(map(words.get, rest))
+            if None in got:
+                got = [missed(w, " ", words) if g is None else g for w, g in zip(rest, got)]
+            first = heads.get(head)
+            lines.append((missed(head, "", heads) if first is None else first) + b"".join(got))
         return newline.join(lines)
 
     return ids
