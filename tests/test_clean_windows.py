@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE
 from tickreport.operators.clean import (clean_quotes, clean_trades, latest_version, select_quotes,
                                         select_trades, versions_per_key)
-from tickreport.operators.close import close_price, day_last
+from tickreport.operators.close import close_per_venue, day_last
 from tickreport.operators.windows import (Split, forward_fill, last_value_per_series, moving_avg_range,
                                           moving_avg_rows)
 from tickreport.sources.ingest import parse_csv_lines, read_lines
 
-SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2, range_bucket_minutes=30),
-          Split(bucket_minutes=7, chunk_rows=3, range_bucket_minutes=45), Split()]
+SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2),
+          Split(bucket_minutes=7, chunk_rows=3), Split()]
 
 # Trades of two days for two symbols (documented example input).
 DOC_TRADES = [
@@ -98,7 +98,8 @@ def test_close_documented(doc_trades):
 
 def test_close_sample_replicated_per_exchange(sample):
     trades, _ = sample
-    c = close_price(moving_avg_rows(trades)).where("trade_dt = '2021-01-01'").collect()
+    c = close_per_venue(day_last(moving_avg_rows(trades), ["avg_trade_price"], ["close_price"]), trades).where(
+        "trade_dt = '2021-01-01'").collect()
     got = sorted((r["symbol"], r["exchange"], round(r["close_price"], 6)) for r in c)
     assert got == [("Symbol1", "Exchange1", 57.606667), ("Symbol1", "Exchange2", 57.606667),
                    ("Symbol2", "Exchange1", 85.14), ("Symbol3", "Exchange1", 185.056667)]
@@ -159,7 +160,7 @@ def test_series_end_averages_match_full_windows(spark, split, n):
                                      "event_time timestamp_ntz, event_seq_num bigint, trade_price double")
     key = lambda r: (str(r["trade_dt"]), r["symbol"])
     want = {key(r): round(r["a"], 9) for r in day_last(moving_avg_rows(df, n=n, split=None), ["avg_trade_price"], ["a"]).collect()}
-    got = {key(r): round(r["a"], 9) for r in rows_avg_at_series_end(df, n=n, out="a", split=split).collect()}
+    got = {key(r): round(r["a"], 9) for r in rows_avg_at_series_end(df, n=n, out="a").collect()}
     assert got == want
     want30 = {key(r): round(r["a"], 9) for r in day_last(moving_avg_range(df, split=None), ["avg_trade_price"], ["a"]).collect()}
     got30 = {key(r): round(r["a"], 9) for r in range_avg_at_series_end(df, out="a").collect()}
@@ -177,3 +178,46 @@ def test_latest_version_limits_before_the_shuffle(spark):
     below = plan[plan.index("Exchange"):]
     assert "WindowGroupLimit" in below
     assert [r["price"] for r in latest_version(df, ["k"], ["price"], ["v"]).collect()] == [49.0]
+
+
+NULL_ROWS = [(d, s, "X", None if m is None else dt.datetime(2021, 1, 1, 9) + dt.timedelta(minutes=m), i, p)
+             for i, (d, s, m, p) in enumerate([
+                 (dt.date(2021, 1, 1), "A", 0, 1.0), (dt.date(2021, 1, 1), "A", 30, 2.0),
+                 (dt.date(2021, 1, 1), "A", 31, 4.0), (dt.date(2021, 1, 1), "A", 31, 6.0),
+                 (dt.date(2021, 1, 1), "A", None, 8.0), (dt.date(2021, 1, 1), "A", None, None),
+                 (dt.date(2021, 1, 1), None, 5, 16.0), (dt.date(2021, 1, 1), None, 36, 32.0),
+                 (None, "A", 7, 64.0), (None, None, None, 128.0), (dt.date(2021, 1, 1), "A", 62, None)])]
+
+
+@pytest.mark.parametrize("split", [Split(bucket_minutes=1, chunk_rows=2), Split(bucket_minutes=7), Split()])
+def test_split_windows_keep_null_keys(spark, split):
+    df = spark.createDataFrame(NULL_ROWS, "trade_dt date, symbol string, exchange string, event_time timestamp_ntz, "
+                                          "event_seq_num bigint, trade_price double")
+    calls = {"rows": lambda s: moving_avg_rows(df, n=2, out="o", split=s),
+             "range": lambda s: moving_avg_range(df, out="o", split=s),
+             "fill": lambda s: forward_fill(df, "trade_price", "o", split=s)}
+    for name, fn in calls.items():
+        plain = {r["event_seq_num"]: r["o"] for r in fn(None).collect()}
+        got = {r["event_seq_num"]: r["o"] for r in fn(split).collect()}
+        assert len(plain) == len(NULL_ROWS) and got == plain, name
+    last = {r["event_seq_num"]: r["o"] for r in last_value_per_series(df, ["trade_price"], ["o"]).collect()}
+    assert last[6] == 32.0 and last[8] == 64.0 and last[9] == 128.0 and len(last) == len(NULL_ROWS)
+
+
+def test_range_average_is_linear_in_a_hot_hour(spark):
+    """Four times the rows of one symbol-hour take about four times as long (the
+    sliding frame took sixteen); the bound leaves room for a busy machine."""
+    import time
+
+    def run(n):
+        df = spark.range(n).selectExpr(
+            "date'2021-01-01' as trade_dt", "'HOT' as symbol", "'X' as exchange",
+            "timestamp_ntz'2021-01-01 09:00:00' + make_dt_interval(0, 0, 0, id * 3600.0 / " + str(n) + ") as event_time",
+            "id as event_seq_num", "cast(id % 100 as double) as trade_price")
+        t = time.perf_counter()
+        moving_avg_range(df).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+
+    run(1000)
+    small, large = run(20_000), run(80_000)
+    assert large < 9 * small + 2

@@ -148,3 +148,12 @@ def test_json_files_through_daily_job(spark, tmp_path):
     src.write_text("\n".join(_json.dumps(r) if isinstance(r, dict) else r for r in recs) + "\n")
     out = daily_job.run_all(spark, str(src), str(tmp_path / "root"), fmt="json", dates=["2021-01-02"])
     assert spark.read.parquet(out).count() == 7
+
+
+def test_json_line_is_one_whole_record(spark):
+    good = ('{"trade_date":"2021-01-01","record_type":"T","symbol":"S","executionid":"1",'
+            '"event_time":"2021-01-01 12:00","event_seq_num":1,"exchange":"E","trade_price":"1.5","trade_size":2}')
+    lines = [good, good + " trailing", good + good, good + "," + good, "[" + good + "]", good[:-1], ""]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(lines)], "value string, ingest_seq int")
+    got = {r["ingest_seq"]: r["partition"] for r in parse_json_lines(df).collect()}
+    assert got == {0: "T", 1: "B", 2: "B", 3: "B", 4: "B", 5: "B", 6: "B"}

@@ -15,7 +15,7 @@ from tickreport.operators.windows import Split, moving_avg_rows
 from tickreport.plans.report import quote_report, quote_report_asof, report_preview
 from tickreport.sources.ingest import parse_csv_lines, read_lines
 
-SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2, range_bucket_minutes=30), Split()]
+SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2), Split()]
 
 # Documented report for 2021-01-02 (symbol, exchange, time, seq, last price,
 # last average, bid movement, ask movement).
@@ -43,18 +43,17 @@ def _report_rows(df):
              round(r["bid_pr_mv"], 6), round(r["ask_pr_mv"], 6)) for r in rows]
 
 
-@pytest.mark.parametrize("split", SPLITS)
-def test_quote_report_golden(sample, split):
+def test_quote_report_golden(sample):
     trades, quotes = sample
-    got = _report_rows(quote_report(trades, quotes, dates=["2021-01-02"], split=split))
+    got = _report_rows(quote_report(trades, quotes, dates=["2021-01-02"]))
     assert got == GOLDEN_REPORT
     # All days at once: the first day has no previous close, so the same rows.
-    assert _report_rows(quote_report(trades, quotes, split=split)) == GOLDEN_REPORT
+    assert _report_rows(quote_report(trades, quotes)) == GOLDEN_REPORT
 
 
-def test_quote_report_broadcast_and_trading_day(sample):
+def test_quote_report_trading_day(sample):
     trades, quotes = sample
-    assert _report_rows(quote_report(trades, quotes, broadcast_close_rows=1000)) == GOLDEN_REPORT
+    assert quote_report(trades, quotes, dates=[]).count() == 0
     assert _report_rows(quote_report(trades, quotes, prev_trading_day=True)) == GOLDEN_REPORT
     # Drop 2021-01-01 trades → no previous close → empty report, no error.
     assert quote_report(trades.where("trade_dt > '2021-01-01'"), quotes).count() == 0
@@ -214,3 +213,19 @@ def test_union_for_one_day(sample):
     u = quote_union(moving_avg_rows(trades), quotes, dates=["2021-01-02"])
     assert {str(r["trade_dt"]) for r in u.collect()} == {"2021-01-02"}
     assert u.where("rec_type = 'T'").count() == 15 and u.where("rec_type = 'Q'").count() == 11
+
+
+def test_quote_only_day_keeps_the_close(sample):
+    """Trades on two days with a gap; a day that only has quotes in between takes
+    nothing away from the next trading day."""
+    trades, quotes = sample
+    to = lambda df, day: df.withColumn("trade_dt", F.when(F.col("trade_dt") == F.lit("2021-01-02").cast("date"),
+                                                          F.lit(day).cast("date")).otherwise(F.col("trade_dt")))
+    t, q = to(trades, "2021-01-08"), to(quotes, "2021-01-08")
+    between = to(quotes, "2021-01-06").where("trade_dt = '2021-01-06'")
+    alone = quote_report(t, q, prev_trading_day=True).count()
+    assert alone == 7
+    both = quote_report(t, q.unionByName(between), prev_trading_day=True)
+    assert both.where("trade_dt = '2021-01-08'").count() == 7
+    asof = quote_report_asof(t, q.unionByName(between), prev_trading_day=True)
+    assert {str(r["trade_dt"]) for r in asof.select("trade_dt").distinct().collect()} == {"2021-01-06", "2021-01-08"}

@@ -23,21 +23,6 @@ def day_last(df: DataFrame, values: Sequence[str], outs: Sequence[str] | None =
     return agg.select(*partition, *[F.col(f"_last.{v}").alias(o) for v, o in zip(values, outs)])
 
 
-def close_price(trades_with_avg: DataFrame, avg_col: str = "avg_trade_price",
-                per_exchange: bool = True, venues: DataFrame | None = None) -> DataFrame:
-    """Closing price of each symbol and day = its last moving average.
-
-    The close is a property of the symbol; with ``per_exchange`` it is listed
-    once for every exchange the symbol traded on that day (the key the report
-    joins on).  ``venues`` (trade_dt, symbol, exchange) may be passed from the
-    raw trades so the list does not depend on the window computation.
-    """
-    close = day_last(trades_with_avg, [avg_col], ["close_price"])
-    if not per_exchange:
-        return close
-    return close_per_venue(close, venues if venues is not None else trades_with_avg)
-
-
 def close_per_venue(close: DataFrame, trades: DataFrame) -> DataFrame:
     """Replicate a per-symbol close (trade_dt, symbol, close_price) to every
     exchange the symbol traded on that day."""
@@ -45,34 +30,40 @@ def close_per_venue(close: DataFrame, trades: DataFrame) -> DataFrame:
     return venues.join(close, ["trade_dt", "symbol"]).select("trade_dt", "symbol", "exchange", "close_price")
 
 
-def day_close(trades: DataFrame, rows: int = 3, split=None) -> DataFrame:
+def day_close(trades: DataFrame, rows: int = 3) -> DataFrame:
     """Per (trade_dt, symbol): the last trade price and the last ``rows``-row
-    moving average (the value W1 has on the day's last trade), both from
-    partial aggregates over the series' tail - no window over every trade."""
-    from .windows import DEFAULT_SPLIT, rows_avg_at_series_end
-    last_price = day_last(trades, ["trade_price"], ["last_trade_price"])
-    last_avg = rows_avg_at_series_end(trades, "trade_price", rows, "last_avg_trade_price",
-                                      split=split if split is not None else DEFAULT_SPLIT)
-    return last_price.join(last_avg, ["trade_dt", "symbol"])
-
-
-def shift_to_next_day(close: DataFrame, prev_trading_day: bool = False,
-                      days: DataFrame | None = None) -> DataFrame:
-    """Re-key a close table to the day it is the *previous* close for.
-
-    Default: the next calendar day.  With ``prev_trading_day`` the close of a
-    day serves the next day present in ``days`` (one column ``trade_dt``), so
-    Monday sees Friday's close.  The list of days is tiny (one row per date).
+    moving average (the value W1 has on the day's last trade), both from the
+    series' last ``rows`` rows: one scan, one shuffle of a few rows per task."""
+    from .windows import rows_avg_at_series_end
+    return rows_avg_at_series_end(trades, "trade_price", rows, "last_avg_trade_price", last="last_trade_price") \
+        .select("trade_dt", "symbol", "last_trade_price", "last_avg_trade_price")
+
+
+def with_next_day(df: DataFrame, prev_trading_day: bool = False, days: DataFrame | None = None,
+                  out: str = "_next") -> DataFrame:
+    """Every row with the day(s) ``out`` it is the *previous* day for.
+
+    Default: the next calendar day.  With ``prev_trading_day`` a day serves every
+    day of ``days`` (one column ``trade_dt``) up to and including the next day
+    that ``df`` has, so Monday sees Friday's rows, and so does a day without
+    trades of its own in between; a day that serves none has a null ``out``.
+    The list of days has one row per date.
     """
     if not prev_trading_day:
-        return close.withColumn("trade_dt", F.date_add(F.col("trade_dt"), 1))
+        return df.withColumn(out, F.date_add(F.col("trade_dt"), 1))
     if days is None:
-        raise ValueError("prev_trading_day needs the table of trading days")
+        raise ValueError("prev_trading_day needs the table of days")
     from pyspark.sql import Window
-    all_days = days.select("trade_dt").union(close.select("trade_dt")).distinct()
-    nxt = all_days.select(
-        F.col("trade_dt").alias("_d"),
-        F.lead("trade_dt").over(Window.orderBy("trade_dt")).alias("_next"))
-    return (close.join(nxt, close["trade_dt"] == nxt["_d"])
-            .where(F.col("_next").isNotNull())
-            .withColumn("trade_dt", F.col("_next")).drop("_d", "_next"))
+    own = df.select("trade_dt").distinct().withColumn("_own", F.col("trade_dt"))
+    listed = own.unionByName(days.select("trade_dt").distinct(), allowMissingColumns=True) \
+        .where("trade_dt IS NOT NULL").groupBy("trade_dt").agg(F.max("_own").alias("_own"))
+    before = Window.orderBy("trade_dt").rowsBetween(Window.unboundedPreceding, -1)
+    pairs = listed.select(F.col("trade_dt").alias(out), F.last("_own", ignorenulls=True).over(before).alias("trade_dt"))
+    return df.join(pairs.where("trade_dt IS NOT NULL"), "trade_dt", "left")
+
+
+def shift_to_next_day(close: DataFrame, prev_trading_day: bool = False,
+                      days: DataFrame | None = None) -> DataFrame:
+    """Re-key a close table to the day(s) it is the previous close for."""
+    tagged = with_next_day(close, prev_trading_day, days)
+    return tagged.where("_next IS NOT NULL").withColumn("trade_dt", F.col("_next")).drop("_next")

@@ -38,16 +38,20 @@ def assign_job_ids(tracker: DataFrame, names: DataFrame) -> DataFrame:
     known = tracker.select("job_name", "job_id")
     wanted = names.select("job_name").distinct()
     old = wanted.join(known, "job_name").select("job_name", "job_id", F.lit(False).alias("is_new"))
-    new = wanted.join(known, "job_name", "left_anti").select(
-        "job_name", F.lit(None).cast("bigint").alias("job_id"), F.lit(True).alias("is_new"))
-    # Ids are dense and ordered, which needs one global order over the new
-    # names and the current maximum: both run over the (small) name table.
-    base = known.select("job_name", "job_id", F.lit(None).cast("boolean").alias("is_new")).unionByName(new)
-    top = F.coalesce(F.max("job_id").over(Window.partitionBy()), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("is_new").orderBy("job_name"))
-    fresh = base.select("job_name", "is_new", (top + rank).cast("bigint").alias("job_id")).where(
-        F.col("is_new"))
-    return old.unionByName(fresh.select("job_name", "job_id", "is_new"))
+    new = wanted.join(known, "job_name", "left_anti")
+    # Ids are dense and in name order: names are dealt by range, numbered inside
+    # their range, and each range starts after the rows of the ranges before it.
+    # The only table in one task has one row per range (and one for the maximum).
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = new.select("job_name").repartitionByRange(parts, "job_name").select(
+        "job_name", F.spark_partition_id().alias("_p"))
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).unionByName(
+        known.agg(F.coalesce(F.max("job_id"), F.lit(0)).alias("_n")).select(F.lit(-1).alias("_p"), "_n"))
+    starts = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_p").orderBy("job_name"))
+    fresh = ranged.withColumn("_rn", within).join(starts, "_p").select(
+        "job_name", (F.col("_start") + F.col("_rn")).cast("bigint").alias("job_id"), F.lit(True).alias("is_new"))
+    return old.unionByName(fresh)
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str = "job_name",

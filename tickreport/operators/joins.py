@@ -4,7 +4,8 @@
   and moving average (equi-join on trade_dt, symbol after reducing trades to
   one row per symbol and day).
 * ``attach_prev_close`` (J2/J4): inner join with the previous day's close on
-  (trade_dt, symbol, exchange).
+  (trade_dt, symbol, exchange); adaptive execution broadcasts the close table
+  when its bytes, measured at run time, are few.
 * ``asof_join`` (J3): for every left row, the latest right row of the same
   series at or before (or strictly before) its time.  Built as union + forward
   fill, split into time buckets so a hot symbol never sits in one task.
@@ -19,22 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SERIES_KEY
-from ..session import materialize
 from .windows import DEFAULT_SPLIT, Split, forward_fill
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a checked size bound.
-
-    The (already reduced) table is written once to the shared checkpoint
-    folder and counted there, so checking its size does not compute it twice.
-    Above ``max_rows`` the join stays a shuffle join, where AQE may still
-    broadcast it at run time or split skewed partitions.
-    """
-    small = materialize(df)
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 def quote_last_trade(quotes: DataFrame, day_last_trades: DataFrame) -> DataFrame:
     """Quotes ⋈ one-row-per-(trade_dt, symbol) day-last table."""
     return quotes.join(day_last_trades, ["trade_dt", "symbol"])

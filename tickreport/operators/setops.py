@@ -25,7 +25,7 @@ def quote_union(trades_with_avg: DataFrame, quotes: DataFrame, avg_col: str = "a
     trade fields.  ``distinct`` gives SQL ``UNION`` semantics; ``dates``
     restricts both sides to those trade days.
     """
-    if dates:
+    if dates is not None:
         days = [F.lit(str(d)).cast("date") for d in dates]
         trades_with_avg = trades_with_avg.where(F.col("trade_dt").isin(days))
         quotes = quotes.where(F.col("trade_dt").isin(days))
@@ -40,5 +40,6 @@ def quote_union(trades_with_avg: DataFrame, quotes: DataFrame, avg_col: str = "a
 
 
 def exchange_overlap(trades: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Exchanges present in both trades and quotes."""
-    return trades.select("exchange").intersect(quotes.select("exchange"))
+    """Exchanges present in both trades and quotes (each side reduced first,
+    so the join sees a row per exchange)."""
+    return trades.select("exchange").distinct().intersect(quotes.select("exchange").distinct())

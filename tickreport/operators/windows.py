@@ -6,8 +6,7 @@ Each operator has two physical forms with identical results:
   a hot symbol's whole day lands in one task.
 * ``split=Split(...)`` (default) - the series is cut into ordered time buckets
   so that no task ever holds more than one bucket of one series (plus halo
-  rows: n-1 rows for row frames, the frame length of the previous bucket for
-  range frames).  Results stay exact: what crosses a bucket edge is carried
+  rows: n-1 rows for row frames).  Results stay exact: what crosses a bucket edge is carried
   by a small per-bucket table (one row per series and bucket), or by
   duplicating the boundary rows into the next bucket or chunk.
 
@@ -34,15 +33,11 @@ class Split:
       series tail; one task sees at most one bucket of one series.  The
       per-bucket tables have at most 24 * 60 / bucket_minutes rows per series
       and day, so fine buckets stay cheap.
-    range_bucket_minutes: bucket width for range frames (at least the frame
-      length); rows within the frame length of the next bucket are duplicated
-      into it, i.e. a fraction minutes / width of the rows.
     chunk_rows: rows per chunk for row-count frames (ranked series are cut
       into chunks of this many rows plus the frame's halo).
     """
 
     bucket_minutes: int = 5
-    range_bucket_minutes: int = 60
     chunk_rows: int = 1 << 20
 
 
@@ -60,6 +55,14 @@ def time_bucket(c: Column, minutes: int) -> Column:
     return F.floor(minute_index(c) / F.lit(minutes)).cast("bigint")
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet null keys, as rows of one window
+    partition do; the result has the left side's key columns."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _w(partition: Sequence, order: Sequence):
     return Window.partitionBy(*partition).orderBy(*order)
 
@@ -85,7 +88,7 @@ def series_rank(df: DataFrame, partition: Sequence[str] = SERIES_KEY,
         F.coalesce(F.sum("_n").over(_w(partition, [b]).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
     )
-    ranked = local.join(offsets, [*partition, b])
+    ranked = join_same(local, offsets, [*partition, b])
     return ranked.withColumn(out, F.col("_off") + F.col("_rn")).drop("_rn", "_off", b)
 
 
@@ -136,43 +139,56 @@ def moving_avg_range(df: DataFrame, value: str = "trade_price", minutes: int = 3
 
     if split is None:
         return df.withColumn(out, frame(partition))
-    width = max(split.range_bucket_minutes, minutes)
-    mi = minute_index(F.col(time_col))
-    bucket = F.floor(mi / F.lit(width)).cast("bigint")
-    # A row at minute m is inside the frame of rows of the next bucket only if
-    # m >= next_bucket_start - minutes; only those rows are duplicated.
-    targets = F.when(
-        F.pmod(mi, F.lit(width)) >= F.lit(width - minutes),
-        F.array(F.struct(bucket.alias("_b"), F.lit(False).alias("_halo")),
-                F.struct((bucket + 1).alias("_b"), F.lit(True).alias("_halo"))),
-    ).otherwise(F.array(F.struct(bucket.alias("_b"), F.lit(False).alias("_halo"))))
-    spread = df.withColumn("_t", F.explode(targets)).select("*", "_t._b", "_t._halo").drop("_t")
-    res = spread.withColumn(out, frame([*partition, "_b"])).where(~F.col("_halo"))
-    return res.drop("_b", "_halo")
+    # Buckets of the largest width that divides the frame, so the frame starts
+    # ``back`` buckets before its row's: sum = the earlier bucket's rows from the
+    # frame's start + the whole buckets in between + the own bucket's rows up to
+    # the row.  Every part is a running sum: linear in the rows, no subtraction.
+    width = next(w for w in range(min(split.bucket_minutes, minutes), 0, -1) if minutes % w == 0)
+    back = minutes // width
+    keys, t = list(partition), F.col(time_col)
+    rows = df.withColumn("_b", time_bucket(t, width))
+    upto = _w([*keys, "_b"], [time_col]).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_s", F.sum(value).over(upto)).withColumn("_n", F.count(value).over(upto))
+    totals = df.groupBy(*keys, time_bucket(t, width).alias("_b")).agg(
+        F.sum(value).alias("_bs"), F.count(value).alias("_bn"))
+    between = _w(keys, ["_b"]).rangeBetween(-(back - 1), -1)
+    if back > 1:
+        middle = totals.where("_b IS NOT NULL").select(
+            *keys, "_b", F.sum("_bs").over(between).alias("_ms"), F.sum("_bn").over(between).alias("_mn"))
+        rows = join_same(rows, middle, [*keys, "_b"], "left")
+    else:
+        rows = rows.withColumn("_ms", F.lit(None).cast("double")).withColumn("_mn", F.lit(None).cast("bigint"))
+    # A row asks its frame's first bucket at the frame's start; rows there at that
+    # time or later come before it in descending order (peers included).
+    asks = rows.withColumn("_t", t - F.expr(f"INTERVAL {int(minutes)} MINUTES")).withColumn("_b", F.col("_b") - back)
+    asks = asks.withColumn("_v", F.lit(None).cast(df.schema[value].dataType)).withColumn("_ask", F.lit(True))
+    there = df.where(t.isNotNull()).select(
+        *keys, time_bucket(t, width).alias("_b"), t.alias("_t"), F.col(value).alias("_v"), F.lit(False).alias("_ask"))
+    since = Window.partitionBy(*keys, "_b").orderBy(F.col("_t").desc()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    both = asks.unionByName(there, allowMissingColumns=True).withColumn(
+        "_ss", F.sum("_v").over(since)).withColumn("_sn", F.count("_v").over(since))
+    parts = lambda *names: sum((F.coalesce(F.col(c), F.lit(0)) for c in names), F.lit(0))
+    n = F.when(t.isNull(), F.col("_n")).otherwise(parts("_n", "_mn", "_sn"))
+    total = F.when(t.isNull(), F.col("_s")).otherwise(parts("_s", "_ms", "_ss"))
+    return both.where("_ask").withColumn(out, F.when(n > 0, total / n)).select(*df.columns, out)
 
 
 def rows_avg_at_series_end(df: DataFrame, value: str = "trade_price", n: int = 3,
                            out: str = "avg_trade_price", partition: Sequence[str] = SERIES_KEY,
-                           order: Sequence[str] = SERIES_ORDER, time_col: str = "event_time",
-                           split: Split | None = DEFAULT_SPLIT) -> DataFrame:
+                           order: Sequence[str] = SERIES_ORDER, last: str | None = None) -> DataFrame:
     """W1 evaluated at the last row of each series: the average of its last
-    ``n`` rows, without ranking the whole series.
+    ``n`` rows, and with ``last`` the last row's value under that name.
 
-    Per-bucket row counts (a partial aggregate, one row per series and bucket)
-    show which tail buckets hold the last ``n`` rows; only those rows are
-    ranked.  A task holds at most the tail bucket(s) of one series.
+    ``row_number() <= n`` over the descending order is planned with a group
+    limit below the shuffle: each task sends at most ``n`` rows of a series.
     """
-    bucket_minutes = split.bucket_minutes if split is not None else 24 * 60
-    with_b = df.withColumn("_b", time_bucket(F.col(time_col), bucket_minutes))
-    counts = with_b.groupBy(*partition, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    later = F.sum("_n").over(Window.partitionBy(*partition).orderBy(F.col("_b").desc())
-                             .rowsBetween(Window.unboundedPreceding, -1))
-    tail = counts.select(*partition, "_b", F.coalesce(later, F.lit(0)).alias("_later")).where(
-        F.col("_later") < n).select(*partition, "_b")
-    rows = with_b.join(tail, [*partition, "_b"], "left_semi")
     rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*[F.col(o).desc() for o in order]))
-    last_n = rows.withColumn("_rk", rank).where(F.col("_rk") <= n)
-    return last_n.groupBy(*partition).agg(F.avg(value).alias(out))
+    tail = df.withColumn("_rk", rank).where(F.col("_rk") <= n)
+    found = [F.avg(value).alias(out)]
+    if last:
+        found.append(F.max(F.when(F.col("_rk") == 1, F.col(value))).alias(last))
+    return tail.groupBy(*partition).agg(*found)
 
 
 def range_avg_at_series_end(df: DataFrame, value: str = "trade_price", minutes: int = 30,
@@ -206,7 +222,7 @@ def last_value_per_series(df: DataFrame, values: Sequence[str], outs: Sequence[s
     last = df.groupBy(*partition).agg(
         F.max_by(F.struct(*values), F.struct(*order)).alias("_last"))
     last = last.select(*partition, *[F.col(f"_last.{v}").alias(o) for v, o in zip(values, outs)])
-    return df.join(last, list(partition), "left")
+    return join_same(df, last, list(partition), "left")
 
 
 # --------------------------------------------------------------------------
@@ -234,5 +250,5 @@ def forward_fill(df: DataFrame, value: str, out: str | None = None,
         *partition, b,
         F.last("_blast", ignorenulls=True).over(
             _w(partition, [b]).rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    res = local.join(carry, [*partition, b], "left")
+    res = join_same(local, carry, [*partition, b], "left")
     return res.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).drop("_local", "_carry", b)

@@ -55,7 +55,7 @@ def report(spark: SparkSession, root: str, dates: Sequence | None = None, asof:
         # Only the needed day folders are listed: the report days, and for the
         # close the calendar day before (all earlier days for trading days).
         trade_days = None
-        if dates and not kwargs.get("prev_trading_day"):
+        if dates is not None and not kwargs.get("prev_trading_day"):
             ds = [_dt.date.fromisoformat(str(d)) for d in dates]
             trade_days = sorted(set(ds) | {d - _dt.timedelta(days=1) for d in ds})
         trades = read_daily(spark, os.path.join(root, DAILY_DIR, "trade"), trade_days)

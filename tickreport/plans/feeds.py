@@ -29,30 +29,9 @@ from ..schema import QUOTE_COLUMNS, TRADE_COLUMNS
 FIXED_ARRIVAL = "2024-02-01 00:00:00"
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A source with fewer splits than the cluster has cores
-    (one small file is one row group: one task) is spread round-robin first,
-    so the per-row work before the first shuffle uses every core.  A large
-    source already has enough splits and is read as is (no extra shuffle).
-
-    The (lazy) DataFrame is reused within one application: listing the files
-    and reading the footers once per table, not once per query."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        sc = spark.sparkContext
-        key = (sc.applicationId, path)
-    except Exception:  # a remote (Connect) session has no SparkContext
-        return spark.read.parquet(path)
-    if key not in _TABLES:
-        df = spark.read.parquet(path)
-        cores = sc.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        _TABLES[key] = df
-    return _TABLES[key]
+    """A driver table; its splits follow the session's file settings."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def fixed_arrival() -> Column:

@@ -183,10 +183,8 @@ def q_quote_last_trade(spark, d):
                     "last_trade_price", _r("last_avg_trade_price"))
 
 
-def _prev_close_query(spark, d, broadcast_rows=None):
+def _prev_close_query(spark, d):
     prev = CL.shift_to_next_day(_close(spark, d))
-    if broadcast_rows:
-        prev = JN.broadcast_if_small(prev, broadcast_rows)
     j = JN.attach_prev_close(_quotes(spark, d).select(*R.QUOTE_FIELDS), prev)
     return j.select(*R.QUOTE_FIELDS, _r("close_price"))
 
@@ -196,8 +194,8 @@ def q_quote_prev_close(spark, d):
 
 
 def q_quote_prev_close_broadcast(spark, d):
-    # The close table has one row per symbol, exchange and day.
-    return _prev_close_query(spark, d, broadcast_rows=1_000_000)
+    # One row per symbol, exchange and day: broadcast if its measured bytes allow.
+    return _prev_close_query(spark, d)
 
 
 def q_quote_report(spark, d):

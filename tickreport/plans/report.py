@@ -22,8 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.close import day_close
-from ..operators.joins import asof_join, broadcast_if_small
+from ..operators.close import day_close, with_next_day
+from ..operators.joins import asof_join
 from ..operators.windows import DEFAULT_SPLIT, Split, moving_avg_range, range_avg_at_series_end
 from ..schema import REPORT_COLUMNS
 from ..session import materialize
@@ -41,12 +41,12 @@ def _restrict(trades: DataFrame, quotes: DataFrame, dates: Sequence | None,
               prev_trading_day: bool):
     """Only the report days and (for the close) the calendar day before; the
     filters sit on the scan's partition/predicate columns."""
-    if not dates:
+    if dates is None:
         return trades, quotes
     ds = _as_dates(dates)
     quotes = quotes.where(F.col("trade_dt").isin(ds))
     if prev_trading_day:
-        trades = trades.where(F.col("trade_dt") <= F.lit(max(ds)))
+        trades = trades.where(F.col("trade_dt") <= F.lit(max(ds))) if ds else trades.where(F.lit(False))
     else:
         need = sorted(set(ds) | {d - _dt.timedelta(days=1) for d in ds})
         trades = trades.where(F.col("trade_dt").isin(need))
@@ -61,18 +61,6 @@ def _movement(df: DataFrame) -> DataFrame:
     )
 
 
-def _next_day_col(df: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
-    """Adds ``_next``: the day a row's values serve as *previous* day for.
-    Calendar: trade_dt + 1.  Trading days: the next date present in ``days``
-    (a one-row-per-date table, tiny whatever the data size)."""
-    if not prev_trading_day:
-        return df.withColumn("_next", F.date_add(F.col("trade_dt"), 1))
-    from pyspark.sql import Window
-    all_days = days.select("trade_dt").union(df.select("trade_dt")).distinct()
-    nxt = all_days.select("trade_dt", F.lead("trade_dt").over(Window.orderBy("trade_dt")).alias("_next"))
-    return df.join(nxt, "trade_dt")
-
-
 def _today_and_prev(last: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
     """One row per (trade_dt, symbol) with that day's last values and the
     previous day's close, from a single pass over the day-last table.
@@ -82,7 +70,7 @@ def _today_and_prev(last: DataFrame, prev_trading_day: bool, days: DataFrame | N
     (expensive) window + aggregate that produced ``last`` has one consumer.
     """
     vals = [c for c in last.columns if c not in ("trade_dt", "symbol")]
-    tagged = _next_day_col(last, prev_trading_day, days)
+    tagged = with_next_day(last, prev_trading_day, days)
     both = tagged.select(F.inline(F.array(
         F.struct(F.col("trade_dt").alias("_d"), "symbol", F.lit(True).alias("_cur"), *vals),
         F.struct(F.col("_next").alias("_d"), "symbol", F.lit(False).alias("_cur"), *vals),
@@ -100,39 +88,37 @@ def _today_and_prev(last: DataFrame, prev_trading_day: bool, days: DataFrame | N
 def _prev_venues(trades: DataFrame, prev_trading_day: bool, days: DataFrame | None) -> DataFrame:
     """(trade_dt, symbol, exchange) of venues that traded on the previous day."""
     venues = trades.select("trade_dt", "symbol", "exchange").distinct()
-    return _next_day_col(venues, prev_trading_day, days).select(
+    return with_next_day(venues, prev_trading_day, days).select(
         F.col("_next").alias("trade_dt"), "symbol", "exchange").where(F.col("trade_dt").isNotNull())
 
 
 def _assemble(quotes: DataFrame, last: DataFrame, trades: DataFrame, prev_trading_day: bool,
-              need_today: bool, broadcast_close_rows: int | None) -> DataFrame:
+              need_today: bool) -> DataFrame:
     days = quotes.select("trade_dt").distinct() if prev_trading_day else None
     per_day = _today_and_prev(last, prev_trading_day, days).where(F.col("_has_prev") == 1)
     if need_today:
         per_day = per_day.where(F.col("_has_cur") == 1)
     per_day = per_day.drop("_has_cur", "_has_prev")
     venues = _prev_venues(trades, prev_trading_day, days)
-    if broadcast_close_rows:
-        per_day = broadcast_if_small(per_day, broadcast_close_rows)
+    # The two small tables first, so that the quotes are shuffled once (if at all).
     # Quotes on an exchange without a previous-day trade have no close: inner.
-    return quotes.join(per_day, ["trade_dt", "symbol"]).join(venues, ["trade_dt", "symbol", "exchange"])
+    per_venue = venues.join(per_day, ["trade_dt", "symbol"])
+    return quotes.join(per_venue, ["trade_dt", "symbol", "exchange"])
 
 
 def quote_report(trades: DataFrame, quotes: DataFrame, dates: Sequence | None = None,
-                 rows: int = 3, split: Split | None = DEFAULT_SPLIT, prev_trading_day: bool = False,
-                 broadcast_close_rows: int | None = None) -> DataFrame:
+                 rows: int = 3, prev_trading_day: bool = False) -> DataFrame:
     trades, quotes = _restrict(trades.select(*TRADE_FIELDS), quotes.select(*QUOTE_FIELDS),
                                dates, prev_trading_day)
     # Only the last row's moving average of each day is reported, so it is
     # computed from each series' tail instead of windowing every trade.
-    last = day_close(trades, rows, split)
-    return _movement(_assemble(quotes, last, trades, prev_trading_day, True, broadcast_close_rows))
+    last = day_close(trades, rows)
+    return _movement(_assemble(quotes, last, trades, prev_trading_day, True))
 
 
 def quote_report_asof(trades: DataFrame, quotes: DataFrame, dates: Sequence | None = None,
                       minutes: int = 30, inclusive: bool = True, split: Split | None = DEFAULT_SPLIT,
-                      prev_trading_day: bool = False, broadcast_close_rows: int | None = None,
-                      checkpoint: bool = True) -> DataFrame:
+                      prev_trading_day: bool = False, checkpoint: bool = True) -> DataFrame:
     """``checkpoint``: write the windowed trades once (shared checkpoint
     folder); the split as-of join reads its right side twice (bucket fill and
     bucket table), which would otherwise recompute the window."""
@@ -147,12 +133,10 @@ def quote_report_asof(trades: DataFrame, quotes: DataFrame, dates: Sequence | No
     # so the windowed table above has a single consumer.
     last = range_avg_at_series_end(trades, "trade_price", minutes, "close_price")
     days = quotes.select("trade_dt").distinct() if prev_trading_day else None
-    close = _next_day_col(last, prev_trading_day, days).select(
+    close = with_next_day(last, prev_trading_day, days).select(
         F.col("_next").alias("trade_dt"), "symbol", "close_price").where(F.col("trade_dt").isNotNull())
-    if broadcast_close_rows:
-        close = broadcast_if_small(close, broadcast_close_rows)
-    venues = _prev_venues(trades, prev_trading_day, days)
-    out = with_last.join(close, ["trade_dt", "symbol"]).join(venues, ["trade_dt", "symbol", "exchange"])
+    venues = _prev_venues(trades, prev_trading_day, days).join(close, ["trade_dt", "symbol"])
+    out = with_last.join(venues, ["trade_dt", "symbol", "exchange"])
     return _movement(out)
 
 

@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickreport-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -66,8 +68,9 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
 
 
 def materialize(df):
-    """Write an expensive intermediate once to the shared checkpoint folder and
-    read it back (lineage cut, survives executor loss).  Used where one
-    windowed table feeds two branches of a plan."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an expensive intermediate once, as Parquet, under the shared
+    checkpoint folder and read it back (lineage cut, survives executor loss,
+    columns stay pruned).  Used where one table feeds two branches of a plan."""
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.parse import field, parse_date, parse_double, parse_event_time, parse_long
 from ..schema import BAD, COMMON_EVENT, COMMON_EVENT_COLUMNS, JSON_LINE, QUOTE, TRADE
@@ -188,10 +189,13 @@ def parse_json_lines(df: DataFrame, arrival_time: Column | None = None,
                      keep_reason: bool = False) -> DataFrame:
     """JSON-lines records (column ``value``) → common_event (+ ``ingest_seq``).
 
-    Every key is read as text and typed like a CSV field; malformed JSON or a
-    missing key makes the line bad.
+    Every key is read as text and typed like a CSV field; malformed JSON, text
+    after the object or a missing key makes the line bad.
     """
-    rec_df = df.select("*", F.from_json(F.col("value"), JSON_LINE).alias("_rec"))
+    # As an array, a line must be one whole record: nothing may follow it.
+    records = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(JSON_LINE))
+    rec_df = df.select("*", records.alias("_recs")).select(
+        "*", F.when(F.size("_recs") == 1, F.get(F.col("_recs"), 0)).alias("_rec")).drop("_recs")
     get = lambda k: F.col("_rec").getField(k)
     common = {"trade_dt": get("trade_date"), "symbol": get("symbol"), "event_time": get("event_time"),
               "event_seq_num": get("event_seq_num"), "exchange": get("exchange")}

@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 
 def _spread(df: DataFrame, partition_col: str, files_per_value: int | None) -> DataFrame:
-    """Optionally bound the file count: ``files_per_value`` tasks per partition
-    value, chosen by a hash of the row (deterministic under retries).  Without
-    it every task writes its own rows (no shuffle); a hot value is never forced
-    into one task."""
+    """Bound the file count.  Default: a rebalance on the partition column, which
+    adaptive execution merges where values are small and splits where one is hot.
+    ``files_per_value``: that many tasks per value, chosen by a hash of the row."""
     if not files_per_value:
-        return df
+        return df.hint("rebalance", F.col(f"`{partition_col}`"))
     bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
     return df.repartition(F.col(partition_col), bucket)
 
@@ -64,7 +63,7 @@ def read_daily(spark: SparkSession, root: str, dates: list | None = None,
     """Daily area; ``dates`` (strings or dates) filter the directory label, so
     only those day folders are listed and read."""
     df = spark.read.parquet(root)
-    if dates:
+    if dates is not None:
         df = df.where(F.col(f"`{label}`").cast("date").isin([F.lit(str(d)).cast("date") for d in dates]))
     if label != "trade_dt":
         df = df.drop(label)
