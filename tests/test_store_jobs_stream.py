@@ -143,3 +143,16 @@ def test_streaming_landing_json(spark, tmp):
     assert {r["partition"]: r["n"] for r in df.groupBy("partition").agg(F.count("*").alias("n")).collect()} == {
         "T": 1, "B": 1}
     assert df.where("partition = 'T'").first()["trade_price"] == 10.5
+
+
+def test_correct_and_report_for_given_days(spark, tmp):
+    daily_job.land(spark, SAMPLE, tmp)
+    daily_job.correct(spark, tmp, dates=["2021-01-01"])
+    trades = os.path.join(tmp, "daily_data", "trade")
+    assert sorted(x for x in os.listdir(trades) if "=" in x) == ["trade-dt=2021-01-01"]
+    daily_job.correct(spark, tmp, dates=["2021-01-02"])
+    assert daily_job._needed_trade_days(spark, trades, ["2021-01-05"], True) == [dt.date(2021, 1, 2), dt.date(2021, 1, 5)]
+    out = daily_job.report(spark, tmp, dates=["2021-01-02"], prev_trading_day=True)
+    assert spark.read.parquet(out).count() == 7
+    files = [f for f in os.listdir(os.path.join(trades, "trade-dt=2021-01-01")) if f.endswith(".parquet")]
+    assert len(files) == 1  # rebalanced: one file per small day

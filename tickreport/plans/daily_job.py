@@ -11,13 +11,14 @@ import datetime as _dt
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import clean_quotes, clean_trades
 from ..operators.jobs import tracked
 from ..schema import QUOTE, TRADE
 from ..sources.ingest import ingest_csv, ingest_json
-from ..sources.store import read_daily, read_landing, write_daily, write_landing, write_report
+from ..sources.store import DAILY_LABEL, read_daily, read_landing, write_daily, write_landing, write_report
 from .report import quote_report, quote_report_asof
 
 # Folder names of the storage layout under ``root``.
@@ -37,28 +38,47 @@ def land(spark: SparkSession, source: str | list[str], root: str, fmt: str = "cs
     return path
 
 
-def correct(spark: SparkSession, root: str, run_log: str | None = None) -> tuple[str, str]:
+def correct(spark: SparkSession, root: str, run_log: str | None = None,
+            dates: Sequence | None = None) -> tuple[str, str]:
+    """Clean tables from everything landed, or only for ``dates``: other days'
+    rows are filtered at the scan and their folders are left alone."""
     landing = os.path.join(root, LANDING_DIR)
     trade_root = os.path.join(root, DAILY_DIR, "trade")
     quote_root = os.path.join(root, DAILY_DIR, "quote")
     with tracked(spark, run_log, "clean_trade"):
-        write_daily(clean_trades(read_landing(spark, landing, TRADE)), trade_root)
+        write_daily(clean_trades(_on_days(read_landing(spark, landing, TRADE), dates)), trade_root)
     with tracked(spark, run_log, "clean_quote"):
-        write_daily(clean_quotes(read_landing(spark, landing, QUOTE)), quote_root)
+        write_daily(clean_quotes(_on_days(read_landing(spark, landing, QUOTE), dates)), quote_root)
     return trade_root, quote_root
 
 
+def _on_days(df: DataFrame, dates: Sequence | None) -> DataFrame:
+    if dates is None:
+        return df
+    return df.where(F.col("trade_dt").isin([F.lit(str(d)).cast("date") for d in dates]))
+
+
+def _needed_trade_days(spark: SparkSession, trade_root: str, dates: Sequence, prev_trading_day: bool) -> list:
+    """The report days and the day before each: by the calendar, or the latest
+    earlier day that has a folder (one row per folder reaches the driver)."""
+    days = [_dt.date.fromisoformat(str(d)) for d in dates]
+    if not prev_trading_day:
+        return sorted(set(days) | {d - _dt.timedelta(days=1) for d in days})
+    label = F.col(f"`{DAILY_LABEL}`").cast("date").alias("day")
+    listed = [r["day"] for r in spark.read.parquet(trade_root).select(label).distinct().collect()]
+    before = {max((x for x in listed if x < d), default=d) for d in days}
+    return sorted(set(days) | before)
+
+
 def report(spark: SparkSession, root: str, dates: Sequence | None = None, asof: bool = False,
            run_log: str | None = None, **kwargs) -> str:
     out = os.path.join(root, ANALYTIC_DIR + ("_asof" if asof else ""))
     with tracked(spark, run_log, "transform"):
-        # Only the needed day folders are listed: the report days, and for the
-        # close the calendar day before (all earlier days for trading days).
-        trade_days = None
-        if dates is not None and not kwargs.get("prev_trading_day"):
-            ds = [_dt.date.fromisoformat(str(d)) for d in dates]
-            trade_days = sorted(set(ds) | {d - _dt.timedelta(days=1) for d in ds})
-        trades = read_daily(spark, os.path.join(root, DAILY_DIR, "trade"), trade_days)
+        # Only the needed day folders are read: the report days and, for the close, the day before.
+        trade_root, trade_days = os.path.join(root, DAILY_DIR, "trade"), None
+        if dates is not None:
+            trade_days = _needed_trade_days(spark, trade_root, dates, bool(kwargs.get("prev_trading_day")))
+        trades = read_daily(spark, trade_root, trade_days)
         quotes = read_daily(spark, os.path.join(root, DAILY_DIR, "quote"), dates)
         build = quote_report_asof if asof else quote_report
         write_report(build(trades, quotes, dates, **kwargs), out)

@@ -1,4 +1,4 @@
-"""Incremental ingest: new feed files → landing table, exactly once.
+"""Incremental ingest: new feed files → landing table, at least once.
 
 In-day files keep arriving; each run picks up only files it has not seen
 (the file source's checkpoint remembers them), parses them with the batch
@@ -42,8 +42,9 @@ def land_batch(batch: DataFrame, landing_dir: str, fmt: str = "csv",
     """Parse one micro-batch and append it to the landing table.
 
     The batch is a plain scan of the new files, so the line position inside
-    a split is deterministic (a retried batch lands identical rows, which the
-    end-of-day latest-version step collapses).
+    a split is deterministic.  A batch that is retried after its append lands its
+    rows again: the end-of-day latest-version step collapses trades and quotes,
+    but quarantined lines then count twice.
     """
     tagged = batch.select(
         "value",
