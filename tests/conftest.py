@@ -7,7 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 DATA = os.path.join(ROOT, "tests", "data")
-SAMPLE = os.path.join(DATA, "stock_sample.csv")
+SAMPLE = os.path.join(DATA, "feed.csv")
 
 
 @pytest.fixture(scope="session")

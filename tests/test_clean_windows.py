@@ -47,12 +47,12 @@ def sample(spark):
 def test_clean_keeps_latest_whole_record(sample):
     trades, quotes = sample
     assert trades.count() == 30 and quotes.count() == 22
-    dup = {str(r["trade_dt"]): r for r in quotes.where("symbol='Symbol3' AND event_seq_num=7 "
-                                                       "AND exchange='Exchange1'").collect()}
+    dup = {str(r["trade_dt"]): r for r in quotes.where("symbol='CORE' AND event_seq_num=27 "
+                                                       "AND exchange='NYX'").collect()}
     assert (dup["2021-01-01"]["bid_price"], dup["2021-01-01"]["bid_size"],
-            dup["2021-01-01"]["ask_price"], dup["2021-01-01"]["ask_size"]) == (181.23, 121, 186.21, 25)
+            dup["2021-01-01"]["ask_price"], dup["2021-01-01"]["ask_size"]) == (200.1, 4, 201.9, 7)
     assert (dup["2021-01-02"]["bid_price"], dup["2021-01-02"]["bid_size"],
-            dup["2021-01-02"]["ask_price"], dup["2021-01-02"]["ask_size"]) == (191.23, 121, 192.21, 225)
+            dup["2021-01-02"]["ask_price"], dup["2021-01-02"]["ask_size"]) == (198.7, 6, 199.9, 10)
 
 
 def test_latest_version_never_mixes_columns(spark):
@@ -84,10 +84,10 @@ def test_range_moving_average(doc_trades, split):
 def test_range_frame_peers_share_values(sample, split):
     trades, _ = sample
     got = moving_avg_range(trades, minutes=30, split=split).where(
-        "trade_dt = '2021-01-02' AND symbol = 'Symbol1'").orderBy("event_time", "exchange").collect()
+        "trade_dt = '2021-01-02' AND symbol = 'ACME'").orderBy("event_time", "exchange").collect()
     by_time = [(r["event_time"].strftime("%H:%M"), round(r["avg_trade_price"], 6)) for r in got]
-    assert ("14:00", 58.795) in by_time and by_time.count(("14:00", 58.795)) == 2
-    assert ("14:20", 58.6975) in by_time
+    assert by_time.count(("14:00", 14.4)) == 2
+    assert ("14:25", 14.325) in by_time
 
 
 def test_close_documented(doc_trades):
@@ -101,8 +101,8 @@ def test_close_sample_replicated_per_exchange(sample):
     c = close_per_venue(day_last(moving_avg_rows(trades), ["avg_trade_price"], ["close_price"]), trades).where(
         "trade_dt = '2021-01-01'").collect()
     got = sorted((r["symbol"], r["exchange"], round(r["close_price"], 6)) for r in c)
-    assert got == [("Symbol1", "Exchange1", 57.606667), ("Symbol1", "Exchange2", 57.606667),
-                   ("Symbol2", "Exchange1", 85.14), ("Symbol3", "Exchange1", 185.056667)]
+    assert got == [("ACME", "LSQ", 12.833333), ("ACME", "NYX", 12.833333), ("BOLT", "LSQ", 50.833333),
+                   ("BOLT", "NYX", 50.833333), ("CORE", "NYX", 200.666667)]
 
 
 def test_last_value_per_series(doc_trades):

@@ -97,8 +97,8 @@ def test_bad_records_keep_line(spark):
 def test_ingest_seq_orders_lines_within_file(spark):
     ev = parse_csv_lines(read_lines(spark, SAMPLE)).where("partition = 'Q'")
     # The duplicate quote key: the later line must carry the greater tag.
-    dup = ev.where("symbol = 'Symbol3' AND event_seq_num = 7").orderBy("ingest_seq").collect()
-    assert [r["bid_price"] for r in dup] == [182.23, 181.23, 183.23, 191.23]
+    dup = ev.where("symbol = 'CORE' AND event_seq_num = 27").orderBy("ingest_seq").collect()
+    assert [r["bid_price"] for r in dup] == [200.4, 200.1, 198.2, 198.7]
 
 
 def test_filters_stay_above_the_parser(spark):
@@ -147,7 +147,7 @@ def test_json_files_through_daily_job(spark, tmp_path):
             recs.append(line.rstrip("\n"))
     src.write_text("\n".join(_json.dumps(r) if isinstance(r, dict) else r for r in recs) + "\n")
     out = daily_job.run_all(spark, str(src), str(tmp_path / "root"), fmt="json", dates=["2021-01-02"])
-    assert spark.read.parquet(out).count() == 7
+    assert spark.read.parquet(out).count() == 10
 
 
 def test_json_line_is_one_whole_record(spark):

@@ -17,16 +17,19 @@ from tickreport.sources.ingest import parse_csv_lines, read_lines
 
 SPLITS = [None, Split(bucket_minutes=1, chunk_rows=2), Split()]
 
-# Documented report for 2021-01-02 (symbol, exchange, time, seq, last price,
-# last average, bid movement, ask movement).
+# Own figures for the own feed on 2021-01-02, worked out with pandas (symbol, venue,
+# time, number, last price, last average, bid movement, ask movement).
 GOLDEN_REPORT = [
-    ("Symbol1", "Exchange1", "10:00", 1, 59.62, 58.606667, 2.013333, 3.023333),
-    ("Symbol1", "Exchange2", "10:10", 2, 59.62, 58.606667, 1.613333, 4.023333),
-    ("Symbol1", "Exchange1", "10:20", 3, 59.62, 58.606667, 0.943333, 5.023333),
-    ("Symbol1", "Exchange1", "15:20", 3, 59.62, 58.606667, 0.723333, 5.023333),
-    ("Symbol2", "Exchange1", "10:15", 5, 83.252, 83.150667, 0.08, 2.07),
-    ("Symbol3", "Exchange1", "12:00", 7, 183.97, 184.056667, 6.173333, 7.153333),
-    ("Symbol3", "Exchange1", "12:20", 9, 183.97, 184.056667, 4.053333, 5.199333),
+    ("ACME", "NYX", "09:20", 21, 14.1, 14.366667, -0.033333, 0.466667),
+    ("ACME", "LSQ", "09:55", 22, 14.1, 14.366667, 0.366667, 0.766667),
+    ("ACME", "NYX", "14:00", 23, 14.1, 14.366667, 1.466667, 1.866667),
+    ("ACME", "LSQ", "14:40", 30, 14.1, 14.366667, 1.166667, 1.666667),
+    ("BOLT", "NYX", "09:45", 24, 46.4, 46.966667, -3.033333, -2.433333),
+    ("BOLT", "LSQ", "10:30", 25, 46.4, 46.966667, -3.633333, -2.933333),
+    ("BOLT", "LSQ", "13:10", 31, 46.4, 46.966667, -3.933333, -3.533333),
+    ("BOLT", "NYX", "15:00", 26, 46.4, 46.966667, -4.633333, -4.033333),
+    ("CORE", "NYX", "12:00", 27, 202.4, 201.3, -1.966667, -0.766667),
+    ("CORE", "NYX", "15:15", 29, 202.4, 201.3, 1.433333, 2.333333),
 ]
 
 
@@ -68,10 +71,18 @@ def test_asof_golden(sample, split):
     hit = sorted((str(r["trade_dt"]), r["symbol"], r["exchange"], r["event_time"].strftime("%H:%M"),
                   r["trade_price"], round(r["avg_trade_price"], 6))
                  for r in a.where("trade_price IS NOT NULL").collect())
-    assert hit == [("2021-01-01", "Symbol1", "Exchange1", "15:20", 58.62, 57.606667),
-                   ("2021-01-01", "Symbol2", "Exchange2", "15:05", 84.22, 85.14),
-                   ("2021-01-02", "Symbol1", "Exchange1", "15:20", 59.62, 58.606667),
-                   ("2021-01-02", "Symbol2", "Exchange2", "15:05", 83.252, 83.150667)]
+    d1, d2 = "2021-01-01", "2021-01-02"
+    assert hit == sorted([
+        (d1, "ACME", "LSQ", "10:15", 12.5, 11.166667), (d1, "ACME", "NYX", "09:40", 10.0, 10.0),
+        (d1, "ACME", "NYX", "13:15", 13.0, 12.5), (d1, "ACME", "NYX", "14:05", 12.9, 12.833333),
+        (d1, "BOLT", "LSQ", "11:00", 51.0, 51.0), (d1, "BOLT", "LSQ", "15:10", 49.5, 50.833333),
+        (d1, "BOLT", "NYX", "14:30", 49.5, 50.833333), (d1, "CORE", "LSQ", "12:20", 201.0, 201.0),
+        (d1, "CORE", "NYX", "12:00", 201.0, 201.0), (d1, "CORE", "NYX", "15:30", 199.0, 200.666667),
+        (d2, "ACME", "LSQ", "09:55", 13.4, 13.25), (d2, "ACME", "LSQ", "14:40", 14.1, 14.366667),
+        (d2, "ACME", "NYX", "14:00", 14.6, 13.933333), (d2, "BOLT", "LSQ", "10:30", 47.5, 47.75),
+        (d2, "BOLT", "LSQ", "13:10", 47.0, 47.5), (d2, "BOLT", "NYX", "09:45", 48.0, 48.0),
+        (d2, "BOLT", "NYX", "15:00", 46.4, 46.966667), (d2, "CORE", "LSQ", "12:40", 198.5, 197.75),
+        (d2, "CORE", "NYX", "12:00", 198.5, 197.75), (d2, "CORE", "NYX", "15:15", 202.4, 201.3)])
 
 
 def _brute_asof(quotes, trades, inclusive):
@@ -116,17 +127,19 @@ def test_report_asof_semantics(sample):
     trades, quotes = sample
     rows = quote_report_asof(trades, quotes, split=Split(bucket_minutes=1)).orderBy(
         "symbol", "event_time").collect()
-    assert len(rows) == 7
+    assert len(rows) == 10
     matched = [r for r in rows if r["last_trade_price"] is not None]
     assert [(r["symbol"], r["event_time"].strftime("%H:%M"), r["last_trade_price"]) for r in matched] == [
-        ("Symbol1", "15:20", 59.62)]
-    assert round(matched[0]["last_avg_trade_price"], 6) == 58.6975
+        ("ACME", "09:55", 13.4), ("ACME", "14:00", 14.6), ("ACME", "14:40", 14.1), ("BOLT", "09:45", 48.0),
+        ("BOLT", "10:30", 47.5), ("BOLT", "13:10", 47.0), ("BOLT", "15:00", 46.4), ("CORE", "12:00", 198.5),
+        ("CORE", "15:15", 202.4)]
+    assert [round(r["last_avg_trade_price"], 6) for r in matched[:3]] == [13.25, 14.4, 14.325]
 
 
 def test_preview_is_ordered_top_k(sample):
     trades, quotes = sample
     prev = report_preview(quote_report(trades, quotes), 3).collect()
-    assert [r["event_seq_num"] for r in prev] == [1, 2, 3]
+    assert [r["event_seq_num"] for r in prev] == [21, 22, 23]
 
 
 def test_union_documented(spark):
@@ -152,14 +165,14 @@ def test_report_asof_previous_trading_day(sample):
     trades, quotes = sample
     plain = quote_report_asof(trades, quotes, split=Split(bucket_minutes=1)).count()
     trading = quote_report_asof(trades, quotes, split=Split(bucket_minutes=1), prev_trading_day=True).count()
-    assert plain == trading == 7
+    assert plain == trading == 10
     # A gap day: move day 2 two days later; calendar close is missing, trading-day close is not.
     shift = lambda df: df.withColumn("trade_dt", F.when(F.col("trade_dt") == F.lit("2021-01-02").cast("date"),
                                                         F.lit("2021-01-04").cast("date")).otherwise(F.col("trade_dt")))
     t2, q2 = shift(trades), shift(quotes)
     assert quote_report(t2, q2).count() == 0
-    assert quote_report(t2, q2, prev_trading_day=True).count() == 7
-    assert quote_report_asof(t2, q2, prev_trading_day=True).count() == 7
+    assert quote_report(t2, q2, prev_trading_day=True).count() == 10
+    assert quote_report_asof(t2, q2, prev_trading_day=True).count() == 10
 
 
 def test_union_documented_full(spark):
@@ -224,8 +237,8 @@ def test_quote_only_day_keeps_the_close(sample):
     t, q = to(trades, "2021-01-08"), to(quotes, "2021-01-08")
     between = to(quotes, "2021-01-06").where("trade_dt = '2021-01-06'")
     alone = quote_report(t, q, prev_trading_day=True).count()
-    assert alone == 7
+    assert alone == 10
     both = quote_report(t, q.unionByName(between), prev_trading_day=True)
-    assert both.where("trade_dt = '2021-01-08'").count() == 7
+    assert both.where("trade_dt = '2021-01-08'").count() == 10
     asof = quote_report_asof(t, q.unionByName(between), prev_trading_day=True)
     assert {str(r["trade_dt"]) for r in asof.select("trade_dt").distinct().collect()} == {"2021-01-06", "2021-01-08"}

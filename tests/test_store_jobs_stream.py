@@ -54,14 +54,14 @@ def test_daily_dynamic_overwrite_is_idempotent(spark, tmp):
 def test_daily_job_end_to_end(spark, tmp):
     out = daily_job.run_all(spark, SAMPLE, tmp, dates=["2021-01-02"])
     rep = spark.read.parquet(out)
-    assert rep.count() == 7
+    assert rep.count() == 10
     assert os.path.isdir(os.path.join(out, "date=2021-01-02"))
     # A second landing of the same file (a rerun) must not change the result:
     # versions collapse in the cleaning step, the report overwrites its day.
     daily_job.land(spark, SAMPLE, tmp)
     daily_job.correct(spark, tmp)
     out = daily_job.report(spark, tmp, dates=["2021-01-02"])
-    assert spark.read.parquet(out).count() == 7
+    assert spark.read.parquet(out).count() == 10
 
 
 def test_jobs(spark):
@@ -124,7 +124,7 @@ def test_report_reads_only_needed_days(spark, tmp):
     # A table without feed positions still cleans (arrival_time orders versions).
     assert clean_trades(trades.drop("ingest_seq")).count() == 15
     out = daily_job.report(spark, tmp, dates=["2021-01-02"])
-    assert spark.read.parquet(out).count() == 7
+    assert spark.read.parquet(out).count() == 10
 
 
 def test_streaming_landing_json(spark, tmp):
@@ -153,6 +153,6 @@ def test_correct_and_report_for_given_days(spark, tmp):
     daily_job.correct(spark, tmp, dates=["2021-01-02"])
     assert daily_job._needed_trade_days(spark, trades, ["2021-01-05"], True) == [dt.date(2021, 1, 2), dt.date(2021, 1, 5)]
     out = daily_job.report(spark, tmp, dates=["2021-01-02"], prev_trading_day=True)
-    assert spark.read.parquet(out).count() == 7
+    assert spark.read.parquet(out).count() == 10
     files = [f for f in os.listdir(os.path.join(trades, "trade-dt=2021-01-01")) if f.endswith(".parquet")]
     assert len(files) == 1  # rebalanced: one file per small day
