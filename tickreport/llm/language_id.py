@@ -71,12 +71,14 @@ def fit(texts: dict[str, list[bytes]]) -> np.ndarray:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
           languages: tuple[str, ...] = LANGUAGES, train_docs: int = TRAIN_DOCS) -> np.ndarray:
-    """The trigram model of ``languages``, from ``train_docs`` texts of each at most."""
+    """The trigram model of ``languages``, from ``train_docs`` different texts of each
+    at most.  Hashes are picked first, so only the picked texts reach the driver."""
     texts = {}
     for lang in sorted(languages):
-        rows = docs.where((F.lower(col(lang_col)) == lang) & col(text_col).isNotNull()) \
-            .select(col(text_col).alias("t"), F.xxhash64(col(text_col)).alias("h")) \
-            .orderBy("h").limit(train_docs).collect()
+        own = docs.where((F.lower(col(lang_col)) == lang) & col(text_col).isNotNull()) \
+            .select(col(text_col).alias("t"), F.xxhash64(col(text_col)).alias("h"))
+        picks = own.select("h").distinct().orderBy("h").limit(train_docs)
+        rows = own.join(F.broadcast(picks), "h").groupBy("h").agg(F.min("t").alias("t")).collect()
         texts[lang] = [r["t"].encode() for r in rows]
     return fit(texts)
 
@@ -149,7 +151,6 @@ def identify(rows: DataFrame, model: np.ndarray, text_col: str, declared_col: st
     def joined(left: DataFrame, by: Column, name: str) -> DataFrame:
         return left.join(counts[name], by == counts[name][name]).drop(name)
 
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     keys = {"by_declared": F.col(d), "by_suffix": F.col(s), "by_host": F.col(h), "by_domain": domain_of(F.col(h))}
     counts = {name: sums(by, name) for name, by in keys.items()}
     # The global counts: one row of k numbers.
@@ -158,34 +159,43 @@ def identify(rows: DataFrame, model: np.ndarray, text_col: str, declared_col: st
     out = base
     for name, by in keys.items():
         out = joined(out, by, name)
-    own, all_n = F.col(p), F.array(*map(F.lit, world))
-
-    def less(n: Column) -> Column:  # counts without the row's own share
-        return F.transform(n, lambda x, i: F.greatest(x - own[i], F.lit(0.0)))
-
-    def smoothed(n: Column, upper: Column) -> Column:
-        return F.transform(n, lambda x, i: (x + alpha * upper[i]) / (total(n) + alpha))
-
-    # Each step in a column of its own, so that none is computed inside the next.
-    steps = fresh(out, "g_", "dn_", "hn_", "gp_", "dp_", "hp_", "logs_")
-    g, dn, hn, gp, dp, hp, logs = map(F.col, steps)
-    out = out.withColumn(steps[0], less(all_n)).withColumn(steps[1], less(F.col("by_domain_n"))) \
-        .withColumn(steps[2], less(F.col("by_host_n")))
-    out = out.withColumn(steps[3], F.transform(g, lambda x: (x + 1.0) / (total(g) + k)))
-    out = out.withColumn(steps[4], smoothed(dn, gp))
-    out = out.withColumn(steps[5], smoothed(hn, dp))
-
-    def given(n: Column, i: Column) -> Column:  # P(value | class i), a class without rows tells nothing
-        return F.log((F.greatest(n[i] - own[i], F.lit(0.0)) + 0.5) / (g[i] + 1.0))
-
-    out = out.withColumn(steps[6], F.transform(F.col(e), lambda x, i: x + F.log(hp[i])
-                                               + given(F.col("by_declared_n"), i) + given(F.col("by_suffix_n"), i)))
-    names = F.array(*map(F.lit, classes))
-    best = F.array_max(logs)
-    sum_ = F.aggregate(logs, F.lit(0.0), lambda a, x: a + F.exp(x - best))
-    return out.select(
-        *map(col, keep), names[F.array_position(F.col(e), F.array_max(F.col(e))).cast("int") - 1].alias("text_lang"),
-        names[F.array_position(logs, best).cast("int") - 1].alias("lang"), (1.0 / sum_).alias("confidence"))
+    schema = T.StructType([rows.schema[c] for c in keep] + [
+        T.StructField("text_lang", T.StringType()), T.StructField("lang", T.StringType()),
+        T.StructField("confidence", T.DoubleType())])
+    n_keep, levels = len(keep), list(keys)
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            evidence, own, *counted = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+                                       for i in range(n_keep, n_keep + 2 + len(levels)))
+            logs = fused(evidence, own, dict(zip(levels, counted)), np.array(world), alpha)
+            best = logs.max(axis=1, keepdims=True)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(i) for i in range(n_keep)]
+                + [pa.array([classes[i] for i in evidence.argmax(axis=1)]),
+                   pa.array([classes[i] for i in logs.argmax(axis=1)]),
+                   pa.array(1.0 / np.exp(logs - best).sum(axis=1))], schema.names)
+
+    return out.select(*map(col, keep), e, p, *[f"{name}_n" for name in levels]).mapInArrow(run, schema)
+
+
+def fused(evidence: np.ndarray, own: np.ndarray, counts: dict[str, np.ndarray], world: np.ndarray,
+          alpha: float) -> np.ndarray:
+    """Log posteriors (rows, classes) up to a constant, from the text's evidence and
+    the counts of each row's declared language, suffix, host, domain and of all
+    rows, less the row's own share."""
+    less = {name: np.maximum(n - own, 0.0) for name, n in counts.items()}
+    rest = np.maximum(world - own, 0.0)
+    prior = (rest + 1.0) / (rest + 1.0).sum(axis=1, keepdims=True)
+    for level in ("by_domain", "by_host"):
+        n = less[level]
+        prior = (n + alpha * prior) / (n.sum(axis=1, keepdims=True) + alpha)
+    out = evidence + np.log(prior)
+    for name in ("by_declared", "by_suffix"):  # P(value | class); a class without rows tells nothing
+        out = out + np.log((less[name] + 0.5) / (rest + 1.0))
+    return out
 
 
 def identify_pages(pages: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
