@@ -58,12 +58,22 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % ENDINGS
 
 
+class WordIds(dict):
+    """Ids of the top words; any other word has the id of its ending."""
+
+    def __init__(self, top: list[tuple[bytes, int]]):
+        super().__init__((w, i) for i, (w, _) in enumerate(top))
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + (ending(word) if word else 0)
+
+
 class Vocabulary:
     """Ids, classes and in-class probabilities.  Ids 0..K-1 are the top words by
     falling count, K..K+ENDINGS-1 all other words by ending, then the pad."""
 
     def __init__(self, top: list[tuple[bytes, int]], rest: list[tuple[int, int]], total: int, size: int):
-        self.ids = {w: i for i, (w, _) in enumerate(top)}
+        self.ids = WordIds(top)
         k = self.k = len(top)
         self.pad = k + ENDINGS
         self.total, self.size = total, size
@@ -86,8 +96,10 @@ class Vocabulary:
         self.open = np.where(filled.reshape(-1, WIDTH), 0.0, -1e9).astype(np.float32)
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        get, k = self.ids.get, self.k
-        return np.array([i if (i := get(w, -1)) >= 0 else k + ending(w) for w in words] + [get(END, k)], np.int64)
+        out = np.empty(len(words) + 1, np.int64)
+        out[:-1] = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        out[-1] = self.ids[END]
+        return out
 
 
 def features(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -111,6 +123,23 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def softmax_off(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The gradient at the logits ``x`` (overwritten): the target less the softmax."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= -1.0 / x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), target] += 1.0
+    return x
+
+
+def log_likelihood(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The log softmax of the targets alone (``x`` is overwritten)."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
+
+
 def _sequence(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
     """Ids with three pads before each text, the tokens' positions and texts, and the words."""
     words = [words_of(t) for t in texts]
@@ -148,7 +177,13 @@ class Trainer:
         self.square = [np.ones(ROWS, np.float32) for _ in self.tables]
         self.used = [np.zeros(ROWS, np.float32) for _ in self.tables]
 
-    def _step(self, which: int, rows: np.ndarray, off: np.ndarray) -> None:
+    def _step(self, which: int, rows: np.ndarray, off: np.ndarray, bias: bool = False) -> None:
+        if bias:  # row 0, which every token has
+            grad = off.sum(axis=0)
+            self.square[which][0] += (grad * grad).sum()
+            self.used[which][0] += len(off)
+            self.tables[which][0] += grad * (RATE / np.sqrt(self.square[which][0]))
+            rows = rows[:, 1:]
         flat = rows.ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")  # a radix sort
         sorted_ = flat[order]
@@ -157,7 +192,7 @@ class Trainer:
         grad = np.add.reduceat(off[order // rows.shape[1]], at, axis=0)
         self.square[which][hit] += (grad * grad).sum(axis=1)
         self.used[which][hit] += times
-        self.tables[which][hit] += RATE * grad / np.sqrt(self.square[which][hit])[:, None]
+        self.tables[which][hit] += grad * (RATE / np.sqrt(self.square[which][hit]))[:, None]
 
     def learn(self, vocabulary: Vocabulary, texts: list[bytes]) -> None:
         seq, at, _, _ = _sequence(vocabulary, texts)
@@ -165,14 +200,12 @@ class Trainer:
             now = at[i:i + BATCH]
             rows, ids = features(seq, now), seq[now]
             cls = vocabulary.cls[ids]
-            off = -np.exp(log_softmax(logits(self.tables[0], rows)))
-            off[np.arange(len(now)), cls] += 1.0
-            self._step(0, rows, off)
+            self._step(0, rows, softmax_off(logits(self.tables[0], rows), cls), bias=True)
             few = np.flatnonzero(vocabulary.member[ids] >= 0)
             if len(few):
                 rows = joined(rows[few], cls[few])
-                off = -np.exp(log_softmax(logits(self.tables[1], rows) + vocabulary.open[cls[few]]))
-                off[np.arange(len(few)), vocabulary.member[ids[few]]] += 1.0
+                off = softmax_off(logits(self.tables[1], rows) + vocabulary.open[cls[few]],
+                                  vocabulary.member[ids[few]])
                 self._step(1, rows, off)
 
     def changes(self) -> Iterator[tuple[int, int, bytes, bytes]]:
@@ -194,14 +227,20 @@ def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) ->
     for i in range(0, len(at), BATCH):
         now, own = at[i:i + BATCH], ids[i:i + BATCH]
         rows, cls = features(seq, now), vocabulary.cls[own]
-        got = log_softmax(logits(weights.tables[0], rows))[np.arange(len(now)), cls] + vocabulary.within[own]
+        got = log_likelihood(logits(weights.tables[0], rows), cls) + vocabulary.within[own]
         few = np.flatnonzero(vocabulary.member[own] >= 0)
         if len(few):
             scores = logits(weights.tables[1], joined(rows[few], cls[few])) + vocabulary.open[cls[few]]
-            got[few] += log_softmax(scores)[np.arange(len(few)), vocabulary.member[own[few]]]
+            got[few] += log_likelihood(scores, vocabulary.member[own[few]])
         total[i:i + BATCH] = got
     n, top = len(texts), ids < vocabulary.k
-    others = [Counter(x for x in w if x not in vocabulary.ids) for w in words]
+    others: list[Counter] = [Counter() for _ in texts]
+    first = np.cumsum([len(w) + 1 for w in words]) - [len(w) + 1 for w in words]
+    for i in np.flatnonzero(~top & (ids < vocabulary.pad)).tolist():
+        t = text[i]
+        at_word = i - first[t]
+        if at_word < len(words[t]):  # not the end
+            others[t][words[t][at_word]] += 1
     return (np.bincount(text, minlength=n), np.bincount(text, top, n), np.bincount(text, vocabulary.base[ids], n),
             np.bincount(text, total, n), others)
 
@@ -282,7 +321,15 @@ def fit(docs: DataFrame, text_col: str = "text", top: int = TOP, rounds: int = R
     end = F.pmod(F.crc32(F.when(F.length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))),
                  F.lit(ENDINGS)).cast("int")
     groups = {r[0]: (r[1], r[2]) for r in counts.groupBy(end.alias("g")).agg(F.sum("c"), F.count(F.lit(1))).collect()}
-    first = counts.orderBy(F.desc("c"), "word").limit(top).toArrow()  # at most `top` rows
+    # Only words of at least the power of two that `top` words reach are ranked, so
+    # the tasks together send about `top` rows, not `top` each.
+    powers = sorted(counts.groupBy(F.floor(F.log2("c")).cast("int").alias("b")).count().collect(), reverse=True)
+    floor, seen = 0, 0
+    for power, n in powers:
+        floor, seen = power, seen + n
+        if seen >= top:
+            break
+    first = counts.where(F.col("c") >= 2 ** floor).orderBy(F.desc("c"), "word").limit(top).toArrow()
     words = list(zip(first.column("word").to_pylist(), first.column("c").to_pylist()))
     rest = [list(groups.get(g, (0, 0))) for g in range(ENDINGS)]
     total, size = sum(n for n, _ in rest), sum(v for _, v in rest)
