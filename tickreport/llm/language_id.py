@@ -138,7 +138,7 @@ def identify(rows: DataFrame, model: np.ndarray, text_col: str, declared_col: st
     base = rows.withColumn(d, F.when(known.isin(*classes[:-1]), known).when(known == "", "").otherwise("other")) \
         .withColumn(h, F.coalesce(col(host_col), F.lit(""))).withColumn(s, F.coalesce(col(suffix_col), F.lit("")))
     base = append_columns(base, text_col, [T.StructField(e, T.ArrayType(T.DoubleType()))], factory,
-                          [*keep, d, h, s], most=2 << 20)
+                          [*keep, d, h, s], most=1 << 20)
     lik = F.transform(F.col(e), lambda x: F.exp(x))
     post = F.transform(lik, lambda x: x / F.aggregate(lik, F.lit(0.0), lambda a, b: a + b))
     p = fresh(base, "own_")[0]

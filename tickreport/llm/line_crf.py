@@ -279,7 +279,7 @@ def quality_scores(docs: DataFrame, model: Model, text_col: str = "text", keep:
     def factory():
         return lambda texts: [pa.array(score(model, utf8(texts))[0])]
 
-    return append_columns(docs, text_col, [T.StructField(name, T.DoubleType())], factory, keep, most=2 << 20)
+    return append_columns(docs, text_col, [T.StructField(name, T.DoubleType())], factory, keep, most=1 << 20)
 
 
 def line_labels(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -290,7 +290,7 @@ def line_labels(docs: DataFrame, model: Model, text_col: str = "text", keep: lis
 
     name = fresh(docs, "line_good")[0]
     return append_columns(docs, text_col, [T.StructField(name, T.ArrayType(T.DoubleType()))], factory, keep,
-                          most=2 << 20)
+                          most=1 << 20)
 
 
 def fold(id_: Column) -> Column:
