@@ -8,8 +8,10 @@ give a document's share of good text, which a logistic curve maps to the score.
 Only documents are labelled, so training starts from the document's label for
 all its lines and then lets the model relabel lines of bad documents, at least
 one of which stays bad.  Training reads a bounded sample of labelled documents
-(``TRAIN_DOCS`` of each class, by hash order; of a longer document the chains
-are cut every ``TRAIN_CHAIN`` lines); scoring reads every whole text.
+(``TRAIN_DOCS`` of each class, by hash order, with half of ``TRAIN_LINES`` for
+each class; chains are cut every ``TRAIN_CHAIN`` lines, and where a class has too
+many lines its longest documents give some of their chains); scoring reads every
+whole text.  Tasks make the lines' features, so the driver holds no text.
 """
 
 from __future__ import annotations
@@ -199,21 +201,29 @@ def _document_share(good: np.ndarray, lines: Lines) -> np.ndarray:
 
 def fit(texts: list[bytes], labels: list[int]) -> Model:
     """A model from whole labelled texts.  With one class or none it scores 0.5."""
+    return fit_lines(lines_in_parts(texts) if texts else None, labels)
+
+
+def fit_lines(lines: Lines | None, labels: list[int], halo: np.ndarray | None = None) -> Model:
+    """A model from the lines of labelled texts.  Lines in ``halo`` are neighbours
+    of a text's chosen chains: they teach nothing themselves."""
     edges = np.zeros((N_FEATURES, BINS - 1), np.float32)
     blank = Model(edges, np.zeros(3 * N_FEATURES * (BINS + 1)), 0.0, np.zeros((2, 2)), (0.0, 0.0))
     if len(set(labels)) < 2:
         return blank
-    lines = lines_in_parts(texts)
+    whole, own = lines, np.ones(len(lines.length), bool) if halo is None else ~halo
+    first = np.concatenate([[0], np.cumsum(own)])[whole.first]
+    lines = Lines(whole.features[own], whole.length[own], first)
     quantiles = np.linspace(0, 1, BINS + 1)[1:-1]
     for f in range(N_FEATURES):
         values = lines.features[:, f]
         moving = values[values != np.median(values)]  # bins for what differs from the usual value
         edges[f] = np.quantile(moving, quantiles) if len(moving) else values[0]
-    index = binned(lines, edges)
+    index = binned(whole, edges)[own]
     sizes = np.diff(lines.first)
     quality = np.array(labels, float)
     label = np.repeat(quality, sizes)
-    text = np.repeat(np.arange(len(texts)), sizes)
+    text = np.repeat(np.arange(len(labels)), sizes)
     inside = np.arange(len(label)) - np.repeat(lines.first[:-1], sizes)
     chains = np.concatenate([np.flatnonzero(inside % TRAIN_CHAIN == 0), [len(label)]])
     weight = np.minimum(2.0, (lines.length + 1.0) / np.mean(lines.length + 1.0))
@@ -221,7 +231,7 @@ def fit(texts: list[bytes], labels: list[int]) -> Model:
         weights, bias, step = _fit_chain(index, chains, label, weight)
         good, _ = marginals(weights[index].sum(axis=1) + bias, step, lines.first)
         if turn == 0:
-            worst = np.full(len(texts), 2.0)
+            worst = np.full(len(labels), 2.0)
             np.minimum.at(worst, text, good)
             label = np.where(quality[text] == 1, 1.0, ((good > 0.5) & (good > worst[text])).astype(float))
     share = _document_share(good, lines)
@@ -247,10 +257,53 @@ def score(model: Model, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray
     return 1 / (1 + np.exp(-(a * _document_share(good, lines) + b))), np.split(good, lines.first[1:-1])
 
 
+def shares(sizes: list[int], most: int) -> list[int]:
+    """Lines to take of each text, ``most`` in all: whole texts, or where they are
+    too many, the same number of chains at most from each.  If one chain of each is
+    still too much, the texts before the bound give theirs."""
+    if sum(sizes) <= most:
+        return list(sizes)
+    low, high = 1, max(1, max(sizes) // TRAIN_CHAIN)
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if sum(min(n, mid * TRAIN_CHAIN) for n in sizes) <= most else (low, mid - 1)
+    out, left = [], most
+    for n in sizes:
+        n = min(n, low * TRAIN_CHAIN)
+        out.append(n if n <= left else 0)
+        left -= out[-1]
+    return out
+
+
+def _chosen(docs: DataFrame, plan: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(at, features, length, halo) of the planned lines, made in the tasks."""
+    schema = T.StructType([T.StructField("at", T.LongType()), T.StructField("features", T.BinaryType()),
+                           T.StructField("length", T.BinaryType()), T.StructField("halo", T.BinaryType())])
+
+    def run(batches):
+        for b in batches:
+            for i, text in enumerate(utf8(b.column(3))):
+                at, start, take = (b.column(k)[i].as_py() for k in range(3))
+                lines = lines_of([text])
+                head, end = max(0, start - 1), min(len(lines.length), start + take + 1)
+                inside = np.arange(head, end)
+                halo = (inside < start) | (inside >= start + take)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at], pa.int64()), pa.array([lines.features[head:end].tobytes()], pa.binary()),
+                     pa.array([lines.length[head:end].astype(np.int64).tobytes()], pa.binary()),
+                     pa.array([halo.tobytes()], pa.binary())], schema.names)
+
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).where("text IS NOT NULL")
+    picked = texts.join(F.broadcast(plan), (F.col("id") == F.col("p_id")) & (F.xxhash64("text") == F.col("p_hash")))
+    return picked.select("p_at", "p_start", "p_take", "text").mapInArrow(run, schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-          label_col: str = "quality", train_docs: int = TRAIN_DOCS) -> Model:
+          label_col: str = "quality", train_docs: int = TRAIN_DOCS, train_lines: int = TRAIN_LINES) -> Model:
     """A model from ``train_docs`` documents of each class at most, taken by the
-    hash order of the id.  Rows with a null id, label or text teach nothing."""
+    hash order of the id, and ``train_lines`` lines in all (half for each class,
+    and what one class leaves goes to the other).  Rows with a null id, label or
+    text teach nothing; of an id's texts one does."""
     known = labels.where(col(id_col).isNotNull() & col(label_col).isNotNull()) \
         .groupBy(col(id_col).alias("id")).agg(F.min(col(label_col)).alias("y"))
     picks = None
@@ -258,17 +311,33 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(train_docs)
         picks = part if picks is None else picks.unionByName(part)
     sample = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(picks), "id")
-    rows = sample.where("text IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y")) \
-        .orderBy(F.xxhash64("id"), "id").collect()  # the picked ids' rows
-    texts, ys, total = [], [], 0
-    for r in rows:
-        t = r["text"].encode()
-        total += t.count(b"\n") + 1
-        if total > TRAIN_LINES:
-            break
-        texts.append(t)
-        ys.append(int(r["y"]))
-    return fit(texts, ys)
+    n_lines = (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    rows = sample.where("text IS NOT NULL").groupBy("id") \
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), n_lines.alias("lines"))).alias("s"), F.min("y").alias("y")) \
+        .orderBy(F.xxhash64("id"), "id").collect()  # the picked ids' numbers
+    ys = [int(r["y"]) for r in rows]
+    total = {y: sum(r["s"]["lines"] for r, x in zip(rows, ys) if x == y) for y in (0, 1)}
+    take = [0] * len(rows)
+    for y in (0, 1):
+        mine = [i for i, x in enumerate(ys) if x == y]
+        most = max(train_lines // 2, train_lines - total[1 - y])
+        for i, n in zip(mine, shares([rows[i]["s"]["lines"] for i in mine], most)):
+            take[i] = n
+    plan = []
+    for i, (r, n) in enumerate(zip(rows, take)):
+        if n:
+            cuts = (r["s"]["lines"] - n) // TRAIN_CHAIN + 1  # starts of a run of n lines
+            plan.append((r["id"], r["s"]["hash"], i, r["s"]["hash"] % cuts * TRAIN_CHAIN, n))
+    if len({ys[p[2]] for p in plan}) < 2:
+        return fit_lines(None, [])
+    schema = T.StructType([T.StructField("p_id", docs.schema[id_col].dataType), T.StructField("p_hash", T.LongType()),
+                           *(T.StructField(x, T.LongType()) for x in ("p_at", "p_start", "p_take"))])
+    chosen = _chosen(docs, docs.sparkSession.createDataFrame(plan, schema), text_col, id_col)
+    got = sorted({r["at"]: r for r in chosen.collect()}.items())  # train_lines lines' numbers and the halo, once an id
+    length = [np.frombuffer(r["length"], np.int64) for _, r in got]
+    lines = Lines(np.concatenate([np.frombuffer(r["features"], np.float32) for _, r in got]).reshape(-1, N_FEATURES),
+                  np.concatenate(length), np.concatenate([[0], np.cumsum([len(n) for n in length])]))
+    return fit_lines(lines, [ys[i] for i, _ in got], np.concatenate([np.frombuffer(r["halo"], bool) for _, r in got]))
 
 
 def quality_scores(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
