@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tickreport.llm import line_crf
+from tickreport.llm import license_rules, line_crf
 
 
 def test_one_long_document_leaves_the_others_to_training(spark, monkeypatch):
@@ -37,3 +37,97 @@ def test_features_of_tasks_train_like_whole_texts(spark):
     halo = np.zeros(len(half.length), bool)
     halo[half.first[1:] - 1] = True
     assert line_crf.fit_lines(half, [int(i % 3 > 0) for i, _ in rows], halo).curve != (0.0, 0.0)
+
+
+_CLAUSES = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0}. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+{1}. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+_NAMES = """{2}. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+_USEFUL = """
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+"""
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+"""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+"""
+_GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+_GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+"""
+_LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+#: A text for each of RULES, in their order.
+CANONICAL = [
+    "MIT License\n\n" + _GRANT + _AS_IS, _GRANT + _AS_IS, _GRANT + "Other words.",
+    (_CLAUSES + _NAMES).format(1, 2, 3), _CLAUSES.format("a", "b"),
+    _APACHE + "You may obtain a copy of the License at\n\nUnless required by applicable law or agreed to in writing, "
+    "software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF "
+    "ANY KIND, either express or implied.\n",
+    _APACHE, "                                 Apache License\n                           Version 2.0, January 2004\n"
+    "                        http://www.apache.org/licenses/\n\n",
+    _GPL3 + _USEFUL, _GPL2 + _USEFUL, _GPL3, _GPL2, _LGPL, "Licensed under the Apache License, Version 2.0.",
+    "This work is licensed under the GNU General Public License, version 3.",
+    "Licensed under the GNU General Public License, version 2.",
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+    "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+    "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "Licensed under CC0 1.0.", "This project is licensed under the MIT License.", "The MIT License (MIT)",
+]
+
+
+def test_a_canonical_text_of_every_licence_rule(spark):
+    head = "Copyright (c) 2020 Somebody\n\n"
+    rows = [(i, head + text) for i, text in enumerate(CANONICAL)]
+    rows += [(100 + i, "\n".join(f" * {line}" for line in text.split("\n"))) for i, text in enumerate(CANONICAL)
+             if "\n\n" not in text and not text.startswith(" ")]
+    rows += [(200, "It was 1. This program is free software. Other words: v. 2.0. 3. End."), (201, "2.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: r for r in license_rules.scan_licenses(docs).select("doc_id", "sequence", "licenses").collect()}
+    for i, (licence, run) in enumerate(license_rules.RULES):
+        assert got[i]["licenses"] == [licence], (i, got[i])
+        assert "".join(f"<{x}>" for x in run) in got[i]["sequence"], (i, got[i])
+        assert 100 + i not in got or got[100 + i]["licenses"] == [licence], (i, got[100 + i])
+    assert len(CANONICAL) == len(license_rules.RULES)
+    assert got[200]["sequence"] == got[201]["sequence"] == "~"

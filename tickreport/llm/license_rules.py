@@ -6,8 +6,10 @@ against ordered rules: a rule that matches turns its run of identifiers into the
 rule's licence, so that later (more general) rules can't use them again.
 
 A sentence that isn't known is tried line by line, since headings and notices
-often lack a full stop.  Unknown sentences end a run.  Everything is a column
-expression: no shuffle, no Python, and work in proportion to the text.
+often lack a full stop.  Unknown sentences end a run.  Known sentences that the
+splitter cuts (at ':', ';' or 'v.') are put together again from their parts, and
+bare list numbers between known sentences don't end a run.  Everything is a
+column expression: no shuffle, no Python, and work in proportion to the text.
 """
 
 from __future__ import annotations
@@ -90,6 +92,21 @@ SENTENCES: list[tuple[str, str]] = [
     ("RIGHTS", "all rights reserved"),
 ]
 
+# Known sentences as the splitter cuts them, in normal form.
+_FSF = "you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation"
+_LATER = "either version {} of the license or at your option any later version"
+PARTED: list[tuple[str, list[str]]] = [
+    *[(f"GPL{v}_PLUS", ["this program is free software", *rest]) for v in (2, 3) for rest in (
+        [f"{_FSF.format('general public license')} {_LATER.format(v)}"],
+        [_FSF.format("general public license"), _LATER.format(v)])],
+    *[("LGPL_PLUS", ["this library is free software", *rest]) for rest in (
+        [f"{_FSF.format('lesser general public license')} {_LATER.format('2.1')}"],
+        [_FSF.format("lesser general public license"), _LATER.format("2.1")])],
+    ("GPL_USEFUL", ["this program is distributed in the hope that it will be useful but without any warranty",
+                    "without even the implied warranty of merchantability or fitness for a particular purpose"]),
+    ("MPL2_REF", ["this source code form is subject to the terms of the mozilla public license v", "2.0"]),
+]
+
 # Fixed values: (licence, run of identifiers), tried in this order.
 RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["MIT_NAME", "MIT_GRANT", "MIT_NOTICE", "AS_IS_MIT"]),
@@ -121,6 +138,8 @@ RULES: list[tuple[str, list[str]]] = [
 #: A sentence ends at . ! ? : or ; before white space or the end, and at an empty line.
 _SPLIT = r"[.!?:;]+(?:[\x20\x09-\x0D]+|$)|\n[\x20\x09\x0D]*\n"
 _JUNK = r"[^a-z0-9.+]+"
+#: What the splitter leaves of a list number ('1.', '(2).', 'a.').
+_NUMBER = r"^[^A-Za-z0-9]*(?:[0-9]{1,2}|[A-Za-z])[^A-Za-z0-9]*$"
 
 
 def normal(sentence: Column) -> Column:
@@ -139,29 +158,40 @@ def _lookup(sentence: Column, sentences: list[tuple[str, str]]) -> Column:
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                   sentences: list[tuple[str, str]] = SENTENCES,
-                  rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+                  rules: list[tuple[str, list[str]]] = RULES,
+                  parted: list[tuple[str, list[str]]] = PARTED) -> DataFrame:
     """``keep`` columns (default all) plus n_sentences, sentence_ids (array: the
     identifiers of the known sentences in order), sequence (the same with '~' for
-    a run of unknown ones) and licenses (array, in the order of the text, repeats
-    included).  Null, empty and blank texts have none; new columns take leading
+    a run of unknown ones, list numbers between known ones left out) and licenses
+    (array, in the order of the text, repeats included).  n_sentences counts what
+    the splitter cuts; of ``parted`` count the identifiers in ``sentences``.  Null, empty and blank texts have none; new columns take leading
     underscores where the input has their names."""
     keep = docs.columns if keep is None else keep
-    starts = sorted({x.split(" ")[0] for _, x in sentences})  # other sentences are spared the look
+    parted = [(i, x) for i, x in parted if i in {name for name, _ in sentences}]
+    marks = {x: f"<{i}>" for i, x in reversed(sentences)}  # the first of two equal sentences counts
+    for part in sorted({x for _, parts in parted for x in parts} - set(marks)):
+        marks[part] = "{%d}" % len(marks)
+    starts = sorted({x.split(" ")[0] for x in marks})  # other sentences are spared the look
     new = fresh(docs.select(*map(col, keep)), "n_sentences", "sentence_ids", "sequence", "licenses")
     t, s, q, m = fresh(docs, "text_", "parts_", "sequence_", "matched_")
     maybe = "^[^a-z0-9]*(?:" + "|".join(x.replace(".", "[.]").replace("+", "[+]") for x in starts) + ")"
 
     def mark(line: Column) -> Column:
-        return F.coalesce(F.concat(F.lit("<"), _lookup(normal(line), sentences), F.lit(">")), F.lit("~"))
+        return F.coalesce(_lookup(normal(line), [(i, x) for x, i in marks.items()]), F.lit("~"))
 
     def marked(sentence: Column) -> Column:
         lines = F.transform(F.split(sentence, "\n"),
                             lambda x: F.when(F.lower(x).rlike(maybe), mark(x)).otherwise(F.lit("~")))
         whole = F.when(F.lower(sentence).rlike(maybe), mark(sentence)).otherwise(F.lit("~"))
-        return F.when(whole != "~", whole).when(sentence.contains("\n"), F.array_join(lines, "")).otherwise(whole)
+        return F.when(whole != "~", whole).when((F.length(sentence) < 16) & sentence.rlike(_NUMBER), "#") \
+            .when(sentence.contains("\n"), F.array_join(lines, "")).otherwise(F.lit("~"))
 
     def result(parts: Column) -> Column:
-        sequence = F.regexp_replace(F.array_join(F.transform(parts, marked), ""), "~+", "~")
+        sequence = F.array_join(F.transform(parts, marked), "")
+        for name, run in sorted(parted, key=lambda p: -len(p[1])):
+            sequence = F.replace(sequence, F.lit("".join(marks[x] for x in run)), F.lit(f"<{name}>"))
+        sequence = F.regexp_replace(F.regexp_replace(sequence, "[{][0-9]+[}]", "~"), "(?<=>)#+(?=<)", "")
+        sequence = F.regexp_replace(sequence, "[#~]+", "~")
         return F.struct(F.size(parts).cast("long").alias(s), sequence.alias(q))
 
     text = F.coalesce(col(text_col), F.lit(""))
