@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SERIES_KEY, SERIES_ORDER
+from .trading_days import previous_trading_day, trading_days
 
 
 def day_last(df: DataFrame, values: Sequence[str], outs: Sequence[str] | None = None,
@@ -53,13 +54,9 @@ def with_next_day(df: DataFrame, prev_trading_day: bool = False, days: DataFrame
         return df.withColumn(out, F.date_add(F.col("trade_dt"), 1))
     if days is None:
         raise ValueError("prev_trading_day needs the table of days")
-    from pyspark.sql import Window
-    own = df.select("trade_dt").distinct().withColumn("_own", F.col("trade_dt"))
-    listed = own.unionByName(days.select("trade_dt").distinct(), allowMissingColumns=True) \
-        .where("trade_dt IS NOT NULL").groupBy("trade_dt").agg(F.max("_own").alias("_own"))
-    before = Window.orderBy("trade_dt").rowsBetween(Window.unboundedPreceding, -1)
-    pairs = listed.select(F.col("trade_dt").alias(out), F.last("_own", ignorenulls=True).over(before).alias("trade_dt"))
-    return df.join(pairs.where("trade_dt IS NOT NULL"), "trade_dt", "left")
+    served = previous_trading_day(days, trading_days(df)).where("prev_dt IS NOT NULL").select(
+        F.col("trade_dt").alias(out), F.col("prev_dt").alias("trade_dt"))
+    return df.join(served, "trade_dt", "left")
 
 
 def shift_to_next_day(close: DataFrame, prev_trading_day: bool = False,

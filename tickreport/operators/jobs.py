@@ -11,10 +11,11 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import JOB_TRACKER
+from .ranges import numbered
 
 # Initial rows of the tracker table.
 SEED_ROWS = [
@@ -39,18 +40,11 @@ def assign_job_ids(tracker: DataFrame, names: DataFrame) -> DataFrame:
     wanted = names.select("job_name").distinct()
     old = wanted.join(known, "job_name").select("job_name", "job_id", F.lit(False).alias("is_new"))
     new = wanted.join(known, "job_name", "left_anti")
-    # Ids are dense and in name order: names are dealt by range, numbered inside
-    # their range, and each range starts after the rows of the ranges before it.
-    # The only table in one task has one row per range (and one for the maximum).
-    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = new.select("job_name").repartitionByRange(parts, "job_name").select(
-        "job_name", F.spark_partition_id().alias("_p"))
-    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).unionByName(
-        known.agg(F.coalesce(F.max("job_id"), F.lit(0)).alias("_n")).select(F.lit(-1).alias("_p"), "_n"))
-    starts = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_p").orderBy("job_name"))
-    fresh = ranged.withColumn("_rn", within).join(starts, "_p").select(
-        "job_name", (F.col("_start") + F.col("_rn")).cast("bigint").alias("job_id"), F.lit(True).alias("is_new"))
+    # Ids are dense and in name order: names are dealt by range, written once and
+    # numbered from that copy, so the ids can't depend on how often a plan samples.
+    highest = known.agg(F.coalesce(F.max("job_id"), F.lit(0))).first()[0]
+    fresh = numbered(new.select("job_name"), ["job_name"]).select(
+        "job_name", (F.col("_pos") + F.lit(highest + 1)).cast("bigint").alias("job_id"), F.lit(True).alias("is_new"))
     return old.unionByName(fresh)
 
 

@@ -3,9 +3,9 @@
 * ``quote_last_trade`` (J1): every quote with its symbol's day-last trade price
   and moving average (equi-join on trade_dt, symbol after reducing trades to
   one row per symbol and day).
-* ``attach_prev_close`` (J2/J4): inner join with the previous day's close on
-  (trade_dt, symbol, exchange); adaptive execution broadcasts the close table
-  when its bytes, measured at run time, are few.
+* ``attach_prev_close`` (J2): inner join with the previous day's close on
+  (trade_dt, symbol, exchange); ``attach_prev_close_broadcast`` (J4) broadcasts the
+  close table if its measured bytes are few, and sorts and merges otherwise.
 * ``asof_join`` (J3): for every left row, the latest right row of the same
   series at or before (or strictly before) its time.  Built as union + forward
   fill, split into time buckets so a hot symbol never sits in one task.
@@ -18,8 +18,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import SERIES_KEY
+from ..session import materialize
 from .windows import DEFAULT_SPLIT, Split, forward_fill
 
 
@@ -28,12 +30,28 @@ def quote_last_trade(quotes: DataFrame, day_last_trades: DataFrame) -> DataFrame
     return quotes.join(day_last_trades, ["trade_dt", "symbol"])
 
 
+BROADCAST_BYTES = 64 << 20
+
+
 def attach_prev_close(quotes: DataFrame, prev_close: DataFrame) -> DataFrame:
     """Inner join with the close re-keyed to the day it serves.  Quotes
     on an exchange without a previous close are dropped (inner join)."""
     return quotes.join(prev_close, ["trade_dt", "symbol", "exchange"])
 
 
+def attach_prev_close_broadcast(quotes: DataFrame, prev_close: DataFrame,
+                                most: int = BROADCAST_BYTES) -> DataFrame:
+    """The join of ``attach_prev_close`` with the close table broadcast, if its
+    measured size allows.  The reduced table (one row per day, symbol and exchange) is
+    written once; its rows times their width are at most ``most`` bytes, or the join
+    sorts and merges, so a large calendar of symbols never reaches one task whole."""
+    written = materialize(prev_close)
+    width = sum(36 if f.dataType == T.StringType() else 16 for f in written.schema)  # bytes of a row in memory
+    size = written.count() * width
+    side = F.broadcast(written) if size <= most else written.hint("merge")
+    return quotes.join(side, ["trade_dt", "symbol", "exchange"])
+
+
 def asof_join(left: DataFrame, right: DataFrame, values: Sequence[str],
               by: Sequence[str] = SERIES_KEY, time_col: str = "event_time",
               right_order: Sequence[str] = ("event_seq_num", "exchange"),

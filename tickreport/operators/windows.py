@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SERIES_KEY, SERIES_ORDER
+from .ranges import ranged
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,14 @@ class Split:
       and day, so fine buckets stay cheap.
     chunk_rows: rows per chunk for row-count frames (ranked series are cut
       into chunks of this many rows plus the frame's halo).
+    by_range: rank and fill over ranges of the full order (``operators.ranges``)
+      instead of time buckets.  Costs one written copy, and cuts a series anywhere,
+      also inside one minute or one timestamp.
     """
 
     bucket_minutes: int = 5
     chunk_rows: int = 1 << 20
+    by_range: bool = False
 
 
 DEFAULT_SPLIT = Split()
@@ -77,17 +82,22 @@ def series_rank(df: DataFrame, partition: Sequence[str] = SERIES_KEY,
     """Adds ``out`` = 1-based position of the row in its series."""
     if split is None:
         return df.withColumn(out, F.row_number().over(_w(partition, order)))
+    if split.by_range:
+        rows = ranged(df, [*partition, *order])
+        local = rows.withColumn("_rn", F.row_number().over(_w([*partition, "_part"], ["_at"])))
+        return _with_offsets(local, rows, partition, "_part", out).drop("_at")
     b = "_bucket"
     with_b = df.withColumn(b, time_bucket(F.col(time_col), split.bucket_minutes))
     local = with_b.withColumn("_rn", F.row_number().over(_w([*partition, b], order)))
-    # Per-bucket row counts → offset of each bucket in its series.  One row
-    # per (series, bucket): small, and its window holds one series' buckets.
-    counts = with_b.groupBy(*partition, b).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        *partition, b,
-        F.coalesce(F.sum("_n").over(_w(partition, [b]).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-    )
+    return _with_offsets(local, with_b, partition, b, out)
+
+
+def _with_offsets(local: DataFrame, rows: DataFrame, partition: Sequence[str], b: str, out: str) -> DataFrame:
+    """``out`` = ``_rn`` plus the rows of the series in earlier buckets ``b``.  The
+    table of counts has one row per (series, bucket), its window one series' buckets."""
+    counts = rows.groupBy(*partition, b).agg(F.count(F.lit(1)).alias("_n"))
+    before = _w(partition, [b]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*partition, b, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     ranked = join_same(local, offsets, [*partition, b])
     return ranked.withColumn(out, F.col("_off") + F.col("_rn")).drop("_rn", "_off", b)
 
@@ -237,8 +247,12 @@ def forward_fill(df: DataFrame, value: str, out: str | None = None,
     if split is None:
         w = _w(partition, order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    b = "_ffb"
-    with_b = df.withColumn(b, time_bucket(F.col(time_col), split.bucket_minutes))
+    b, columns = "_ffb", df.columns
+    if split.by_range:
+        with_b = ranged(df, [*partition, *order], part=b)
+        order = ["_at"]
+    else:
+        with_b = df.withColumn(b, time_bucket(F.col(time_col), split.bucket_minutes))
     w_in = _w([*partition, b], order).rowsBetween(Window.unboundedPreceding, 0)
     local = with_b.withColumn("_local", F.last(value, ignorenulls=True).over(w_in))
     # Last non-null value of each bucket (one row per series and bucket; rows
@@ -251,4 +265,4 @@ def forward_fill(df: DataFrame, value: str, out: str | None = None,
         F.last("_blast", ignorenulls=True).over(
             _w(partition, [b]).rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
     res = join_same(local, carry, [*partition, b], "left")
-    return res.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).drop("_local", "_carry", b)
+    return res.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).select(*dict.fromkeys([*columns, out]))

@@ -111,6 +111,21 @@ def csv_lines_from_events(events: DataFrame) -> DataFrame:
     return events.select(line.alias("value"), _feed_position())
 
 
+# The batches of the file feed.  Every event; then corrections of every
+# fourth one, same arrival; then older versions of every eighth that come in last.
+FILE_BATCHES = [(1, 0, "2024-02-01 00:00:00"), (4, 1, "2024-02-01 00:00:00"), (8, 2, "2024-01-31 00:00:00")]
+
+
+def batch_events(events: DataFrame, every: int, add: int) -> DataFrame:
+    """Events of one file batch: each ``every``-th id, its value raised by ``add``."""
+    return events.where(F.col("event_id") % every == 0).withColumn("value", F.col("value") + F.lit(float(add)))
+
+
+def on_weekdays(df: DataFrame) -> DataFrame:
+    """Rows of Monday to Friday (no trading at weekends)."""
+    return df.where(F.weekday("trade_dt") < 5)
+
+
 def _feed_position() -> Column:
     """Place of a derived line in the feed (``read_lines`` gives files a
     similar tag): the event id, unique, so later events win version ties."""

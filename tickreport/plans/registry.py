@@ -25,6 +25,7 @@ from ..session import materialize, scratch_dir
 from ..sources import ingest as I
 from ..sources import store as ST
 from ..functions.parse import event_text, spread
+from . import daily_job as DJ
 from . import feeds as FD
 from . import report as R
 
@@ -90,6 +91,32 @@ def q_bad_records(spark, d):
     return I.bad_records(_csv_events(spark, d, keep_reason=True))
 
 
+def q_bad_json_records(spark, d):
+    return I.bad_records(I.parse_json_lines(FD.json_lines_from_events(_events(spark, d)),
+                                            arrival_time=FD.fixed_arrival(), keep_reason=True))
+
+
+def _landed_files(spark, d) -> str:
+    """The file feed: each batch written as text files and landed from them."""
+    root = scratch_dir(spark, "file-feed")
+    for n, (every, add, arrival) in enumerate(FD.FILE_BATCHES):
+        lines = FD.csv_lines_from_events(FD.batch_events(_events(spark, d), every, add))
+        lines.select("value").write.text(f"{root}/feed/batch{n}")
+        DJ.land(spark, f"{root}/feed/batch{n}", root, arrival_time=F.lit(arrival).cast("timestamp_ntz"))
+    return root
+
+
+def q_ingest_files(spark, d):
+    return ST.read_landing(spark, f"{_landed_files(spark, d)}/{DJ.LANDING_DIR}").select(*COMMON_EVENT_COLUMNS)
+
+
+def q_clean_versions(spark, d):
+    trades, quotes = DJ.correct(spark, _landed_files(spark, d), pending=True)
+    t, q = ST.read_daily(spark, trades), ST.read_daily(spark, quotes)
+    both = t.withColumn("rec_type", F.lit("T")).unionByName(q.withColumn("rec_type", F.lit("Q")), True)
+    return both.select(*[c for c in COMMON_EVENT_COLUMNS if c in both.columns])
+
+
 def q_ingest_counts(spark, d):
     return I.ingest_counts(_csv_events(spark, d))
 
@@ -183,19 +210,16 @@ def q_quote_last_trade(spark, d):
                     "last_trade_price", _r("last_avg_trade_price"))
 
 
-def _prev_close_query(spark, d):
+def q_quote_prev_close(spark, d):
     prev = CL.shift_to_next_day(_close(spark, d))
     j = JN.attach_prev_close(_quotes(spark, d).select(*R.QUOTE_FIELDS), prev)
     return j.select(*R.QUOTE_FIELDS, _r("close_price"))
 
 
-def q_quote_prev_close(spark, d):
-    return _prev_close_query(spark, d)
-
-
 def q_quote_prev_close_broadcast(spark, d):
-    # One row per symbol, exchange and day: broadcast if its measured bytes allow.
-    return _prev_close_query(spark, d)
+    prev = CL.shift_to_next_day(_close(spark, d))
+    j = JN.attach_prev_close_broadcast(_quotes(spark, d).select(*R.QUOTE_FIELDS), prev)
+    return j.select(*R.QUOTE_FIELDS, _r("close_price"))
 
 
 def q_quote_report(spark, d):
@@ -206,6 +230,11 @@ def q_quote_report_asof(spark, d):
     return _round_report(R.quote_report_asof(_trades(spark, d), _quotes(spark, d)))
 
 
+def q_quote_report_trading_day(spark, d):
+    """Trades on weekdays only, quotes on all days: the previous trading day's close."""
+    return _round_report(R.quote_report(FD.on_weekdays(_trades(spark, d)), _quotes(spark, d), prev_trading_day=True))
+
+
 def q_report_preview(spark, d):
     return R.report_preview(q_quote_report(spark, d), PREVIEW_ROWS)
 
@@ -281,7 +310,7 @@ def q_report_roundtrip(spark, d):
 
 def q_sql_views(spark, d):
     ST.register_views({"tr_trades": _trades(spark, d), "tr_quotes": _quotes(spark, d)})
-    return spark.sql(REPORT_SQL.format(trades="tr_trades", quotes="tr_quotes"))
+    return spark.sql(VIEW_SQL.format(trades="tr_trades", quotes="tr_quotes"))
 
 
 def q_next_job_id(spark, d):
@@ -391,8 +420,7 @@ _LAST = """(SELECT trade_dt, symbol, trade_price AS last_trade_price, avg_trade_
 _CLOSE = """(SELECT DISTINCT m.trade_dt, m.symbol, m.exchange, l.last_avg_trade_price AS close_price
   FROM {ma} m JOIN {last} l ON m.trade_dt = l.trade_dt AND m.symbol = l.symbol)"""
 
-# The report as SQL text over two named tables; runs unchanged on Spark SQL
-# (``sql_views``) and as the comparison SQL.
+# The report as SQL text over two named tables, as a plain window over each series.
 REPORT_SQL_BODY = """SELECT q.trade_dt, q.symbol, q.event_time, q.event_seq_num, q.exchange,
   q.bid_price, q.bid_size, q.ask_price, q.ask_size,
   l.last_trade_price, round(l.last_avg_trade_price, 6) AS last_avg_trade_price,
@@ -410,7 +438,28 @@ def _report_sql(trades: str, quotes: str) -> str:
     return REPORT_SQL_BODY.format(quotes=quotes, last=last, close=close)
 
 
-REPORT_SQL = _report_sql("{trades}", "{quotes}").replace("{{", "{").replace("}}", "}")
+# The report for SQL users (``sql_views``): each series' last three rows are kept by a
+# group limit below the shuffle, so no task holds a whole (day, symbol).
+VIEW_SQL = """WITH tail AS (
+  SELECT * FROM (SELECT trade_dt, symbol, trade_price,
+                        ROW_NUMBER() OVER (PARTITION BY trade_dt, symbol
+                                           ORDER BY event_time DESC, event_seq_num DESC, exchange DESC) AS rn
+                 FROM {trades}) WHERE rn <= 3),
+last AS (
+  SELECT trade_dt, symbol, max(CASE WHEN rn = 1 THEN trade_price END) AS last_trade_price,
+         avg(trade_price) AS last_avg_trade_price FROM tail GROUP BY trade_dt, symbol),
+venue_close AS (
+  SELECT v.trade_dt, v.symbol, v.exchange, l.last_avg_trade_price AS close_price
+  FROM (SELECT DISTINCT trade_dt, symbol, exchange FROM {trades}) v
+  JOIN last l ON l.trade_dt = v.trade_dt AND l.symbol = v.symbol)
+SELECT q.trade_dt, q.symbol, q.event_time, q.event_seq_num, q.exchange,
+  q.bid_price, q.bid_size, q.ask_price, q.ask_size,
+  l.last_trade_price, round(l.last_avg_trade_price, 6) AS last_avg_trade_price,
+  round(q.bid_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS bid_pr_mv,
+  round(q.ask_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS ask_pr_mv
+FROM {quotes} q
+JOIN last l ON q.trade_dt = l.trade_dt AND q.symbol = l.symbol
+JOIN venue_close c ON c.trade_dt + 1 = q.trade_dt AND c.symbol = q.symbol AND c.exchange = q.exchange"""
 
 
 def _asof_sql(value_sql: str, outs: list[str], op: str) -> str:
@@ -439,6 +488,29 @@ FROM (SELECT q.*, t.trade_price AS last_trade_price, t.avg_trade_price AS last_a
         ON q.trade_dt = t.trade_dt AND q.symbol = t.symbol AND q.event_time >= t.event_time) a
 JOIN {_CLOSE30_T} c ON c.trade_dt + 1 = a.trade_dt AND c.symbol = a.symbol AND c.exchange = a.exchange"""
 
+_WEEKDAY_TRADES = f"(SELECT * FROM {_TRADES} w WHERE isodow(trade_dt) < 6)"
+_MA_W = _MA.format(trades=_WEEKDAY_TRADES)
+_LAST_W = _LAST.format(ma=_MA_W)
+_CLOSE_W = _CLOSE.format(ma=_MA_W, last=_LAST_W)
+_REPORT_TRADING_DAY = f"""SELECT q.trade_dt, q.symbol, q.event_time, q.event_seq_num, q.exchange,
+  q.bid_price, q.bid_size, q.ask_price, q.ask_size,
+  l.last_trade_price, round(l.last_avg_trade_price, 6) AS last_avg_trade_price,
+  round(q.bid_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS bid_pr_mv,
+  round(q.ask_price - c.close_price, 6) + CAST(0 AS DOUBLE) AS ask_pr_mv
+FROM (SELECT *, (SELECT max(trade_dt) FROM {_WEEKDAY_TRADES} d WHERE d.trade_dt < q0.trade_dt) AS prev_dt
+      FROM {_QUOTES} q0) q
+JOIN {_LAST_W} l ON q.trade_dt = l.trade_dt AND q.symbol = l.symbol
+JOIN {_CLOSE_W} c ON c.trade_dt = q.prev_dt AND c.symbol = q.symbol AND c.exchange = q.exchange"""
+
+
+def _file_batches() -> str:
+    """All batches of the file feed, numbered."""
+    return " UNION ALL ".join(
+        f"SELECT *, {n} AS batch FROM ({_CSV_COMMON.replace(_ARRIVAL, f"TIMESTAMP '{arrival}'")}) c{n}".replace(
+            "FROM events)", f"FROM (SELECT * REPLACE (value + {add} AS value) FROM events WHERE event_id % {every} = 0))")
+        for n, (every, add, arrival) in enumerate(FD.FILE_BATCHES))
+
+
 _ROWNUM_LATEST = """SELECT {cols} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {src} s0) s1
 WHERE rn = 1"""
@@ -477,10 +549,24 @@ ORACLES: dict[str, str] = {
   CASE event_type WHEN 'click' THEN 'unknown_record_type' WHEN 'error' THEN 'missing_field'
        ELSE 'bad_value' END AS bad_reason
 FROM {_E} e WHERE event_type NOT IN ('purchase', 'view')""",
+    "bad_json_records": f"""SELECT {_JSON_BAD} AS original_line,
+  CASE event_type WHEN 'click' THEN 'unknown_record_type' WHEN 'error' THEN 'bad_json'
+       ELSE 'missing_field' END AS bad_reason
+FROM {_E} e WHERE event_type NOT IN ('purchase', 'view')""",
+    "ingest_files": f"SELECT {', '.join(COMMON_EVENT_COLUMNS)} FROM ({_file_batches()}) f",
+    "clean_versions": f"""SELECT trade_dt, rec_type, symbol, exchange, event_time, event_seq_num, arrival_time,
+  CASE rec_type WHEN 'T' THEN trade_price END AS trade_price, CASE rec_type WHEN 'T' THEN trade_size END AS trade_size,
+  CASE rec_type WHEN 'Q' THEN bid_price END AS bid_price, CASE rec_type WHEN 'Q' THEN bid_size END AS bid_size,
+  CASE rec_type WHEN 'Q' THEN ask_price END AS ask_price, CASE rec_type WHEN 'Q' THEN ask_size END AS ask_size
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY rec_type, trade_dt, symbol, exchange, event_time, event_seq_num
+                                   ORDER BY arrival_time DESC, batch DESC) AS rn
+      FROM ({_file_batches()}) f WHERE "partition" <> 'B') v WHERE rn = 1""",
     "ingest_counts": f"""SELECT "partition", count(*) AS n_rows FROM ({_CSV_COMMON}) c GROUP BY 1""",
     "ingest_summary": f"""SELECT "partition", count(*) AS n_rows, count(DISTINCT symbol) AS n_symbols,
   count(DISTINCT trade_dt) AS n_dates, min(event_time) AS min_event_time, max(event_time) AS max_event_time,
-  CAST(sum(CASE WHEN original_line <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_with_line
+  CAST(sum(CASE WHEN original_line <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_with_line,
+  {', '.join(f"count(*) - count({c}) AS null_{c}" for c in COMMON_EVENT_COLUMNS if c != "partition")},
+  {', '.join(f"count(*) FILTER (NOT isfinite({c})) AS nonfinite_{c}" for c in ("trade_price", "bid_price", "ask_price"))}
 FROM ({_CSV_COMMON}) c GROUP BY 1""",
     "trade_select": _TRADE_SELECT,
     "quote_select": _QUOTE_SELECT,
@@ -529,6 +615,7 @@ FROM {_QUOTES} q JOIN {_LAST_T} l ON q.trade_dt = l.trade_dt AND q.symbol = l.sy
 FROM {_QUOTES} q JOIN {_CLOSE_T} c
   ON c.trade_dt + 1 = q.trade_dt AND c.symbol = q.symbol AND c.exchange = q.exchange""",
     "quote_report": _REPORT,
+    "quote_report_trading_day": _REPORT_TRADING_DAY,
     "quote_report_asof": _ASOF_REPORT,
     "report_preview": f"""SELECT * FROM ({_REPORT}) r
 ORDER BY trade_dt, symbol, event_time, event_seq_num, exchange LIMIT {PREVIEW_ROWS}""",
@@ -564,5 +651,5 @@ FROM ({_TRADE_SELECT}) t WHERE trade_dt = DATE '{SLICE_DATE}'""",
     "job_upsert": f"SELECT * FROM {_JOB_STATE} s",
     "job_status": f"SELECT job_id, status FROM {_JOB_STATE} s WHERE job_id = {STATUS_JOB_ID}",
 }
-# ``quote_prev_close_broadcast`` returns the same rows as ``quote_prev_close``.
+# ``quote_prev_close_broadcast`` is another join of the same rows.
 ORACLES["quote_prev_close_broadcast"] = ORACLES["quote_prev_close"]

@@ -24,6 +24,7 @@ QUOTE_PAYLOAD = ["bid_price", "bid_size", "ask_price", "ask_size"]
 SERIES_KEY = ["trade_dt", "symbol"]
 SERIES_ORDER = ["event_time", "event_seq_num", "exchange"]
 
+# Columns and types of the data model's tables, here and below.
 COMMON_EVENT = T.StructType(
     [
         T.StructField("trade_dt", T.DateType()),

@@ -29,6 +29,7 @@ REASON_BLANK = "blank_line"
 REASON_TYPE = "unknown_record_type"
 REASON_MISSING = "missing_field"
 REASON_VALUE = "bad_value"
+REASON_JSON = "bad_json"
 
 
 def read_lines(spark: SparkSession, path: str | list[str], options: dict | None = None) -> DataFrame:
@@ -87,7 +88,7 @@ def _pick(rt: Column, t: Column | None, q: Column | None) -> Column:
 
 def _parse_records(df: DataFrame, rt: Column, raw_t: dict[str, Column], raw_q: dict[str, Column],
                    complete_t: Column, complete_q: Column, arrival_time: Column | None,
-                   keep_reason: bool) -> DataFrame:
+                   keep_reason: bool, unreadable: Column | None = None) -> DataFrame:
     """Raw text per field (by record type) → typed common_event rows.
 
     Built as a chain of projections that each compute an expression once;
@@ -108,11 +109,12 @@ def _parse_records(df: DataFrame, rt: Column, raw_t: dict[str, Column], raw_q: d
     staged = df.select(
         F.col("value").alias("_line"), seq_col.alias("ingest_seq"), rt.alias("_rt"),
         complete_t.alias("_ct"), complete_q.alias("_cq"),
+        (F.lit(False) if unreadable is None else unreadable).alias("_unread"),
         *[_pick(rt, t, q).alias(f"_raw_{slot}") for slot, (t, q) in raw.items()],
     )
     # 2. typed slots, each parsed once
     typed = staged.select(
-        "_line", "ingest_seq", "_rt", "_ct", "_cq",
+        "_line", "ingest_seq", "_rt", "_ct", "_cq", "_unread",
         *[(conv(F.col(f"_raw_{s}")) if conv else F.col(f"_raw_{s}")).alias(f"_v_{s}")
           for s, conv in _SLOT_PARSE.items()],
     )
@@ -132,6 +134,7 @@ def _parse_records(df: DataFrame, rt: Column, raw_t: dict[str, Column], raw_q: d
         "*",
         F.coalesce(ok, F.lit(False)).alias("_valid"),
         F.when(F.trim(F.col("_line")) == "", F.lit(REASON_BLANK))
+        .when(F.col("_unread"), F.lit(REASON_JSON))
         .when(~known, F.lit(REASON_TYPE))
         .when(~complete, F.lit(REASON_MISSING))
         .otherwise(F.lit(REASON_VALUE)).alias("_reason"),
@@ -209,7 +212,7 @@ def parse_json_lines(df: DataFrame, arrival_time: Column | None = None,
     for c in raw_q.values():
         present_q = present_q & c.isNotNull()
     return _parse_records(rec_df, get("record_type"), raw_t, raw_q, present_t, present_q,
-                          arrival_time, keep_reason)
+                          arrival_time, keep_reason, F.col("_rec").isNull())
 
 
 def ingest_csv(spark: SparkSession, path: str | list[str], arrival_time: Column | None = None,
@@ -243,7 +246,12 @@ def ingest_counts(events: DataFrame) -> DataFrame:
 
 
 def ingest_summary(events: DataFrame) -> DataFrame:
-    """Data-quality summary per partition in one aggregation pass."""
+    """Data-quality summary per partition in one aggregation pass: rows, distinct
+    symbols and days, the span of event times, lines kept, nulls of every column and
+    prices that are not finite."""
+    nulls = [F.count_if(F.col(f.name).isNull()).alias(f"null_{f.name}") for f in COMMON_EVENT if f.name != "partition"]
+    odd = [F.count_if(F.isnan(f.name) | (F.abs(f.name) == float("inf"))).alias(f"nonfinite_{f.name}")
+           for f in COMMON_EVENT if isinstance(f.dataType, T.DoubleType)]
     return events.groupBy("partition").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("symbol").alias("n_symbols"),
@@ -251,4 +259,5 @@ def ingest_summary(events: DataFrame) -> DataFrame:
         F.min("event_time").alias("min_event_time"),
         F.max("event_time").alias("max_event_time"),
         F.sum(F.when(F.col("original_line") != "", 1).otherwise(0)).alias("n_with_line"),
+        *nulls, *odd,
     )
