@@ -131,3 +131,58 @@ def test_a_canonical_text_of_every_licence_rule(spark):
         assert 100 + i not in got or got[100 + i]["licenses"] == [licence], (i, got[100 + i])
     assert len(CANONICAL) == len(license_rules.RULES)
     assert got[200]["sequence"] == got[201]["sequence"] == "~"
+
+
+def _pieces():
+    import pytest
+
+    from tickreport.llm import piece_sampling
+    return piece_sampling, piece_sampling.load(pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model"))
+
+
+def test_long_runs_are_drawn_from_the_whole_lattice():
+    sampling, pieces = _pieces()
+    run = np.array([[ord(c) for c in ("abcdefthing你好" * 450)[:5_000]]], np.uint32)
+    whole = sampling.filter_words(pieces, run, 1 << 20)
+    blocks = sampling.filter_words(pieces, run, 256)
+    assert all((a == b).all() if a.dtype.kind != "f" else np.allclose(a, b) for a, b in zip(whole, blocks))
+    counts, steps, sizes, _ = whole
+    assert counts.shape == (5_000,) and counts.sum() == len(steps)
+    # Plain forward sums of all segmentations give the same thresholds.
+    import math
+    text, find = "abcdefthing你好" * 20, {}
+    for i, h in zip(pieces.ids.tolist(), range(len(pieces.ids))):
+        find[pieces.bytes[i].decode()] = float(pieces.weights[h])
+    forward, got = [0.0] + [-math.inf] * len(text), []
+    for end in range(1, len(text) + 1):
+        paths = [(s, forward[end - s] + w) for s in range(1, min(end, pieces.longest) + 1)
+                 if (w := find.get(text[end - s:end].replace("▁", " "), pieces.byte_weight * len(text[end - 1].encode())
+                                   if s == 1 else None)) is not None]
+        top = max(w for _, w in paths)
+        total = sum(math.exp(w - top) for _, w in paths)
+        forward[end] = top + math.log(total)
+        got.append([math.exp(w - top) / total for _, w in paths])
+    counts, steps, _, _ = sampling.filter_words(pieces, np.array([[ord(c) for c in text]], np.uint32), 100)
+    ends = np.split(steps, np.cumsum(counts)[:-1])
+    for mine, shares in zip(ends, got):
+        assert len(mine) == len(shares) and np.allclose(mine[:-1], np.cumsum(shares)[:-1], atol=1e-5) and mine[-1] == 2
+
+
+def test_draws_do_not_depend_on_what_was_filtered_before(monkeypatch):
+    sampling, pieces = _pieces()
+    texts = ["the thing that was " * 50, "other words entirely", "x" * 40_000, ""]
+    first = sampling.encode_batch(pieces, texts, np.arange(4))
+    monkeypatch.setattr(sampling, "LATTICES", 10)
+    again = [sampling.encode_batch(pieces, [t], np.array([i]))[0] for i, t in enumerate(texts)]
+    assert all((a == b).all() for a, b in zip(first, again))
+    assert [sampling.decode_ids(pieces, x).decode() for x in first] == texts
+
+
+def test_decoding_in_the_same_step(spark):
+    sampling, _ = _pieces()
+    import public_tokenizers
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (None, "\x00 ▁ 你 "), (3, "")], "doc_id long, text string")
+    out = sampling.encode(docs, path, decoded="back")
+    assert [(r["text"] or "") == r["back"] for r in out.collect()] == [True] * 4
+    assert sorted(map(str, out.drop("back").collect())) == sorted(map(str, sampling.encode(docs, path).collect()))

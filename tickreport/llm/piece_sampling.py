@@ -8,9 +8,14 @@ and nothing else: a row is segmented alike in any partition, batch or retry.
 
 Blanks begin words and no piece goes across one (the model's pieces of several
 blanks aside, which are not used), so a batch's different words are filtered
-once each, all words of one length together, and all occurrences are drawn
-together.  Characters without a piece become byte pieces, so decoding gives back
-the text, whatever it holds.  Words are cut every ``MAX_WORD`` characters.
+once each, words of one length together, and all occurrences are drawn together.
+Words of any length are filtered whole: the forward weights go on from block to
+block of ``BLOCK`` positions.  Characters without a piece become byte pieces, so
+decoding gives back the text, whatever it holds.
+
+Working memory follows ``SLICE`` bytes of text (or one longer row): of each word only
+the pieces that lie on its lattice are kept, and words are filtered in groups of
+``BLOCK`` positions.
 """
 
 from __future__ import annotations
@@ -25,7 +30,9 @@ from pyspark.sql import types as T
 
 from .common import append_columns, col, fresh, slices, table, utf8
 
-MAX_WORD = 256
+SLICE = 1 << 20     # bytes of text segmented together
+BLOCK = 1 << 15     # positions filtered together
+LATTICES = 2 << 20  # pieces of words that a worker keeps
 SHARPNESS = 0.7  # exponent of the pieces' probabilities; higher draws fewer pieces
 MARK = 0x2581  # stands for a blank in pieces
 _LITERAL = 0x110000  # stands for that character itself, beyond all code points
@@ -46,6 +53,7 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
+        self.lattices = Lattices()
         self.bytes: list[bytes] = []
         self.byte_ids = np.full(256, -1, np.int64)
         hashes, ids, ranks, self.longest = [], [], [], 1
@@ -115,39 +123,97 @@ def _n_bytes(c: np.ndarray) -> np.ndarray:
     return np.where(c == _LITERAL, 3, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF))
 
 
-def filter_words(pieces: Pieces, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of one length as rows of code points -> for each word and end position
-    0..length, the draw thresholds (words, length + 1, k) of a piece of 1..k
-    characters that ends there, and the piece ids (negative: -1 - code point)."""
+def filter_words(pieces: Pieces, words: np.ndarray, block: int = BLOCK
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of one length as rows of code points -> the pieces on their lattices.
+
+    Returned are, for each word and end position 1..length, how many pieces end there
+    (row by row), and of all those pieces in that order, shortest first: the draw
+    threshold, the size in characters and the id (negative: -1 - code point)."""
     n, length = words.shape
     k = min(length, pieces.longest)
     forward = np.full((n, length + 1), -np.inf)
     forward[:, 0] = 0.0
-    logs = np.full((n, length + 1, k), -np.inf)
-    ids = np.zeros((n, length + 1, k), np.int32)
     chars = words.astype(np.uint64) + np.uint64(1)
-    for start in range(length):
-        h = np.zeros(n, np.uint64)
-        for size in range(1, min(k, length - start) + 1):
-            h = h * _BASE + chars[:, start + size - 1]
-            at, found = pieces.find(h)
-            logs[found, start + size, size - 1] = pieces.weights[at[found]]
-            ids[found, start + size, size - 1] = pieces.ids[at[found]]
+    parts = []
+    for a in range(0, length, block):  # ends a + 1 .. b
+        b = min(length, a + block)
+        low = max(0, a - k + 1)
+        logs = np.full((n, b - a, k), -np.inf)
+        ids = np.zeros((n, b - a, k), np.int32)
+        h = np.zeros((n, b - low), np.uint64)
+        for size in range(1, min(k, b - low) + 1):  # substrings from every start at once
+            h = h[:, :b - low - size + 1] * _BASE + chars[:, low + size - 1:b]
+            skip = max(0, a + 1 - low - size)  # these end before the block
+            at, found = pieces.find(h[:, skip:].ravel())
+            first = low + skip + size - a - 1
+            shape = (n, b - a - first)
+            at, found = at.reshape(shape), found.reshape(shape)
+            logs[:, first:, size - 1] = np.where(found, pieces.weights[at], -np.inf)
+            ids[:, first:, size - 1] = pieces.ids[at]
             if size == 1 and not found.all():
-                c = words[~found, start].astype(np.int64)
-                logs[~found, start + 1, 0] = pieces.byte_weight * _n_bytes(c)
-                ids[~found, start + 1, 0] = -1 - c
-    for end in range(1, length + 1):
-        m = min(k, end)
-        paths = logs[:, end, :m] + forward[:, end - m:end][:, ::-1]
-        top = paths.max(axis=1, keepdims=True)
-        shares = np.exp(paths - top)
-        total = shares.sum(axis=1, keepdims=True)
-        forward[:, end] = (top + np.log(total))[:, 0]
-        upto = np.cumsum(shares / total, axis=1)
-        logs[:, end, :m] = np.where(upto >= upto[:, -1:] * (1 - 1e-12), 2.0, upto)  # the last piece takes the rest
-        logs[:, end, m:] = 2.0
-    return logs, ids
+                c = words[:, a:b][~found].astype(np.int64)
+                logs[:, :, 0][~found] = pieces.byte_weight * _n_bytes(c)
+                ids[:, :, 0][~found] = -1 - c
+        for end in range(a + 1, b + 1):
+            m = min(k, end)
+            paths = logs[:, end - a - 1, :m] + forward[:, end - m:end][:, ::-1]
+            top = paths.max(axis=1, keepdims=True)
+            upto = np.cumsum(np.exp(paths - top), axis=1)
+            total = upto[:, -1:]
+            forward[:, end] = (top + np.log(total))[:, 0]
+            # The last piece takes the rest.
+            logs[:, end - a - 1, :m] = np.where(np.isneginf(paths), -np.inf, np.where(
+                upto >= total * (1 - 1e-12), 2.0, upto / total))
+            logs[:, end - a - 1, m:] = -np.inf
+        kept = ~np.isneginf(logs)
+        sizes = np.broadcast_to(np.arange(1, k + 1, dtype=np.uint8), logs.shape)[kept]
+        parts.append((kept.sum(axis=2), logs[kept].astype(np.float32), sizes, ids[kept]))
+    # A second block means a word that is a group of its own, so the parts follow each other.
+    return (np.concatenate([p[0] for p in parts], axis=1).ravel(), *(np.concatenate([p[i] for p in parts]) for i in (1, 2, 3)))
+
+
+class Lattices:
+    """Lattices of words filtered before, by word hash, so that a common word is
+    filtered once per worker; emptied when they hold over ``LATTICES`` pieces.  What a
+    word's lattice is does not depend on it."""
+
+    def __init__(self):
+        self.words, self.base = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.begin = np.zeros(1, np.int64)  # first piece of each end position of each word
+        self.pieces = (np.zeros(0, np.float32), np.zeros(0, np.uint8), np.zeros(0, np.int32))
+
+    def of(self, words: np.ndarray, lengths: np.ndarray, build) -> tuple[np.ndarray, ...]:
+        """For word hashes: the place of each word's end positions in ``begin``;
+        ``begin``; thresholds, sizes and ids of all pieces."""
+        if len(self.pieces[0]) > LATTICES:
+            self.__init__()
+        base = np.full(len(words), -1)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            known = self.words[at] == words
+            base[known] = self.base[at[known]]
+        new = np.flatnonzero(base < 0)
+        if len(new):
+            counts, parts, done = [], [self.pieces], len(self.begin) - 1
+            for length in np.unique(lengths[new]).tolist():
+                group = new[lengths[new] == length]
+                rows = max(1, BLOCK // length)
+                for g in range(0, len(group), rows):
+                    own = group[g:g + rows]
+                    count, *found = build(own, length)
+                    counts.append(count)
+                    parts.append(found)
+                    base[own] = done + np.arange(len(own)) * length
+                    done += len(own) * length
+            ends = self.begin[-1] + np.cumsum(np.concatenate(counts))
+            self.begin = np.concatenate([self.begin, ends])
+            self.pieces = tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
+            self.words = np.concatenate([self.words, words[new]])
+            self.base = np.concatenate([self.base, base[new]])
+            order = np.argsort(self.words)
+            self.words, self.base = self.words[order], self.base[order]
+        return base, self.begin, *self.pieces
 
 
 def encode_batch(pieces: Pieces, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
@@ -169,33 +235,18 @@ def encode_batch(pieces: Pieces, texts: list[str], keys: np.ndarray) -> list[np.
     begins[row_start[sizes > 0]] = True
     starts = np.flatnonzero(begins)
     lengths = np.diff(np.append(starts, len(chars)))
-    if lengths.max() > MAX_WORD:
-        pieces_of = -(-lengths // MAX_WORD)
-        inner = np.arange(pieces_of.sum()) - np.repeat(np.cumsum(pieces_of) - pieces_of, pieces_of)
-        starts = np.repeat(starts, pieces_of) + inner * MAX_WORD
-        lengths = np.diff(np.append(starts, len(chars)))
     chars = np.where(chars == 32, MARK, chars).astype(np.uint32)
     power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(chars) - 1, _BASE)]))
     undo = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(chars) - 1, _BACK)]))
     prefix = np.concatenate([[np.uint64(0)], np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * power)])
     hashes = (prefix[starts + lengths] - prefix[starts]) * undo[starts]
     hashes = hashes * _BASE + lengths.astype(np.uint64)
-    _, sample, word = np.unique(hashes, return_index=True, return_inverse=True)
+    different, sample, word = np.unique(hashes, return_index=True, return_inverse=True)
 
-    # Thresholds and ids of all different words, one row per word and end position.
     word_length = lengths[sample]
-    width = min(int(word_length.max()), pieces.longest)
-    base = np.cumsum(word_length + 1) - (word_length + 1)
-    steps = np.full((int((word_length + 1).sum()), width), 2.0, np.float32)
-    ids = np.zeros(steps.shape, np.int32)
-    for length in np.unique(word_length).tolist():
-        group = np.flatnonzero(word_length == length)
-        rows = max(1, 400_000 // (length + 1))
-        for g in range(0, len(group), rows):
-            own = group[g:g + rows]
-            s, i = filter_words(pieces, chars[starts[sample[own]][:, None] + np.arange(length)])
-            at = (base[own][:, None] + np.arange(length + 1)).ravel()
-            steps[at, :s.shape[2]], ids[at, :s.shape[2]] = s.reshape(len(at), -1), i.reshape(len(at), -1)
+    base, begin, steps, lens, ids = pieces.lattices.of(
+        different, word_length, lambda own, length: filter_words(
+            pieces, chars[starts[sample[own]][:, None] + np.arange(length)]))
 
     row = np.searchsorted(np.cumsum(sizes), starts, "right")
     place = (starts - row_start[row]).astype(np.uint64)
@@ -204,12 +255,15 @@ def encode_batch(pieces: Pieces, texts: list[str], keys: np.ndarray) -> list[np.
     drawn: list[tuple[np.ndarray, np.ndarray]] = []
     count = np.zeros(len(starts), np.int64)
     while len(at):
-        r = base[word[at]] + left[at]
+        r = begin[base[word[at]] + left[at] - 1]
         bits = _scramble(seed[at] + (count[at].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
         u = ((bits >> np.uint64(41)).astype(np.float32) + 1.0) / np.float32(1 << 23)
-        size = (steps[r] < u[:, None]).sum(axis=1)
-        drawn.append((at, ids[r, size]))
-        left[at] -= size + 1
+        later = np.flatnonzero(steps[r] < u)
+        while len(later):
+            r[later] += 1
+            later = later[steps[r[later]] < u[later]]
+        drawn.append((at, ids[r]))
+        left[at] -= lens[r]
         count[at] += 1
         at = at[left[at] > 0]
     ends = np.cumsum(count)
@@ -239,23 +293,28 @@ def decode_ids(pieces: Pieces, ids: np.ndarray) -> bytes:
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", key_col: str = "doc_id",
-           keep: list[str] | None = None, name: str = "pieces", sharpness: float = SHARPNESS) -> DataFrame:
+           keep: list[str] | None = None, name: str = "pieces", sharpness: float = SHARPNESS,
+           decoded: str | None = None) -> DataFrame:
     """``keep`` columns (default all) and the sampled ids as little-endian unsigned
-    32-bit numbers (binary).  Null and empty texts have none; rows with the same
-    key and text are segmented alike; a null key is a key."""
+    32-bit numbers (binary); with ``decoded`` also, under that name, the text that
+    those ids decode to, in the same step.  Null and empty texts have none; rows with
+    the same key and text are segmented alike; a null key is a key."""
     keep = docs.columns if keep is None else keep
     text, key = fresh(docs, "text_", "key_")
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.BinaryType())])
+    if decoded is not None:
+        schema = schema.add(decoded, T.StringType())
 
     def run(batches):
         pieces = load(path, sharpness)
         n = len(keep)
         for b in batches:
-            for p in slices(b, n, 2 << 20):
+            for p in slices(b, n, SLICE):
                 got = encode_batch(pieces, [t.decode() for t in utf8(p.column(n))], p.column(n + 1).to_numpy())
-                yield pa.RecordBatch.from_arrays(
-                    [p.column(i) for i in range(n)] + [pa.array([x.astype("<u4").tobytes() for x in got], pa.binary())],
-                    schema.names)
+                out = [pa.array([x.astype("<u4").tobytes() for x in got], pa.binary())]
+                if decoded is not None:
+                    out.append(pa.array([decode_ids(pieces, x) for x in got], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([p.column(i) for i in range(n)] + out, schema.names)
 
     return docs.select(*map(col, keep), col(text_col).alias(text), F.xxhash64(col(key_col)).alias(key)) \
         .mapInArrow(run, schema)
@@ -278,7 +337,7 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decode(encode(docs, path), path)
+    out = encode(docs, path, decoded="decoded")
     return out.select(
         "doc_id", (F.coalesce(F.octet_length("pieces"), F.lit(0)) / 4).cast("long").alias("n_pieces"),
         F.crc32("pieces").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"),
