@@ -83,8 +83,9 @@ def test_no_rows(spark):
 def test_union_adds_shards_and_compose_looks_up():
     vocabulary = [b"a", b"b", b"c"]
     hashes = C.word_hashes(vocabulary, "en")
-    ids = np.array([0, 1, 2, -1, 0, 1, 1, -1, 2, 0, 1])
-    go_on = (ids[:-1] >= 0) & (ids[1:] >= 0)
+    words, ids, go_on = C.tokens([b"A b c", b"a b B. c", b"\ta  b", b""])
+    assert words == vocabulary and ids.tolist() == [0, 1, 2, 0, 1, 1, 2, 0, 1]
+    assert go_on.tolist() == [True, True, False, True, True, False, False, True]
     shards = [t for _, t in C.from_windows(vocabulary, hashes, ids, go_on, 1, 3, 2)]
     shards = [C.Transducer.load(t.dump()) for t in shards]
     both = C.union(shards * 2, 1, 4)
@@ -103,4 +104,5 @@ def test_long_texts_are_cut_between_pieces():
 
 
 def _pieces(parts):
-    return [p.split() for p in b" ".join(C.words_of(parts)).split(b"\n") if p.strip()]
+    words, ids, joined = C.tokens(parts)
+    return [(words[i], j) for i, j in zip(ids.tolist(), [*joined.tolist(), False])]

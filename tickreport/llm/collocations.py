@@ -61,10 +61,23 @@ _TABLE = bytes.maketrans(_UPPER + _CUTS + b"\t", _UPPER.lower() + b"\n" * len(_C
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(29))
 
 
-def words_of(texts: list[bytes]) -> list[bytes]:
-    """All words in order, with a line end between pieces."""
-    text = b"\n".join(texts).translate(_TABLE)
-    return [w for w in text.replace(b"\n", b" \n ").split(b" ") if w]
+def tokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, sorted; word number of every word in order; whether words
+    i and i + 1 stand in one piece)."""
+    text = np.frombuffer(b"\n".join(texts).translate(_TABLE), np.uint8)
+    line = text == 10
+    word = (text != 32) & ~line
+    edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    piece = np.cumsum(line, dtype=np.int64)[starts]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text[word])])
+    coded = found.dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    order = sorted(range(len(words)), key=words.__getitem__)
+    number = np.empty(len(words), np.int64)
+    number[order] = np.arange(len(words))
+    return [words[i] for i in order], number[coded.indices.to_numpy(zero_copy_only=False)], piece[1:] == piece[:-1]
 
 
 def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
@@ -122,8 +135,13 @@ class Transducer:
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorted distinct keys, their summed weights, place of each key among them)."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
+    bits = len(keys).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits < 64:  # key and place in one number sort much faster
+        packed = np.sort(keys << bits | np.arange(len(keys)))
+        order, ordered = packed & ((1 << bits) - 1), packed >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     place = np.empty(len(keys), np.int64)
@@ -136,10 +154,10 @@ def from_windows(vocabulary: list[bytes], hashes: np.ndarray, ids: np.ndarray, g
                  most: int, n_ranges: int) -> Iterator[tuple[int, Transducer]]:
     """(range, transducer) of all windows of ``fewest`` to ``most`` words.
 
-    ``ids`` are word numbers (-1 between pieces), ``go_on[i]`` says that words i and
-    i + 1 may stand in one phrase.  Ranges go by the first ``fewest`` words."""
+    ``ids`` are word numbers, ``go_on[i]`` says that words i and i + 1 may stand in
+    one phrase.  Ranges go by the first ``fewest`` words."""
     n = len(ids)
-    inside = ids >= 0
+    inside = np.ones(n, bool)
     for d in range(1, fewest):
         inside[:n - d] &= go_on[d - 1:n - 1]
         inside[max(0, n - d):] = False
@@ -255,19 +273,12 @@ class _Passes:
         least, n_ranges = self.least, self.n_ranges
 
         def shard(lang: str, texts: list[bytes]) -> Iterator[tuple]:
-            words = words_of(texts)
-            vocabulary = sorted(set(words) - {b"\n"})
-            if not vocabulary:
-                return
-            number = {w: i for i, w in enumerate(vocabulary)} | {b"\n": -1}
-            ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            del words
+            vocabulary, ids, go_on = tokens(texts)
             hashes = word_hashes(vocabulary, lang)
-            go_on = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            if seen:
+            if seen and len(ids):
                 ok = seen[0].value.holds(hashes)
                 go_on &= ok[ids[:-1]] & ok[ids[1:]]
-            if len(seen) > 1:
+            if len(seen) > 1 and len(ids):
                 pairs = np.flatnonzero(go_on)
                 go_on[pairs] = seen[1].value.holds(mixed(hashes[ids[pairs]], hashes[ids[pairs + 1]]))
             for r, t in from_windows(vocabulary, hashes, ids, go_on, fewest, most, n_ranges):
