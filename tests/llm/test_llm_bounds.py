@@ -186,3 +186,21 @@ def test_decoding_in_the_same_step(spark):
     out = sampling.encode(docs, path, decoded="back")
     assert [(r["text"] or "") == r["back"] for r in out.collect()] == [True] * 4
     assert sorted(map(str, out.drop("back").collect())) == sorted(map(str, sampling.encode(docs, path).collect()))
+
+
+def test_frequent_lines_are_counted_in_documents(spark):
+    from tickreport.llm import quality_rules
+    own = [" ".join(chr(97 + i) * (k + 1) for k in range(25)) for i in range(20)]  # digits count as one
+    rows = [(i, f"same line of many\n{own[0]}", "h") for i in range(12)]           # twelve copies
+    rows += [(100, f"once\n{own[1]}", "h")] * 20                                   # one document in twenty rows
+    rows += [(200 + i, f"same line of many\n{own[2 + i]}", "other") for i in range(10)]  # ten documents: no more
+    rows += [(None, "same line of many", "h"), (300, None, "h"), (301, "", None)]
+    df = spark.createDataFrame(rows, "kept long, text string, source string")
+    out = quality_rules.quality_rules(df, id_col="kept", min_words=1)
+    assert out.columns == ["kept", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                           "_kept", "line_chars", "removed_chars"]
+    got = {r[0]: r for r in out.collect()}
+    line = len("same line of many")
+    assert all(got[i]["removed_chars"] == line + len(own[0]) and not got[i]["_kept"] for i in range(12))
+    assert got[100]["removed_chars"] == 0 and got[100]["_kept"] and out.count() == len(rows)
+    assert all(got[200 + i]["removed_chars"] == 0 for i in range(10)) and not got[None]["_kept"]

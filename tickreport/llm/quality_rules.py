@@ -4,11 +4,13 @@ Built from DataFrame functions alone.  Method: normalise and hash the lines of
 every document, count the distinct documents of each (host, line), remove lines
 above the limit, and reject documents that keep too little of themselves.
 
-Copies of one text on one host are one document for the counts, so a group of
-thousands of exact copies is reduced on the map side and does not make its own
-lines "frequent".  Lines are counted after a grouping by (host, line, document),
-so a line that a third of all documents share is never gathered in one task;
-the way back to the documents is a join that adaptive execution splits.
+Documents are counted, copies included: a line of a thousand copies on one host is
+found in a thousand documents.  For the counting, copies of one text on one host
+travel as one text with its number of documents (rows of one id and text are one
+document), so a group of thousands of copies is reduced on the map side.  Lines are
+counted after a grouping by (host, line, text), so a line that a third of all
+documents share is never gathered in one task; the way back to the documents is a
+join that adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -73,28 +75,40 @@ def base_counts(docs: DataFrame, text: Column, keep: list[str], width: int = 8)
     return row.select(*map(col, keep), F.inline(F.transform(F.array(words_of(F.col(t))), counts)))
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text; null for null."""
+    return F.unhex(F.md5(text))
+
+
 def line_key(line: Column) -> Column:
     """A line lower-cased, blanks collapsed, digit runs as one 0."""
     return F.btrim(F.regexp_replace(F.regexp_replace(F.lower(line), _WHITE_RE, " "), "[0-9]+", "0"), F.lit(" "))
 
 
 def line_verdicts(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_docs: int = 10,
-                  min_kept: float = 0.25) -> DataFrame:
+                  min_kept: float = 0.25, id_col: str = "doc_id") -> DataFrame:
     """One row per (host, text hash) that holds a frequent line: host, text_hash,
     line_chars, removed_chars, removed (0-based positions of the lines found in
-    more than ``max_docs`` distinct texts of the host) and depleted (less than
+    more than ``max_docs`` documents of the host) and depleted (less than
     ``min_kept`` of the characters of its non-blank lines stay).
 
     A null host is the host ''; null, empty and blank texts have no lines and so
     no row; an empty table gives no rows."""
     lines = docs.select(
-        F.coalesce(col(host_col), F.lit("")).alias("host"), F.xxhash64(col(text_col)).alias("text_hash"),
+        F.coalesce(col(host_col), F.lit("")).alias("host"), text_key(col(text_col)).alias("text_hash"),
         F.posexplode(F.split(col(text_col), "\n")).alias("pos", "line"))
     lines = lines.select("host", "text_hash", "pos", line_key(F.col("line")).alias("line")).where("line <> ''")
     own = lines.groupBy("host", F.xxhash64("line").alias("key"), "text_hash").agg(
         F.collect_set("pos").alias("at"), F.max(F.length("line")).cast("long").alias("chars"))
     own = saved(own, "line-rows")
-    frequent = own.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
+    # Only texts of several documents need their number; a null id is an id.
+    copies = docs.where(col(text_col).isNotNull()).select(
+        F.coalesce(col(host_col), F.lit("")).alias("host"), text_key(col(text_col)).alias("text_hash"),
+        F.struct(col(id_col)).alias("id")).groupBy("host", "text_hash").agg(F.count_distinct("id").alias("n")) \
+        .where("n > 1")
+    counted = own.select("host", "key", "text_hash").join(copies, ["host", "text_hash"], "left")
+    frequent = counted.groupBy("host", "key").agg(F.sum(F.coalesce("n", F.lit(1))).alias("n_docs")) \
+        .where(F.col("n_docs") > max_docs)
     marked = own.join(frequent, ["host", "key"], "left")
     chars, hit = F.col("chars") * F.size("at"), F.col("n_docs").isNotNull()
     per_text = marked.groupBy("host", "text_hash").agg(
@@ -109,7 +123,7 @@ def remove_lines(docs: DataFrame, verdicts: DataFrame, text_col: str = "text", h
     v = verdicts.select(F.col("host").alias(h), F.col("text_hash").alias(x), F.col("removed").alias(removed),
                         F.col("depleted").alias(depleted))
     joined = docs.join(v, (F.coalesce(col(host_col), F.lit("")) == F.col(h))
-                       & (F.xxhash64(col(text_col)) == F.col(x)), "left")
+                       & (text_key(col(text_col)) == F.col(x)), "left")
 
     def kept(lines: Column) -> Column:
         at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
@@ -123,19 +137,23 @@ def remove_lines(docs: DataFrame, verdicts: DataFrame, text_col: str = "text", h
 def quality_rules(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source",
                   min_words: int = 20, max_repeat_pct: int = 30, max_docs: int = 10,
                   min_kept: float = 0.25) -> DataFrame:
-    """Per row: the id, the base counts, base_failed, line_chars and removed_chars
-    (0 where no line is frequent), kept.  Repeated rows each get their row."""
+    """Per row: the id, the base counts, base_failed, kept, line_chars and
+    removed_chars (0 where no line is frequent).  Repeated rows each get their row;
+    an id column named like one of these gets it under a name with underscores."""
     tmp_host, tmp_hash, tmp_id = "host_", "text_hash_", "id_"
     source = docs.select(col(id_col).alias(tmp_id), F.coalesce(col(host_col), F.lit("")).alias(tmp_host),
-                         F.xxhash64(col(text_col)).alias(tmp_hash), col(text_col).alias("text"))
+                         text_key(col(text_col)).alias(tmp_hash), col(text_col).alias("text"))
     base = base_counts(source, F.col("text"), [tmp_id, tmp_host, tmp_hash])
-    verdicts = line_verdicts(docs, text_col, host_col, max_docs, min_kept)
+    verdicts = line_verdicts(docs, text_col, host_col, max_docs, min_kept, id_col)
     out = base.join(verdicts, (F.col(tmp_host) == F.col("host")) & (F.col(tmp_hash) == F.col("text_hash")), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
-    return out.select(
-        F.col(tmp_id).alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), F.coalesce("removed_chars", F.lit(0)).cast("long").alias("removed_chars"),
-        (~failed & ~F.coalesce("depleted", F.lit(False))).alias("kept"))
+    found = {"n_words": F.col("n_words"), "word_chars": F.col("word_chars"), "n_symbols": F.col("n_symbols"),
+             "n_dup_lines": F.col("n_dup_lines"), "n_repeat_words": F.col("n_repeat_words"), "base_failed": failed,
+             "kept": ~failed & ~F.coalesce("depleted", F.lit(False)),
+             "line_chars": F.coalesce("line_chars", F.lit(0)).cast("long"),
+             "removed_chars": F.coalesce("removed_chars", F.lit(0)).cast("long")}
+    names = fresh(docs.select(col(id_col)), *found)
+    return out.select(F.col(tmp_id).alias(id_col), *[c.alias(n) for n, c in zip(names, found.values())])
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +173,7 @@ worded AS (SELECT * FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY doc_id),
 keyed AS (SELECT *, trim(regexp_replace(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'),
                                         '[0-9]+', '0', 'g'), ' ') AS key FROM worded),
-frequent AS (SELECT host, key FROM keyed GROUP BY host, key HAVING count(DISTINCT text) > 10),
+frequent AS (SELECT host, key FROM keyed GROUP BY host, key HAVING count(DISTINCT (doc_id, text)) > 10),
 depleted AS (
   SELECT k.doc_id, sum(length(k.key)) AS line_chars,
          coalesce(sum(length(k.key)) FILTER (f.key IS NOT NULL), 0) AS removed_chars
@@ -167,8 +185,9 @@ base AS (
          CAST(coalesce(u.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
   FROM docs d JOIN words w USING (doc_id) LEFT JOIN dups u USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
-SELECT j.*, CAST(coalesce(p.removed_chars, 0) AS BIGINT) AS removed_chars,
-       NOT base_failed AND NOT coalesce(p.line_chars - p.removed_chars < 0.25 * p.line_chars, false) AS kept
+SELECT j.*, NOT base_failed AND NOT coalesce(p.line_chars - p.removed_chars < 0.25 * p.line_chars, false) AS kept,
+       CAST(CASE WHEN p.removed_chars > 0 THEN p.line_chars ELSE 0 END AS BIGINT) AS line_chars,
+       CAST(coalesce(p.removed_chars, 0) AS BIGINT) AS removed_chars
 FROM judged j LEFT JOIN depleted p USING (doc_id)
 """
 
