@@ -204,3 +204,52 @@ def test_frequent_lines_are_counted_in_documents(spark):
     assert all(got[i]["removed_chars"] == line + len(own[0]) and not got[i]["_kept"] for i in range(12))
     assert got[100]["removed_chars"] == 0 and got[100]["_kept"] and out.count() == len(rows)
     assert all(got[200 + i]["removed_chars"] == 0 for i in range(10)) and not got[None]["_kept"]
+
+
+def test_the_gray_order_index_finds_the_links(monkeypatch):
+    from tickreport.llm import simhash
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 63, 4_000, dtype=np.uint64)
+    near = fps[:400] ^ (np.uint64(1) << rng.integers(0, 63, 400).astype(np.uint64)) ^ np.uint64(1 << 62)
+    fps = np.unique(np.concatenate([fps, near]))
+    compared = []
+    roots = simhash.linked(fps, 3, compared)
+    plain = simhash.Components(len(fps))
+    for i in range(len(fps)):
+        j = np.flatnonzero(np.bitwise_count(fps[i + 1:] ^ fps[i]) <= 3) + i + 1
+        plain.join(np.full(len(j), i), j)
+    assert (plain.flat() == roots).all()
+    assert sum(compared) < 0.01 * len(fps) ** 2 / 2  # whole groups are pruned
+
+
+def test_simhash_query_against_brute_force(spark):
+    import os
+
+    import pytest
+
+    from tickreport.llm import simhash
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    fp = {r["doc_id"]: simhash.simhash((r["text"] or "").encode()) for r in rows}
+    least = {i: i for i in fp}
+    changed = True
+    while changed:  # smallest id reachable
+        changed = False
+        for i in fp:
+            best = min(least[j] for j in fp if (fp[i] ^ fp[j]).bit_count() <= 3)
+            changed, least[i] = changed or best < least[i], min(best, least[i])
+    got = {r["doc_id"]: (int(r["fingerprint"], 16), r["component_id"]) for r in simhash.op9_simhash_dedup(spark, sf).collect()}
+    assert got == {i: (fp[i], least[i]) for i in fp}
+
+
+def test_links_do_not_depend_on_the_number_of_indexes(spark):
+    from tickreport.llm import simhash
+    rng = np.random.default_rng(7)
+    fps = rng.integers(0, 1 << 63, 600, dtype=np.uint64).view(np.int64)
+    fps = np.unique(np.concatenate([fps, fps[:200] ^ 5, fps[:50] ^ 7]))
+    df = spark.createDataFrame([(int(x),) for x in fps], "fp long")
+    found = [{tuple(r) for r in simhash.components(simhash.bucket_links(df, 3, max_bucket, per)).collect()}
+             for max_bucket, per in ((20_000, 4096), (20_000, 20), (50, 200))]
+    assert found[0] == found[1] == found[2] and len(found[0]) > 200

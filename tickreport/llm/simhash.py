@@ -1,15 +1,18 @@
 """SimHash near-dedup with a Gray-order hierarchical index.
 
 Fingerprints: 64 bits, one per document, from word shingles.  Linking: the
-distinct fingerprints are dealt to buckets so that any two within the distance
-meet in one (of k+1 bands, two fingerprints that differ in k bits share one).
-In a bucket the fingerprints are sorted by Gray rank; runs of them form nodes
-that hold the bits all members share, nodes form upper nodes, and a pair of
-nodes is pruned as a whole when the differences accumulated on the way down
-exceed the distance.  Only a spanning set of links leaves a bucket.  Components
-are found by alternating large-star and small-star steps on written tables.
-
-Copies cost one fingerprint.  A bucket over the limit is dealt again on the bits
+distinct fingerprints are sorted by Gray rank; runs of them form nodes that hold
+the bits all members share, nodes form upper nodes, and a pair of nodes is pruned
+as a whole when the differences accumulated on the way down exceed the distance.
+Only a spanning set of links leaves an index.  Components are found by alternating
+large-star and small-star steps on written tables.
+
+One index holds about ``INDEX`` fingerprints.  Beyond that they are dealt to as many
+indexes as their number asks for, by the first bits of k+1 bands: two fingerprints
+that differ in k bits share a band, so they meet in an index.  The bands' width
+follows the number of fingerprints; it only deals, and the index finds the links.
+
+Copies cost one fingerprint.  An index over the limit is dealt again on the bits
 its members don't share, with the same guarantee, until it fits; distinct
 fingerprints with 15 open bits are at most 32,768, so this ends.
 """
@@ -28,10 +31,11 @@ from pyspark.sql import types as T
 from .common import append_columns, col, fresh, saved, table, utf8
 
 BITS = 64
-#: Fingerprints of a bucket that one task indexes; larger buckets are dealt again.
-MAX_BUCKET = 20_000
+#: Fingerprints meant for one index, and most that one task indexes; larger buckets
+#: are dealt again.
+INDEX, MAX_BUCKET = 4096, 20_000
 #: Members of a node, and nodes of an upper node.
-FANOUT = 16
+FANOUT = 2
 
 
 def simhash(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -111,17 +115,13 @@ def _nodes(pattern: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, ~differs
 
 
-def linked(fps: np.ndarray, distance: int) -> np.ndarray:
+def linked(fps: np.ndarray, distance: int, compared: list[int] | None = None) -> np.ndarray:
     """For distinct fingerprints, the index of the component root of each, links
-    being ``distance`` or fewer differing bits.  Small sets are compared at once;
-    larger ones go through the index, one node against the later ones."""
+    being ``distance`` or fewer differing bits: one top node against itself and the
+    later ones, and down.  ``compared`` collects how many pairs of fingerprints the
+    index did not prune."""
     n = len(fps)
     parts = Components(n)
-    if n <= 2 * FANOUT:
-        a, b = np.triu_indices(n, 1)
-        near = np.bitwise_count(fps[a] ^ fps[b]) <= distance
-        parts.join(a[near], b[near])
-        return parts.flat()
     order = np.argsort(gray_rank(fps), kind="stable")
     levels = [(fps[order], np.full(n, ~np.uint64(0)))]
     while len(levels[-1][0]) > FANOUT:
@@ -131,11 +131,11 @@ def linked(fps: np.ndarray, distance: int) -> np.ndarray:
     top = len(levels) - 1
     for root in range(len(levels[top][0])):
         later = np.arange(root, len(levels[top][0]))
-        _descend(levels, top, np.full(len(later), root), later, distance, order, parts)
+        _descend(levels, top, np.full(len(later), root), later, distance, order, parts, compared)
     return parts.flat()
 
 
-def _descend(levels, level, a, b, distance, order, parts) -> None:
+def _descend(levels, level, a, b, distance, order, parts, compared=None) -> None:
     """Follow the pairs of nodes (a <= b) down; ``gone`` are the bits already
     compared above and ``sum_`` their differences."""
     gone, sum_ = np.zeros(len(a), np.uint64), np.zeros(len(a), np.uint8)
@@ -148,6 +148,8 @@ def _descend(levels, level, a, b, distance, order, parts) -> None:
                      (level, a[half:], b[half:], gone[half:], sum_[half:])]
             continue
         pattern, mask = levels[level]
+        if level == 0 and compared is not None:
+            compared.append(int((a != b).sum()))
         both = mask[a] & mask[b] & ~gone
         sum_ = sum_ + np.bitwise_count((pattern[a] ^ pattern[b]) & both)
         keep = sum_ <= distance
@@ -178,27 +180,36 @@ def _bands(open_bits: int, count: int) -> np.ndarray:
     return np.array([sum(1 << int(b) for b in part) for part in np.array_split(bits, count)], np.uint64)
 
 
-def _deal(fps: np.ndarray, used: int, distance: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shared bits, masked value of each fingerprint) for each band of the bits not in ``used``."""
+def _deal(fps: np.ndarray, used: int, distance: int, width: int = BITS) -> Iterator[tuple[int, np.ndarray]]:
+    """(shared bits, masked value of each fingerprint) for the first ``width`` bits of
+    each band of the bits not in ``used``; one bucket for all if there are none."""
+    if not width:
+        yield used, fps & np.uint64(used)
+        return
     for band in _bands(~used & (1 << BITS) - 1, distance + 1):
-        mask = used | int(band)
+        first = [i for i in range(BITS) if int(band) >> i & 1][:width]
+        mask = used | sum(1 << i for i in first)
         yield mask, fps & np.uint64(mask)
 
 
-def bucket_links(fps: DataFrame, distance: int = 3, max_bucket: int = MAX_BUCKET) -> DataFrame:
+def bucket_links(fps: DataFrame, distance: int = 3, max_bucket: int = MAX_BUCKET, per_index: int = INDEX) -> DataFrame:
     """Links (fp, to), ``to`` the smaller end, that connect the distinct ``fps``
     (column fp) as all pairs within ``distance`` would."""
     key_type = T.StructType([T.StructField(x, T.LongType()) for x in ("mask", "value", "fp")])
     link_type = T.StructType([T.StructField(x, T.LongType()) for x in ("fp", "to")])
+    widths = [max(0, (fps.count() - 1) // per_index).bit_length()]  # then whole bands
     signed = lambda x: np.asarray(x, np.uint64).view(np.int64)
 
-    def deal(batches):
+    def dealer(width):
+        return lambda batches: deal(batches, width)
+
+    def deal(batches, width):
         for b in batches:
             fp = b.column("fp").to_numpy().view(np.uint64)
             used = b.column("mask").to_numpy().view(np.uint64)
             for u in np.unique(used):
                 mine = fp[used == u]
-                for mask, value in _deal(mine, int(u), distance):
+                for mask, value in _deal(mine, int(u), distance, width):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(signed(np.full(len(mine), mask, np.uint64))), pa.array(signed(value)),
                          pa.array(signed(mine))], key_type.names)
@@ -208,18 +219,12 @@ def bucket_links(fps: DataFrame, distance: int = 3, max_bucket: int = MAX_BUCKET
             edges = np.flatnonzero((mask[1:] != mask[:-1]) | (value[1:] != value[:-1])) + 1
             starts, ends = np.concatenate([[0], edges]), np.concatenate([edges, [len(fp)]])
             out_a, out_b = [], []
-            pair = np.flatnonzero(ends - starts == 2)  # the most common bucket, all at once
-            x, y = fp[starts[pair]], fp[starts[pair] + 1]
-            near = np.bitwise_count(x ^ y) <= distance
-            out_a.append(x[near])
-            out_b.append(y[near])
             for s, e in zip(starts.tolist(), ends.tolist()):
-                if e - s > 2:
-                    mine = np.sort(fp[s:e].view(np.int64)).view(np.uint64)
-                    root = linked(mine, distance)
-                    far = root != np.arange(e - s)
-                    out_a.append(mine[far])
-                    out_b.append(mine[root[far]])
+                mine = np.sort(fp[s:e].view(np.int64)).view(np.uint64)
+                root = linked(mine, distance)
+                far = root != np.arange(e - s)
+                out_a.append(mine[far])
+                out_b.append(mine[root[far]])
             a, b = np.concatenate(out_a).view(np.int64), np.concatenate(out_b).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))],
                                               link_type.names)
@@ -238,7 +243,8 @@ def bucket_links(fps: DataFrame, distance: int = 3, max_bucket: int = MAX_BUCKET
     found = []
     todo = fps.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"), "fp")
     while True:
-        dealt = saved(todo.select("mask", "fp").mapInArrow(deal, key_type), "buckets")
+        width = widths.pop() if widths else BITS
+        dealt = saved(todo.select("mask", "fp").mapInArrow(dealer(width), key_type), "buckets")
         large = saved(dealt.groupBy("mask", "value").count().where(F.col("count") > max_bucket)
                       .select("mask", "value"), "large-buckets")
         n_large = large.count()  # a number, not the buckets
