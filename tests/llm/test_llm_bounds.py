@@ -93,10 +93,16 @@ _LGPL = """This library is free software; you can redistribute it and/or
 modify it under the terms of the GNU Lesser General Public
 License as published by the Free Software Foundation; either
 version 2.1 of the License, or (at your option) any later version.
+"""
+_ADVERT = """   3. All advertising materials mentioning features or use of this software
+      must display the following acknowledgement:
+      This product includes software developed by the Example Group.
+
 """
 #: A text for each of RULES, in their order.
 CANONICAL = [
     "MIT License\n\n" + _GRANT + _AS_IS, _GRANT + _AS_IS, _GRANT + "Other words.",
+    (_CLAUSES + _ADVERT + _NAMES.replace("{2}", "4")).format(1, 2),
     (_CLAUSES + _NAMES).format(1, 2, 3), _CLAUSES.format("a", "b"),
     _APACHE + "You may obtain a copy of the License at\n\nUnless required by applicable law or agreed to in writing, "
     "software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF "
@@ -114,6 +120,15 @@ CANONICAL = [
     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "Licensed under CC0 1.0.", "This project is licensed under the MIT License.", "The MIT License (MIT)",
+    _GPL3.replace("GNU General", "GNU Affero General"), _LGPL.replace("2.1", "3"),
+    "Licensed under the GNU Affero General Public License, version 3.",
+    "Licensed under the GNU Lesser General Public License, version 3.",
+    "Licensed under the BSD 3-Clause License.", "Licensed under the BSD 2-Clause License.", "Licensed under the ISC License.",
+    "This is free and unencumbered software released into the public domain.\n",
+    "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter "
+    "it and redistribute it\nfreely, subject to the following restrictions:\n",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.\n",
+    *[f"SPDX-License-Identifier: {x}" for x in license_rules.SPDX],
 ]
 
 
@@ -133,6 +148,44 @@ def test_a_canonical_text_of_every_licence_rule(spark):
     assert got[200]["sequence"] == got[201]["sequence"] == "~"
 
 
+#: Usual texts beside the canonical ones, and what they are.
+USUAL = [
+    ("MIT License\n\nCopyright (c) 2020 Somebody\n\n" + _GRANT + _AS_IS, ["MIT"]),
+    ("The MIT License (MIT)\n\nCopyright (c) 2020 Somebody, Inc. All rights reserved.\n\n" + _GRANT + _AS_IS, ["MIT"]),
+    ("Copyright (c) 2019 A\nCopyright (c) 2020 B\n" + _GRANT + _AS_IS, ["MIT"]),
+    ((_CLAUSES + _NAMES).format(1, 2, 3).replace("the copyright holder", "Google Inc."), ["BSD-3-Clause"]),
+    (_CLAUSES.format(1, 2) + "   3. The name of the author may not be used to endorse or promote products derived\n   from this "
+     "software without specific prior written permission.\n", ["BSD-3-Clause"]),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General\nPublic "
+     "License version 2 as published by the Free Software Foundation.\n", ["GPL-2.0-only"]),
+    ("// SPDX-License-Identifier: Apache-2.0\n#include <x>\n", ["Apache-2.0"]),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */\n\n" + _GPL2, ["GPL-2.0-or-later"] * 2),
+    ("Ich gehe mit. MIT\n\nmit\n\nCopyright (c) 2020 Somebody", []),
+]
+
+
+def test_usual_licence_texts_and_their_sql(spark):
+    import duckdb
+    rows = [(i, text) for i, (text, _) in enumerate(USUAL)] + [(100 + i, t) for i, t in enumerate(CANONICAL)]
+    rows += [(300, None), (301, ""), (302, "1. 2.\n\ncopyright notices"), (303, "a\nCopyright 2020 B\nMIT License. x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = license_rules.scan_licenses(docs)
+    got = {r[0]: r for r in out.collect()}
+    assert {i: got[i]["licenses"] for i in range(len(USUAL))} == {i: x for i, (_, x) in enumerate(USUAL)}
+    frame = docs.toPandas()  # read by the SQL below as its table
+    con = duckdb.connect()
+    con.register("documents", frame)
+    same = con.execute(license_rules.ORACLES["op1_license_rules"]).fetchall()
+    assert {r[0]: (r[1], r[2], r[3], r[4]) for r in same} == {
+        i: (r["n_sentences"], len(r["sentence_ids"]), r["sequence"], ",".join(r["licenses"])) for i, r in got.items()}
+
+
+def test_every_known_sentence_has_an_anchor():
+    held = lambda x: any(a in x for a in license_rules.ANCHORS)
+    assert all(held(x) for _, x in license_rules.SENTENCES)
+    assert all(held(" ".join(parts).replace("spdx license identifier", "spdx-license")) for _, parts in license_rules.PARTED)
+
+
 def _pieces():
     import pytest
 
