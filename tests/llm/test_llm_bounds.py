@@ -306,3 +306,23 @@ def test_links_do_not_depend_on_the_number_of_indexes(spark):
     found = [{tuple(r) for r in simhash.components(simhash.bucket_links(df, 3, max_bucket, per)).collect()}
              for max_bucket, per in ((20_000, 4096), (20_000, 20), (50, 200))]
     assert found[0] == found[1] == found[2] and len(found[0]) > 200
+
+
+def test_next_documents_in_runs(spark):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from tickreport.llm import improbable
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("pair", T.StringType())])
+    process = lambda a, b: [pa.array([f"{x}|{y}" for x, y in zip(a, b)])]
+    sets = [[(i * 7 % 501, f"t{i}") for i in range(501)], [(5, "a")] * 3, [(None, "n"), (None, None), (3, "x"), (3, "y"), (9, "")],
+            [], [(2, "one")], [(i, "same") for i in range(3)] + [(1 << 60, "far")]]
+    for rows in sets:
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = improbable.with_next(df, "text", "doc_id", process, schema).collect()
+        order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        want = [(i, f"{t}|{order[(k + 1) % len(order)][1]}") for k, (i, t) in enumerate(order)]
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    parts = improbable.with_next(spark.createDataFrame(sets[0], "doc_id long, text string"), "text", "doc_id", process, schema) \
+        .rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect()
+    assert max(parts) < 1.5 * 501 / 8 and min(parts) > 0  # no two runs in a task

@@ -228,16 +228,22 @@ def with_next(docs: DataFrame, text_col: str, id_col: str, process, schema: T.St
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     cuts = rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
-    run = F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c < F.col("id"))) if cuts else F.lit(0)
+    cuts = sorted(set(cuts))
+    # The number of cuts below the id, by bisection: a row looks at log2(n) of them.
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    run = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: at + F.when(
+        F.get(F.lit(cuts), at + step - 1) < F.col("id"), step).otherwise(0)) if cuts else F.lit(0)
     rows = rows.withColumn("run", F.coalesce(F.when(F.col("id").isNull(), 0).otherwise(run), F.lit(0)))
     # One row per run: its first id, null if it has a null id.
     first = rows.groupBy("run").agg(F.min("id").alias("id"), F.max(F.col("id").isNull()).alias("null")).collect()
     first = sorted((r["run"], None if r["null"] else r["id"]) for r in first)
     if first:
-        heads = [x for _, x in first if x is not None]
-        of = [first[i - 1][0] for i, (_, x) in enumerate(first) if x is not None]
-        at = F.array_position(F.lit(heads), F.col("id")) if heads else F.lit(0)
-        before = F.when(at > 0, F.get(F.lit(of), (at - 1).cast("int"))) if heads else F.lit(None).cast("int")
+        heads, of = {}, {}  # by run: its first id, and the run before it
+        for i, (r, x) in enumerate(first):
+            heads[r], of[r] = x, first[i - 1][0]
+        by_run = lambda d, kind: F.get(F.lit([d.get(r) for r in range(first[-1][0] + 1)]).cast(kind), F.col("run"))
+        before = F.when(F.col("id") == by_run(heads, T.ArrayType(rows.schema["id"].dataType)),
+                        by_run(of, T.ArrayType(T.IntegerType())))
         if first[0][1] is None:
             before = F.when(F.col("id").isNull(), first[-1][0]).otherwise(before)
         place = lambda r, extra: F.struct(r.cast("int").alias("r"), F.lit(extra).alias("extra"))
@@ -245,7 +251,7 @@ def with_next(docs: DataFrame, text_col: str, id_col: str, process, schema: T.St
             place(F.col("run"), 0), place(before, 1))).otherwise(F.array(place(F.col("run"), 0)))))
     else:
         rows = rows.select("id", "text", F.col("run").cast("int").alias("r"), F.lit(0).alias("extra"))
-    dealt = rows.repartition(n, "r").sortWithinPartitions("r", "extra", "id", "text")
+    dealt = rows.repartitionById(n, F.col("r")).sortWithinPartitions("r", "extra", "id", "text")  # a run, a task
 
     def stream(batches):
         held: list[tuple] = []
