@@ -80,8 +80,7 @@ def test_json_lines(spark):
              json.dumps(missing), json.dumps({**good_t, "record_type": "X"})]
     rows = _parse(spark, lines, parse_json_lines)
     assert [r["partition"] for r in rows] == ["T", "Q", "B", "B", "B"]
-    assert [r["bad_reason"] for r in rows] == [None, None, "unknown_record_type", "missing_field",
-                                             "unknown_record_type"]
+    assert [r["bad_reason"] for r in rows] == [None, None, "bad_json", "missing_field", "unknown_record_type"]
     assert rows[0]["trade_size"] == 12 and rows[1]["bid_price"] == 58.62 and rows[1]["event_seq_num"] == 2
     assert rows[2]["original_line"] == lines[2]
 
