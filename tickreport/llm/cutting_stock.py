@@ -3,9 +3,10 @@
 The input is a histogram (how many items of each length 1..capacity), so the
 problem's size is bounded by the capacity and not by the data.  A linear program
 over packing patterns is solved by the revised simplex method; a knapsack
-dynamic programme prices new patterns; the solution is rounded down, and what
-the rounding leaves (less than one item per pattern and slot) is packed by
-first-fit decreasing.
+dynamic programme prices new patterns at the duals, many at a time, until the
+program is proved to be within a gap of its lower bound.  The solution is rounded
+down, and what the rounding leaves (less than one item per pattern and slot) is
+cut by the same programme at the prices that make every length worth itself.
 """
 
 from __future__ import annotations
@@ -16,111 +17,226 @@ import numpy as np
 
 Pattern = list[tuple[int, int]]  # (length, times), longest first
 
+#: Patterns entered from one pricing at most; the next pricing goes on with the rest.
+BATCH = 60
+#: Share of the best known duals in the prices: pure duals jump from one pricing to the next.
+SMOOTH = 0.3
+#: Orders of ``cut`` (around scarce lengths, power): which one wastes least depends on the histogram.
+WAYS = [(False, 1.0), (False, math.inf), (True, 2.0), (True, math.inf)]
 
-def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float, dict[int, int]]:
-    """The pattern of the highest total price: unbounded knapsack over lengths."""
+
+def price(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack: the highest total price within every room 0..capacity,
+    and the length taken there last (-1: none, the room less one is as good)."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, np.int64)
     useful = prices > 1e-12
     items, worth = lengths[useful], prices[useful]
+    ends = np.searchsorted(items, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        k = int(np.searchsorted(items, c, "right"))
         best[c] = best[c - 1]
-        if k:
-            got = best[c - items[:k]] + worth[:k]
-            j = int(got.argmax())
+        if ends[c]:
+            got = best[c - items[:ends[c]]] + worth[:ends[c]]
+            j = got.argmax()
             if got[j] > best[c] + 1e-15:
                 best[c], choice[c] = got[j], items[j]
+    return best, choice
+
+
+def taken(choice: np.ndarray, room: int) -> dict[int, int]:
+    """The pattern behind a room's best price."""
     pattern: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
+    while room > 0:
+        n = int(choice[room])
+        if n < 0:
+            room -= 1
         else:
-            pattern[int(choice[c])] = pattern.get(int(choice[c]), 0) + 1
-            c -= int(choice[c])
-    return float(best[capacity]), pattern
+            pattern[n] = pattern.get(n, 0) + 1
+            room -= n
+    return pattern
+
 
+def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[float, dict[int, int]]:
+    """The pattern of the highest total price."""
+    best, choice = price(prices, lengths, capacity)
+    return float(best[capacity]), taken(choice, capacity)
+
+
+def fullest(left: dict[int, float], first: int, others: list[int], capacity: int) -> Pattern:
+    """The fullest pattern with an item of length ``first`` and no more items than
+    are left: a bounded knapsack whose prices are the lengths.  Reachable sums are
+    the bits of an integer; of full patterns it takes one from as few of the first
+    lengths in ``others`` as reach the capacity."""
+    room = capacity - first
+    reach, used, within = [1], [], (1 << room + 1) - 1
+    for n in others:
+        sums = grown = reach[-1]
+        for _ in range(min(math.ceil(left[n]) - (n == first), room // n)):
+            grown = grown << n & within
+            sums |= grown
+        if sums != reach[-1]:
+            reach.append(sums)
+            used.append(n)
+            if sums >> room & 1:
+                break
+    at = reach[-1].bit_length() - 1
+    pattern = {first: 1}
+    for i in range(len(used) - 1, -1, -1):
+        while not reach[i] >> at & 1:
+            pattern[used[i]] = pattern.get(used[i], 0) + 1
+            at -= used[i]
+    return sorted(pattern.items(), reverse=True)
 
-def first_fit_decreasing(counts: dict[int, float], capacity: int, whole: bool = True) -> list[tuple[Pattern, float]]:
-    """(pattern, times) that pack the counted items; the work follows the number
-    of different patterns, as a pattern is repeated while its items last.  With
-    ``whole`` false the times may be fractions, and each pattern uses up the
-    length that limits it."""
+
+def cut(counts: dict[int, float], capacity: int, scarce: bool, power: float,
+        whole: bool = True) -> list[tuple[Pattern, float]]:
+    """(pattern, times) that use up the counted items; a pattern is repeated while
+    its items last.  Each pattern is the fullest around the longest length or, with
+    ``scarce``, around the rarest of those over half the capacity and then of the
+    others; the lengths that fill it are tried by length ** power times count left
+    (infinite: by length), largest first.  With ``whole`` false the times may be
+    fractions, and each pattern uses up the length that limits it."""
     left = {n: c for n, c in counts.items() if c > 0}
     out: list[tuple[Pattern, float]] = []
     while left:
-        room, pattern = capacity, []
-        for n in sorted(left, reverse=True):
-            k = min(math.ceil(left[n]), room // n)
-            if k:
-                pattern.append((n, k))
-                room -= n * k
-        limit = min(pattern, key=lambda p: left[p[0]] / p[1])
-        times = left[limit[0]] // limit[1] if whole else left[limit[0]] / limit[1]
+        first = min(left, key=lambda n: (2 * n <= capacity, left[n], -n)) if scarce else max(left)
+        others = sorted(left, key=lambda n: (n if math.isinf(power) else left[n] * n ** power, n), reverse=True)
+        pattern = fullest(left, first, others, capacity)
+        limit = min(pattern, key=lambda p: left[p[0]] / p[1])[0]
+        times = min(left[n] // k if whole else left[n] / k for n, k in pattern)
         for n, k in pattern:
             left[n] -= k * times
-            if left[n] <= 0 or not whole and n == limit[0]:
+            if left[n] <= 0 or not whole and n == limit:
                 del left[n]
         out.append((pattern, times))
     return out
 
 
-def solve(counts: dict[int, int], capacity: int, gap: float = 1e-4, most_steps: int = 300) -> list[tuple[Pattern, int]]:
-    """(pattern, times) that hold every counted item exactly once.
-
-    Column generation ends when the linear program is within ``gap`` of its
-    lower bound, or a quarter of a pattern (or after ``most_steps`` columns, with the solution so far)."""
-    lengths = np.array(sorted(n for n, c in counts.items() if c > 0), np.int64)
-    if not len(lengths):
-        return []
-    demand = np.array([counts[int(n)] for n in lengths], float)
-    at = {int(n): i for i, n in enumerate(lengths)}
-    # Start from first-fit decreasing: each of its patterns uses up at least one
-    # length, its pivot, that no later pattern holds, so the columns are
-    # triangular and their inverse follows by substitution, last pattern first.
-    # Other lengths used up at once get a column of their own.
-    m = len(lengths)
-    patterns: list[dict[int, int]] = [{int(n): int(capacity // n)} for n in lengths]
-    x, inverse = np.zeros(m), np.diag(1.0 / (capacity // lengths))
-    start = first_fit_decreasing({int(n): int(c) for n, c in zip(lengths, demand)}, capacity, whole=False)
-    last = {n: i for i, (pattern, _) in enumerate(start) for n, _ in pattern}
-    for i, (pattern, times) in reversed(list(enumerate(start))):
-        n, k = next((n, k) for n, k in pattern if last[n] == i)
-        p = at[n]
-        patterns[p], x[p] = dict(pattern), times
-        unit = np.zeros(m)
-        unit[p] = 1.0
-        inverse[:, p] = (unit - sum(times_q * inverse[:, at[q]] for q, times_q in pattern if q != n)) / k
-    bound, total_bound = 0.0, float((lengths * demand).sum()) / capacity
-    for _ in range(most_steps):
-        prices = inverse.sum(axis=0)  # cost 1 for each pattern
-        value, pattern = knapsack(np.maximum(prices, 0.0), lengths, capacity)
-        used = float(x.sum())
-        bound = max(bound, total_bound, float((np.maximum(prices, 0) * demand).sum()) / max(value, 1.0))
-        if value <= 1 + 1e-9 or used - bound <= max(gap * bound, 0.25):
-            break
-        d = sum(k * inverse[:, at[n]] for n, k in pattern.items())
-        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1.0), np.inf)
-        r = int(ratio.argmin())
-        if not np.isfinite(ratio[r]):
-            break
-        theta = ratio[r]
-        x = np.maximum(x - theta * d, 0.0)
-        x[r] = theta
-        patterns[r] = pattern
-        row = inverse[r] / d[r]
-        inverse -= np.outer(d, row)
-        inverse[r] = row
-    left = {int(n): int(c) for n, c in zip(lengths, demand)}
-    out: list[tuple[Pattern, int]] = []
-    for pattern, times in sorted(zip(patterns, x), key=lambda p: -p[1]):
-        whole = math.floor(times + 1e-7)
-        whole = min([whole, *(left[n] // k for n, k in pattern.items())])
-        if whole > 0:
+def cuts(counts: dict[int, float], capacity: int, whole: bool = True) -> list[list[tuple[Pattern, float]]]:
+    """``cut`` in every one of ``WAYS``, the one of the fewest patterns first."""
+    return sorted((cut(counts, capacity, scarce, power, whole) for scarce, power in WAYS),
+                  key=lambda way: sum(times for _, times in way))
+
+
+class Master:
+    """The linear program over the patterns found so far: its basis, the inverse of
+    the basis and the times of each basic pattern."""
+
+    def __init__(self, demand: dict[int, float], capacity: int):
+        """A first basis from the best of ``cuts``: each of its patterns uses up one
+        length, its pivot, that no later pattern holds, so the columns are triangular
+        and their inverse follows by substitution, last pattern first."""
+        self.lengths = np.array(sorted(demand), np.int64)
+        self.at = {int(n): i for i, n in enumerate(self.lengths)}
+        m = len(self.lengths)
+        self.patterns: list[dict[int, int]] = [{int(n): int(capacity // n)} for n in self.lengths]
+        self.x, self.inverse = np.zeros(m), np.diag(1.0 / (capacity // self.lengths))
+        start, *rest = cuts(demand, capacity, whole=False)
+        self.spare = [dict(pattern) for way in rest for pattern, _ in way]  # columns to enter next
+        last = {n: i for i, (pattern, _) in enumerate(start) for n, _ in pattern}
+        for i, (pattern, times) in reversed(list(enumerate(start))):
+            n, k = next((n, k) for n, k in pattern if last[n] == i)
+            p = self.at[n]
+            self.patterns[p], self.x[p] = dict(pattern), times
+            unit = np.zeros(m)
+            unit[p] = 1.0
+            self.inverse[:, p] = (unit - sum(t * self.inverse[:, self.at[q]] for q, t in pattern if q != n)) / k
+
+    def duals(self) -> np.ndarray:
+        return self.inverse.sum(axis=0)  # each pattern costs 1
+
+    def enter(self, columns: list[dict[int, int]]) -> bool:
+        """Simplex steps over ``columns`` until none lowers the total; of those that
+        do, the one that lowers it most enters first.  Whether the total fell."""
+        before = float(self.x.sum())
+        tableau = np.zeros((len(self.x), len(columns)))
+        for j, pattern in enumerate(columns):
+            for n, k in pattern.items():
+                tableau[:, j] += k * self.inverse[:, self.at[n]]
+        open_ = np.ones(len(columns), bool)
+        while True:
+            saving = np.where(open_, tableau.sum(axis=0) - 1, 0.0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(tableau > 1e-9, self.x[:, None] / tableau, np.inf)
+            rows = ratio.argmin(axis=0)
+            theta = ratio[rows, np.arange(len(columns))]
+            gain = np.where(saving > 1e-9, saving * np.where(np.isfinite(theta), theta, 0.0), -1.0)
+            j = int(gain.argmax())
+            if gain[j] < 0:
+                return float(self.x.sum()) < before
+            r, d = int(rows[j]), tableau[:, j].copy()
+            self.x = np.maximum(self.x - theta[j] * d, 0.0)
+            self.x[r], self.patterns[r] = theta[j], columns[j]
+            row, step = self.inverse[r] / d[r], tableau[r] / d[r]
+            touched = np.flatnonzero(d)
+            self.inverse[touched] -= d[touched, None] * row
+            self.inverse[r] = row
+            tableau -= d[:, None] * step
+            tableau[r] = step
+            open_[j] = False
+
+
+def relaxed(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> tuple[list[dict[int, int]], np.ndarray, float]:
+    """Patterns, their fractional times and a lower bound of the number of patterns.
+
+    Ends when the times' sum is within ``gap`` of the bound or a quarter of a
+    pattern, or when no pattern is worth more than it costs (then the sum is the
+    least there is).  Demands are raised by up to a millionth, each by another
+    share, so that no step is without progress and the steps end."""
+    lengths = sorted(n for n, c in counts.items() if c > 0)
+    shares = np.random.default_rng(0).random(len(lengths))
+    raised = {n: counts[n] * (1 + 1e-6 * float(s)) for n, s in zip(lengths, shares)}
+    master = Master(raised, capacity)
+    demand = np.array([raised[n] for n in lengths])
+    center = master.lengths / capacity  # duals of the bound by total length
+    bound = float(center @ demand)
+    while True:
+        if master.spare and float(master.x.sum()) - bound > max(gap * bound, 0.25):
+            master.enter(master.spare)
+            master.spare = []
+        duals, better = master.duals(), False
+        for smooth in (SMOOTH, 0.0):
+            prices = smooth * center + (1 - smooth) * np.maximum(duals, 0.0)
+            best, choice = price(prices, master.lengths, capacity)
+            worth = max(float(best[capacity]), 1.0)
+            if float(prices @ demand) / worth > bound:
+                bound, center = float(prices @ demand) / worth, prices / worth
+            if float(master.x.sum()) - bound <= max(gap * bound, 0.25):
+                return master.patterns, master.x, bound
+            # The best pattern with each length, those worth most first.
+            found: list[dict[int, int]] = []
+            seen: set[tuple[tuple[int, int], ...]] = set()
+            for i in np.argsort(-(prices + best[capacity - master.lengths]), kind="stable"):
+                n = int(master.lengths[i])
+                pattern = taken(choice, capacity - n)
+                pattern[n] = pattern.get(n, 0) + 1
+                key = tuple(sorted(pattern.items()))
+                if key not in seen and sum(k * duals[master.at[q]] for q, k in key) > 1 + 1e-8:
+                    seen.add(key)
+                    found.append(pattern)
+                    if len(found) == BATCH:
+                        break
+            better = bool(found) and master.enter(found)
+            if better:
+                break
+        if not better:
+            return master.patterns, master.x, bound
+
+
+def solve(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> list[tuple[Pattern, int]]:
+    """(pattern, times) that hold every counted item exactly once.  Items as long as
+    the capacity are patterns of their own."""
+    left = {int(n): int(c) for n, c in counts.items() if c > 0}
+    full = left.pop(capacity, 0)
+    out: list[tuple[Pattern, int]] = [([(capacity, 1)], full)] if full else []
+    if not left:
+        return out
+    patterns, x, _ = relaxed(left, capacity, gap)
+    for i in np.argsort(-x, kind="stable"):
+        pattern = patterns[i]
+        times = min([math.floor(x[i] + 1e-7), *(left[n] // k for n, k in pattern.items())])
+        if times > 0:
             for n, k in pattern.items():
-                left[n] -= k * whole
-            out.append((sorted(pattern.items(), reverse=True), whole))
-    out += first_fit_decreasing(left, capacity)
-    plain = first_fit_decreasing({int(n): int(c) for n, c in zip(lengths, demand)}, capacity)
-    return min(out, plain, key=lambda p: sum(times for _, times in p))  # rounding can cost more than it gained
+                left[n] -= k * times
+            out.append((sorted(pattern.items(), reverse=True), times))
+    return out + [(pattern, int(times)) for pattern, times in cuts(left, capacity)[0]]
