@@ -60,6 +60,25 @@ def test_column_generation_beats_first_fit(low, high):
     assert used - bound <= max(1, (plain - bound) / 2), (used, bound, plain)
 
 
+def test_times_hold_the_items_after_many_steps():
+    """Lengths of all sizes, some scarce: a long chain of simplex steps must not
+    drift below the bound by total length."""
+    rng = np.random.default_rng(5)
+    for spread in (1.0, 1.6):
+        lengths = np.clip(rng.lognormal(5.5, spread, 20_000).astype(int), 1, 1023)
+        counts = collections.Counter(lengths.tolist())
+        patterns, x, bound = cutting_stock.relaxed(dict(counts), 1024)
+        held = collections.Counter()
+        for pattern, times in zip(patterns, x):
+            assert sum(n * k for n, k in pattern.items()) <= 1024 and times >= 0
+            for n, k in pattern.items():
+                held[n] += k * times
+        assert all(abs(held[n] - c) < 1e-2 for n, c in counts.items())
+        assert lengths.sum() / 1024 - 1e-6 <= bound <= sum(x) + 1e-6
+        assert sum(x) - bound <= max(1e-4 * bound, 0.25) + 1e-6
+        assert _checked(counts, 1024) - bound <= max(3, 3e-4 * bound)
+
+
 def test_cutting_stock_is_least_on_small_cases():
     def least(items, capacity):
         best = len(items)

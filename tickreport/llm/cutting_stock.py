@@ -21,6 +21,10 @@ Pattern = list[tuple[int, int]]  # (length, times), longest first
 BATCH = 60
 #: Share of the best known duals in the prices: pure duals jump from one pricing to the next.
 SMOOTH = 0.3
+#: Simplex steps after which the inverse is computed anew.
+FRESH = 300
+#: The least pivot of a step, and what is no more than an error of rounding.
+PIVOT, TINY = 1e-6, 1e-9
 #: Orders of ``cut`` (around scarce lengths, power): which one wastes least depends on the histogram.
 WAYS = [(False, 1.0), (False, math.inf), (True, 2.0), (True, math.inf)]
 
@@ -122,29 +126,46 @@ class Master:
     """The linear program over the patterns found so far: its basis, the inverse of
     the basis and the times of each basic pattern."""
 
-    def __init__(self, demand: dict[int, float], capacity: int):
-        """A first basis from the best of ``cuts``: each of its patterns uses up one
-        length, its pivot, that no later pattern holds, so the columns are triangular
-        and their inverse follows by substitution, last pattern first."""
+    def __init__(self, demand: dict[int, float], capacity: int, spare: list[dict[int, int]] = ()):
+        """The first basis has each length by itself; ``spare`` are columns to enter
+        next.  (Greedy patterns as a first basis would have an inverse of any size.)"""
         self.lengths = np.array(sorted(demand), np.int64)
         self.at = {int(n): i for i, n in enumerate(self.lengths)}
         m = len(self.lengths)
+        self.demand = np.array([demand[int(n)] for n in self.lengths])
         self.patterns: list[dict[int, int]] = [{int(n): int(capacity // n)} for n in self.lengths]
-        self.x, self.inverse = np.zeros(m), np.diag(1.0 / (capacity // self.lengths))
-        start, *rest = cuts(demand, capacity, whole=False)
-        self.spare = [dict(pattern) for way in rest for pattern, _ in way]  # columns to enter next
-        last = {n: i for i, (pattern, _) in enumerate(start) for n, _ in pattern}
-        for i, (pattern, times) in reversed(list(enumerate(start))):
-            n, k = next((n, k) for n, k in pattern if last[n] == i)
-            p = self.at[n]
-            self.patterns[p], self.x[p] = dict(pattern), times
-            unit = np.zeros(m)
-            unit[p] = 1.0
-            self.inverse[:, p] = (unit - sum(t * self.inverse[:, self.at[q]] for q, t in pattern if q != n)) / k
+        self.inverse = np.diag(1.0 / (capacity // self.lengths))
+        self.x = self.inverse @ self.demand
+        self.steps = 0  # since the inverse was computed anew
+        self.spare = list(spare)
+        self.spare_at = np.zeros((len(self.spare), m))
+        for j, column in enumerate(self.spare):
+            self.spare_at[j, [self.at[n] for n in column]] = list(column.values())
 
     def duals(self) -> np.ndarray:
         return self.inverse.sum(axis=0)  # each pattern costs 1
 
+    def worthwhile(self) -> list[dict[int, int]]:
+        """Up to ``BATCH`` of the spare columns that are worth more than they cost at
+        the duals, from the whole range of their worths: those worth most are alike,
+        and one of them spoils the others."""
+        worth = self.spare_at @ self.duals()
+        good = np.flatnonzero(worth > 1 + 1e-7)
+        good = good[np.argsort(-worth[good], kind="stable")]
+        some = np.unique(np.linspace(0, len(good) - 1, min(len(good), BATCH)).astype(int))
+        return [self.spare[j] for j in good[some]]
+
+    def refresh(self) -> None:
+        """The inverse and the times from the basic patterns themselves: what many
+        steps add up to drifts away from them."""
+        basis = np.zeros(self.inverse.shape)
+        for i, pattern in enumerate(self.patterns):
+            for n, k in pattern.items():
+                basis[self.at[n], i] = k
+        self.inverse = np.linalg.inv(basis)
+        self.x = np.maximum(self.inverse @ self.demand, 0.0)
+        self.steps = 0
+
     def enter(self, columns: list[dict[int, int]]) -> bool:
         """Simplex steps over ``columns`` until none lowers the total; of those that
         do, the one that lowers it most enters first.  Whether the total fell."""
@@ -153,27 +174,35 @@ class Master:
         for j, pattern in enumerate(columns):
             for n, k in pattern.items():
                 tableau[:, j] += k * self.inverse[:, self.at[n]]
+        first, entered = tableau.copy(), {}
         open_ = np.ones(len(columns), bool)
         while True:
             saving = np.where(open_, tableau.sum(axis=0) - 1, 0.0)
             with np.errstate(divide="ignore", invalid="ignore"):
-                ratio = np.where(tableau > 1e-9, self.x[:, None] / tableau, np.inf)
+                ratio = np.where(tableau > TINY, self.x[:, None] / tableau, np.inf)
             rows = ratio.argmin(axis=0)
             theta = ratio[rows, np.arange(len(columns))]
-            gain = np.where(saving > 1e-9, saving * np.where(np.isfinite(theta), theta, 0.0), -1.0)
+            sound = tableau[rows, np.arange(len(columns))] > PIVOT
+            gain = np.where((saving > 1e-9) & sound, saving * np.where(np.isfinite(theta), theta, 0.0), -1.0)
             j = int(gain.argmax())
             if gain[j] < 0:
-                return float(self.x.sum()) < before
+                break
             r, d = int(rows[j]), tableau[:, j].copy()
             self.x = np.maximum(self.x - theta[j] * d, 0.0)
-            self.x[r], self.patterns[r] = theta[j], columns[j]
-            row, step = self.inverse[r] / d[r], tableau[r] / d[r]
-            touched = np.flatnonzero(d)
-            self.inverse[touched] -= d[touched, None] * row
-            self.inverse[r] = row
+            self.x[r], self.patterns[r], entered[r] = theta[j], columns[j], j
+            step = tableau[r] / d[r]
             tableau -= d[:, None] * step
             tableau[r] = step
             open_[j] = False
+            self.steps += 1
+        if entered:  # the inverse, for all steps at once
+            rows, own = list(entered), first[:, list(entered.values())]
+            change = own.copy()
+            change[rows, np.arange(len(rows))] -= 1.0
+            self.inverse -= change @ np.linalg.solve(own[rows], self.inverse[rows])
+        if self.steps >= FRESH:
+            self.refresh()
+        return float(self.x.sum()) < before
 
 
 def relaxed(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> tuple[list[dict[int, int]], np.ndarray, float]:
@@ -186,14 +215,17 @@ def relaxed(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> tuple[l
     lengths = sorted(n for n, c in counts.items() if c > 0)
     shares = np.random.default_rng(0).random(len(lengths))
     raised = {n: counts[n] * (1 + 1e-6 * float(s)) for n, s in zip(lengths, shares)}
-    master = Master(raised, capacity)
-    demand = np.array([raised[n] for n in lengths])
-    center = master.lengths / capacity  # duals of the bound by total length
-    bound = float(center @ demand)
+    center = np.array(lengths) / capacity  # duals of the bound by total length
+    bound = sum(n * c for n, c in raised.items()) / capacity
+    ways = cuts(raised, capacity, whole=False)
+    if sum(times for _, times in ways[0]) - bound <= max(gap * bound, 0.25):
+        return [dict(pattern) for pattern, _ in ways[0]], np.array([times for _, times in ways[0]]), bound
+    master = Master(raised, capacity, [dict(pattern) for way in ways for pattern, _ in way])
+    demand, stalled = master.demand, math.inf
     while True:
-        if master.spare and float(master.x.sum()) - bound > max(gap * bound, 0.25):
-            master.enter(master.spare)
-            master.spare = []
+        while float(master.x.sum()) - bound > max(gap * bound, 0.25) and (found := master.worthwhile()):
+            if not master.enter(found):
+                break
         duals, better = master.duals(), False
         for smooth in (SMOOTH, 0.0):
             prices = smooth * center + (1 - smooth) * np.maximum(duals, 0.0)
@@ -202,6 +234,10 @@ def relaxed(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> tuple[l
             if float(prices @ demand) / worth > bound:
                 bound, center = float(prices @ demand) / worth, prices / worth
             if float(master.x.sum()) - bound <= max(gap * bound, 0.25):
+                if master.steps:  # stands only if it holds for the patterns themselves
+                    master.refresh()
+                    better = True
+                    break
                 return master.patterns, master.x, bound
             # The best pattern with each length, those worth most first.
             found: list[dict[int, int]] = []
@@ -219,7 +255,11 @@ def relaxed(counts: dict[int, int], capacity: int, gap: float = 1e-4) -> tuple[l
             better = bool(found) and master.enter(found)
             if better:
                 break
-        if not better:
+        total = float(master.x.sum())
+        if not better and master.steps and total < stalled - 1e-7 * total:  # once more without drift
+            stalled = total
+            master.refresh()
+        elif not better:
             return master.patterns, master.x, bound
 
 
