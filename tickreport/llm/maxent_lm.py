@@ -153,9 +153,9 @@ def _sequence(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, n
 
 def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The sum of each token's feature rows."""
-    out = weights[rows[:, 0]]
+    out = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        out += weights[rows[:, k]]
+        out += weights.take(rows[:, k], axis=0)
     return out
 
 
@@ -184,15 +184,16 @@ class Trainer:
             self.used[which][0] += len(off)
             self.tables[which][0] += grad * (RATE / np.sqrt(self.square[which][0]))
             rows = rows[:, 1:]
-        flat = rows.ravel()
-        order = np.argsort(flat.astype(np.uint16), kind="stable")  # a radix sort
-        sorted_ = flat[order]
-        at = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        hit, times = sorted_[at], np.diff(np.append(at, len(flat)))
-        grad = np.add.reduceat(off[order // rows.shape[1]], at, axis=0)
-        self.square[which][hit] += (grad * grad).sum(axis=1)
-        self.used[which][hit] += times
-        self.tables[which][hit] += grad * (RATE / np.sqrt(self.square[which][hit]))[:, None]
+        flat = rows.T.ravel()
+        times = np.bincount(flat, minlength=ROWS)
+        hit = np.flatnonzero(times)
+        grad = np.empty((len(hit), off.shape[1]), np.float32)
+        for c, of_class in enumerate(np.ascontiguousarray(off.T, np.float64)):
+            grad[:, c] = np.bincount(flat, np.tile(of_class, rows.shape[1]), ROWS)[hit]
+        self.square[which][hit] += np.einsum("ij,ij->i", grad, grad)
+        self.used[which][hit] += times[hit]
+        grad *= (RATE / np.sqrt(self.square[which][hit]))[:, None]
+        self.tables[which][hit] += grad
 
     def learn(self, vocabulary: Vocabulary, texts: list[bytes]) -> None:
         seq, at, _, _ = _sequence(vocabulary, texts)
@@ -235,12 +236,14 @@ def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) ->
         total[i:i + BATCH] = got
     n, top = len(texts), ids < vocabulary.k
     others: list[Counter] = [Counter() for _ in texts]
-    first = np.cumsum([len(w) + 1 for w in words]) - [len(w) + 1 for w in words]
-    for i in np.flatnonzero(~top & (ids < vocabulary.pad)).tolist():
-        t = text[i]
-        at_word = i - first[t]
-        if at_word < len(words[t]):  # not the end
-            others[t][words[t][at_word]] += 1
+    flat: list[bytes] = []
+    for w in words:
+        flat += w
+        flat.append(END)
+    rare = np.flatnonzero(~top)
+    for i, t in zip(rare.tolist(), text[rare].tolist()):
+        if flat[i]:  # not the end
+            others[t][flat[i]] += 1
     return (np.bincount(text, minlength=n), np.bincount(text, top, n), np.bincount(text, vocabulary.base[ids], n),
             np.bincount(text, total, n), others)
 
@@ -360,7 +363,13 @@ def lm_scores(docs: DataFrame, model, text_col: str = "text", keep: list[str] |
     schema = T.StructType([docs.schema[c] for c in keep] + [
         T.StructField(tokens, T.LongType()), T.StructField(known, T.LongType()), T.StructField(base, T.DoubleType()),
         T.StructField(ln, T.DoubleType()), T.StructField(others, T.ArrayType(item))])
-    kinds = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+
+    def listed(counters: list[Counter]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, counters)])
+        items = pa.StructArray.from_arrays([pa.array([w for c in counters for w in c], pa.binary()),
+                                            pa.array([n for c in counters for n in c.values()], pa.int64())],
+                                           names=["word", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
 
     def run(batches):
         for b in batches:
@@ -370,7 +379,7 @@ def lm_scores(docs: DataFrame, model, text_col: str = "text", keep: list[str] |
                 yield pa.RecordBatch.from_arrays(
                     [p.column(i) for i in range(len(keep))]
                     + [pa.array(n, pa.int64()), pa.array(top.astype(np.int64)), pa.array(known_base), pa.array(log),
-                       pa.array([[{"word": w, "n": c} for w, c in r.items()] for r in rest], kinds)], schema.names)
+                       listed(rest)], schema.names)
 
     rows = docs.select(*map(col, keep), col(text_col).alias(text)).mapInArrow(run, schema)
     rows = saved(rows.withColumn(key, F.monotonically_increasing_id()), "lm-rows")
