@@ -2,8 +2,10 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickreport.llm import chat
 from tickreport.llm.common import saved
@@ -84,3 +86,34 @@ def test_long_prompts_go_on(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert chat.read_back(chat.prefix_targets(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def _talk(n):
+    return [(7, t, "assistant" if t % 2 else "user", f"say {t}\n### {t}", "", "", 0) for t in range(n)]
+
+
+def test_every_example_holds_its_whole_context(spark):
+    rows = _rows() + _talk(90)
+    examples = saved(chat.prefix_targets(spark.createDataFrame(rows, SCHEMA).repartition(3)), "test-examples")
+    offsets = {(r["conv_id"], r["part"]): r for r in chat.part_offsets(examples).collect()}
+    assert examples.where("conv_id = 7").select("part").distinct().count() > 1  # contexts reach back over parts
+    for conv in (1, 2, 7):
+        turns = [chat.written_turn(r[2], r[3] or "")[0] for r in rows if r[0] == conv]
+        ends = [i for i, r in enumerate(r for r in rows if r[0] == conv) if r[2] == "assistant"]
+        found = {}
+        for r in examples.where(f"conv_id = {conv} and reply is not null").collect():
+            assert r["whole"] == (conv == 2)
+            found[offsets[conv, r["part"]]["examples_before"] + r["example"]] = (r["context"] + r["prompt"], r["reply"])
+        assert found == {i: ("".join(turns[:at]), turns[at]) for i, at in enumerate(ends)}
+
+
+@pytest.mark.parametrize("held, n, cut", [(chat.HELD, 8, "example = 2"), (10, 8, "example = 2"),
+                                          (10, 90, "part > 0 and row = 0"), (10, 90, "part > 0 and row = 1")])
+def test_a_cut_context_is_not_read_back(spark, monkeypatch, held, n, cut):
+    monkeypatch.setattr(chat, "HELD", held)
+    rows = _talk(n) + [(i, 0, "user", "more text", "", "", 0) for i in range(20, 100)]
+    examples = chat.prefix_targets(spark.createDataFrame(rows, SCHEMA).coalesce(2))
+    assert {r[0]: tuple(r)[1:] for r in chat.read_back(examples).collect()} == _expected(rows)
+    context = F.when(F.expr(f"conv_id = 7 and {cut}"), F.expr("substring(context, 2)")).otherwise(F.col("context"))
+    with pytest.raises(Exception, match="context"):
+        chat.read_back(examples.withColumn("context", context)).collect()

@@ -7,23 +7,27 @@ written ``\\\\``, ``###`` as ``\\h`` and ``</turn>`` as ``\\t`` (in roles also `
 ``\\c`` and a line end as ``\\n``), so that no text can hold a mark and
 ``read_turns`` gives back what was written.
 
-Contexts are stored by reference: an example row holds ``prompt``, the turns since
-the example before it, and ``reply``.  Its context is the text of the
-conversation's earlier rows followed by ``prompt``: ``context_chars`` characters.
-So the output grows with the input and not with the square of a conversation's
-length, as it would with every prefix written out (``example_texts`` does that).
-
-Turns are dealt by ranges of (conversation, turn), so a conversation of a third of
-all rows is formatted by many tasks: it then has several *parts*, numbered by range.
-``context_chars`` and ``example`` count inside a part; ``part_offsets`` has what
-came before each part.  Only a digest over a whole conversation has to read one
-conversation in order; it streams it and holds one row.
+Every example row holds its whole example: ``context``, the text of all turns before
+the prompt, ``prompt``, the turns since the example before it, and ``reply``.  The
+output therefore grows with the square of a conversation's length, as the method's
+examples do; a context is one string, so a conversation has to fit into a task.
+
+Turns are dealt by conversation.  A conversation of more turns than a task's fair
+share is cut between turns into *parts* of about such a share, each a group of its own
+whose rows have the numbers ``row``, ``example`` and ``context_chars`` inside the
+part; ``part_offsets`` has what came before each part.  A part's group also gets the
+turns of all parts before it, from which it writes its contexts.
+
+Reading back compares every context with the turns that the rows before it hold.  A
+digest over a conversation of several parts has to read it in order; it streams the
+rows' prompts and replies and holds one row.
 
 Defined results: a null text or role is empty; rows of one turn number are ordered
 by role and then by the XXH64 of their text, null turns come first; a null
 conversation id is one conversation; turns after the last reply make a row without
 reply (as do prompts of over ``LONG`` characters, which go on in the next row); an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; other columns are ignored.  Turn numbers are numeric or
+times.
 """
 
 from __future__ import annotations
@@ -37,12 +41,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import col, table
+from .common import col, saved, table
 
 TRAINED = "assistant"
 MARK, BETWEEN, END = "### ", ": ", "</turn>\n"
 LONG = 1 << 20  # characters of a prompt before it goes on in another row
-HELD = 8 << 20  # characters of a conversation that a digest task holds back
+HELD = 8 << 20  # characters of a conversation up to which contexts are compared as text, beyond by SHA-256
 _ESCAPES = {"\\": "\\\\", "###": "\\h", "</turn>": "\\t"}
 _ROLE_ESCAPES = {**_ESCAPES, ":": "\\c", "\n": "\\n"}
 _PLAIN = {v[1]: k for k, v in _ROLE_ESCAPES.items()}
@@ -71,14 +75,14 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
-def _batches(rows: Iterator[list], schema: T.StructType, at: int | None = None) -> Iterator[pa.RecordBatch]:
-    """Rows as record batches of about 1,000 rows, or 4 million characters of column ``at``."""
+def _batches(rows: Iterator[list], schema: T.StructType) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of about 1,000 rows or 4 million characters."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow, held, size = to_arrow_schema(schema), [], 0
     for row in rows:
         held.append(row)
-        size += len(row[at] or "") if at is not None else 0
+        size += sum(len(x) for x in row if isinstance(x, str))
         if len(held) >= 1000 or size > 4 << 20:
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r)) for r in held], arrow)
             held, size = [], 0
@@ -91,60 +95,93 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
-_EXAMPLE = [("part", "int"), ("row", "long"), ("example", "long"), ("context_chars", "long"), ("prompt", "string"),
-            ("reply", "string"), ("loss_start", "long"), ("loss_chars", "long")]
+_EXAMPLE = [("part", "int"), ("whole", "boolean"), ("row", "long"), ("example", "long"), ("context_chars", "long"),
+            ("context", "string"), ("prompt", "string"), ("reply", "string"), ("loss_start", "long"),
+            ("loss_chars", "long")]
+
+
+def _in_parts(turns: DataFrame, parts: int) -> DataFrame:
+    """``turns`` with ``part``, ``target`` and ``whole``: a turn comes once for its own
+    part and once for each later part of its conversation.  ``whole``: the
+    conversation is one part."""
+    sizes = saved(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "conversation-sizes")
+    total, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    share = max(1, -(-total // parts))
+    if most <= share:
+        return turns.select("*", F.lit(0).alias("part"), F.lit(0).alias("target"), F.lit(True).alias("whole"))
+    cuts = -(-most // share)
+    large = sizes.where(F.col("n") > share)  # fewer than `parts`
+    of_large = turns.join(F.broadcast(large.select(F.col("conv_id").alias("large"))),
+                          F.col("conv_id").eqNullSafe(F.col("large")))
+    bounds = of_large.groupBy("large").agg(F.array_distinct(F.percentile_approx(
+        "turn", [i / cuts for i in range(1, cuts)], 10_000)).alias("bounds"))
+    bounds = F.broadcast(saved(bounds, "part-bounds"))
+    parted = turns.join(bounds, F.col("conv_id").eqNullSafe(F.col("large")) & F.col("bounds").isNotNull(), "left")
+    before = F.size(F.filter("bounds", lambda b: b < F.col("turn")))
+    last = F.when(F.col("bounds").isNull(), 0).otherwise(F.size("bounds"))
+    return parted.select(*turns.columns, F.when(F.col("bounds").isNull(), 0).otherwise(before).alias("part"),
+                         last.alias("last")) \
+        .select(*turns.columns, "part", F.explode(F.sequence("part", "last")).alias("target"),
+                (F.col("last") == 0).alias("whole"))
 
 
 def prefix_targets(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                    text_col: str = "text") -> DataFrame:
-    """The example rows: conv_id, part and row (the order inside a conversation),
-    example, context_chars, prompt, reply, loss_start and loss_chars (the trainable
-    span in prompt + reply, in code points; null without reply).
+    """The example rows: conv_id, part, whole (the conversation has no other part),
+    row (the order inside a part), example, context_chars, context (all turns of the
+    conversation before the prompt), prompt, reply, loss_start and loss_chars (the
+    trainable span in prompt + reply, in code points; null without reply).
 
-    Rows of a partition come in the order of conversations and rows."""
+    Rows of a partition come in the order of conversations, parts and rows."""
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["conv_id", "turn", "role", "tie"]
+    order = ["conv_id", "target", "turn", "role", "tie"]
     picked = turns.select(col(conv_col).alias("conv_id"), col(turn_col).alias("turn"),
                           F.coalesce(col(role_col), F.lit("")).alias("role"), F.xxhash64(col(text_col)).alias("tie"),
                           F.coalesce(col(text_col), F.lit("")).alias("text"))
-    dealt = picked.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(
-        "conv_id", F.spark_partition_id().alias("part"), "role", "text")
+    dealt = _in_parts(picked, parts).repartition(parts, "conv_id", "target").sortWithinPartitions(*order).select(
+        "conv_id", "target", "part", "whole", "role", "text")
     schema = T.StructType([dealt.schema["conv_id"], *T._parse_datatype_string(
         ", ".join(f"{n} {t}" for n, t in _EXAMPLE)).fields])
 
     def rows(values: Iterator[tuple]) -> Iterator[list]:
-        now, prompt, size, row, example, context = None, [], 0, 0, 0, 0
-        part = None
+        now, whole_, earlier, context, prompt, size, row, example, chars = None, True, [], "", [], 0, 0, 0, 0
 
         def closed(reply=None, loss=(None, None)):
-            return [now[0], part, row, example, context + size, "".join(prompt), reply, *loss]
-
-        for conv, part_, role, text in values:
-            if now != (conv,):
+            nonlocal context, earlier, prompt, size, row, chars
+            if earlier:
+                context, earlier = "".join(earlier), []
+            asked = "".join(prompt)
+            out = [*now, whole_, row, example, chars + size, context, asked, reply, *loss]
+            added = asked + (reply or "")
+            context, chars, prompt, size, row = context + added, chars + len(added), [], 0, row + 1
+            return out
+
+        for conv, target, part, whole, role, text in values:
+            if now != (conv, target):
                 if prompt:
                     yield closed()
-                now, part, prompt, size, row, example, context = (conv,), part_, [], 0, 0, 0, 0
+                now, whole_, earlier, context = (conv, target), whole, [], ""
+                prompt, size, row, example, chars = [], 0, 0, 0, 0
             turn, start, n = written_turn(role, text)
-            if role == TRAINED:
+            if part < target:
+                earlier.append(turn)
+            elif role == TRAINED:
                 yield closed(turn, (size + start, n))
-                context, row, example = context + size + len(turn), row + 1, example + 1
-                prompt, size = [], 0
+                example += 1
             else:
                 prompt.append(turn)
                 size += len(turn)
                 if size > LONG:
                     yield closed()
-                    context, row, prompt, size = context + size, row + 1, [], 0
         if prompt:
             yield closed()
 
-    return dealt.mapInArrow(lambda b: _batches(rows(_values(b)), schema, 5), schema)
+    return dealt.mapInArrow(lambda b: _batches(rows(_values(b)), schema), schema)
 
 
 def part_offsets(examples: DataFrame) -> DataFrame:
     """conv_id, part and what the conversation has before that part: rows, examples
-    and characters.  Read ``examples`` from a written copy: parts are numbered anew
-    in every run."""
+    and characters."""
     chars = F.length("prompt") + F.coalesce(F.length("reply"), F.lit(0))
     sizes = examples.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"), F.count("reply").alias("m"),
                                                     F.sum(chars).alias("chars"))
@@ -154,33 +191,28 @@ def part_offsets(examples: DataFrame) -> DataFrame:
 
 
 def example_texts(examples: DataFrame) -> DataFrame:
-    """conv_id, part, example, context and reply with every context of the part
-    written out, for a trainer that wants whole texts.  The output grows with the
-    square of a conversation's length, as these texts do."""
-    schema = T.StructType([examples.schema["conv_id"], *T._parse_datatype_string(
-        "part int, example long, context string, reply string").fields])
-    order = ["conv_id", "part", "row"]
-
-    def texts(values: Iterator[tuple]) -> Iterator[list]:
-        now, so_far = None, ""
-        for conv, part, _, example, prompt, reply in values:
-            if now != (conv, part):
-                now, so_far = (conv, part), ""
-            if reply is not None:
-                yield [conv, part, example, so_far + prompt, reply]
-            so_far += prompt + (reply or "")
-
-    dealt = examples.select(*order, "example", "prompt", "reply").repartition("conv_id", "part") \
-        .sortWithinPartitions(*order)
-    return dealt.mapInArrow(lambda b: _batches(texts(_values(b)), schema, 3), schema)
+    """conv_id, part, example, context (all turns before the reply) and reply, for a
+    trainer that wants whole texts."""
+    return examples.where(F.col("reply").isNotNull()).select(
+        "conv_id", "part", "example", F.concat("context", "prompt").alias("context"), "reply")
 
 
 class _Digest:
-    """What is read back of one conversation, example row by example row."""
+    """What is read back of one conversation, example row by example row; starts
+    behind ``before``, the text of its earlier parts."""
 
-    def __init__(self):
+    def __init__(self, before: str = ""):
         self.n_turns = self.loss_chars = self.chars = self.examples = 0
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.before, self.formatted = before, hashlib.sha256(before.encode())  # all turns so far
+
+    def check(self, context: str) -> None:
+        if self.before is None:
+            same = hashlib.sha256(context.encode()).digest() == self.formatted.digest()
+        else:
+            same = context == self.before
+        if not same:
+            raise ValueError("the context of an example differs from the turns before it")
 
     def add(self, text: str, loss_start: int | None, loss_chars: int | None) -> None:
         for role, said in read_turns(text):
@@ -192,6 +224,9 @@ class _Digest:
             self.loss_chars += len(trained)
             self.examples += 1
         self.chars += len(text)
+        self.formatted.update(text.encode())
+        if self.before is not None:
+            self.before = self.before + text if len(self.before) + len(text) <= HELD else None
 
     def row(self) -> list:
         return [self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.examples]
@@ -203,55 +238,54 @@ _DIGEST = ("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 stri
 
 def read_back(examples: DataFrame) -> DataFrame:
     """One row per conversation, read from its example rows as ``prefix_targets``
-    orders them: turns and trainable text as digests, and counts.
+    orders them: turns and trainable text as digests, and counts.  Fails if an
+    example's context is anything but the turns before it.
 
-    A conversation that begins and ends inside a partition is read there.  The
-    first and last of a partition may go on in another one: their rows (and those of
-    conversations of over ``HELD`` characters) move on by conversation and are read
-    in order, one row at a time."""
+    A conversation of one part is read where it lies.  Of the others, contexts are
+    compared inside a part; prompts and replies move on by conversation, with the
+    hash of each part's first context, and are read in order, one row at a time."""
     id_field = examples.schema["conv_id"]
-    place = T._parse_datatype_string("part int, row long, text string, loss_start long, loss_chars_ long").fields
+    place = T._parse_datatype_string(
+        "part int, row long, text string, loss_start long, loss_chars_ long, before string").fields
     mid = T.StructType([id_field, *place, *T._parse_datatype_string(_DIGEST).fields])
     none = [None] * 6
 
     def within(values: Iterator[tuple]) -> Iterator[list]:
-        now, held, size, first, moved = None, [], 0, True, False
-        for conv, *rest in values:
-            if now != (conv,):
-                if now and not moved:
-                    digest = _Digest()
-                    for _, _, text, start, n in held:
-                        digest.add(text, start, n)
-                    yield [now[0], *[None] * 5, *digest.row()]
-                moved, now, held, size = first, (conv,), [], 0
-                first = False
-            held.append(rest)
-            size += len(rest[2])
-            if moved or size > HELD:
-                moved = True
-                yield from ([conv, *r, *none] for r in held)
-                held = []
-        if now and not moved:
-            yield from ([now[0], *r, *none] for r in held)
+        now, digest, whole = None, None, True
+        for conv, part, whole_, row, context, prompt, reply, start, n in values:
+            first = now != (conv, part)
+            if first:
+                if digest and whole:
+                    yield [now[0], *none, *digest.row()]
+                now, whole, digest = (conv, part), whole_, _Digest("" if whole_ else context)
+            digest.check(context)
+            text = prompt + (reply or "")
+            if not whole:
+                yield [conv, part, row, text, start, n, digest.formatted.hexdigest() if first else None, *none]
+            digest.add(text, start, n)
+        if digest and whole:
+            yield [now[0], *none, *digest.row()]
 
     def across(values: Iterator[tuple]) -> Iterator[list]:
         now, digest = None, None
-        for conv, _, _, text, start, n, *done in values:
+        for conv, _, _, text, start, n, before, *done in values:
             if now != (conv,) and digest:
                 yield [now[0], *digest.row()]
                 digest = None
             now = (conv,)
             if text is None:
                 yield [conv, *done]
-            else:
-                digest = digest or _Digest()
-                digest.add(text, start, n)
+                continue
+            digest = digest or _Digest()
+            if before not in (None, digest.formatted.hexdigest()):
+                raise ValueError("the contexts of a part differ from the turns before it")
+            digest.before = None  # rows alone, no text is held
+            digest.add(text, start, n)
         if digest:
             yield [now[0], *digest.row()]
 
-    text = F.concat("prompt", F.coalesce("reply", F.lit("")))
-    read = examples.select("conv_id", "part", "row", text.alias("text"), "loss_start", "loss_chars") \
-        .mapInArrow(lambda b: _batches(within(_values(b)), mid, 3), mid)
+    read = examples.select("conv_id", "part", "whole", "row", "context", "prompt", "reply", "loss_start", "loss_chars") \
+        .mapInArrow(lambda b: _batches(within(_values(b)), mid), mid)
     out = T.StructType([id_field, *T._parse_datatype_string(_DIGEST).fields])
     return read.repartition("conv_id").sortWithinPartitions("conv_id", "part", "row") \
         .mapInArrow(lambda b: _batches(across(_values(b)), out), out)
