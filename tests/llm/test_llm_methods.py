@@ -6,6 +6,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tickreport.llm import (cutting_stock, improbable, language_id, license_rules, line_crf, maxent_lm, packing,
@@ -137,6 +138,41 @@ def test_word_cache_equals_the_tokenizer():
         assert np.frombuffer(ids(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_words_of_a_batch_are_looked_up_once():
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    rng = np.random.default_rng(11)
+    some = ["", "the", "The", "there.", "there,", "there###", "it's", "it're", "x1y", "1a.", "a-b", "été", "été.", "été!!",
+            "e\u0301a", "straße,%%%", "aσb", "你好", "ª.", "\x00", ".", "...", "Ġa", "\u2003", "a\u00a0b", "a\tb", "\r"]
+    odd, plain = some[-4:] + [""], some[1:-4]
+    for cache_words in (packing.CACHE_WORDS, 0, 7):
+        ids = packing.batch_ids.__wrapped__(path, cache_words)
+        for batch in range(12):
+            texts = []
+            for _ in range(40):
+                pick = plain + odd if rng.random() < 0.3 else plain
+                words = rng.choice(np.array(pick, object), size=int(rng.integers(0, 9)))
+                texts.append("".join(w + " \n"[int(rng.random() < 0.3)] for w in words)[:-1])
+            texts += [None, "", "\n", " ", "the\n", "\nthe", " the", "the "]
+            after = rng.integers(0, 2 ** 32, len(texts))
+            got, ends = ids(pa.array(texts, pa.string()), after)
+            want = [e.ids + [a] for e, a in zip(
+                tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False), after.tolist())]
+            for text, start, end, wanted in zip(texts, [0, *ends[:-1]], ends, want):
+                assert got[start:end].tolist() == wanted, text
+            assert len(got) == ends[-1]
+    asked, known = [], packing.array
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(packing, "array", lambda kind, part: asked.append(part) or known(kind, part))
+        ids = packing.batch_ids.__wrapped__(path, 0)  # nothing is kept, so every look-up asks the model
+        asked.clear()
+        ids(pa.array(["a word and a word"] * 50 + ["a\nword"]), np.zeros(51))
+    assert len(asked) <= 5  # a, word, and; word behind a line's start; a at the texts' start
+
+
 def test_hot_length_is_ranked_in_groups(spark):
     pieces = spark.range(5000).selectExpr("id as doc_id", "0L as start", "if(id % 3 = 0, 700L, 1 + id % 300) as length")
     out = packing.assign_sequences(pieces, ["doc_id"]).collect()

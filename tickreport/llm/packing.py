@@ -6,8 +6,8 @@ piece lengths (at most ``capacity`` numbers) is the only thing the driver sees:
 cutting stock by column generation turns it into patterns, and the k-th piece of
 each length, ranked by a grouped order, takes the k-th place of that length.
 
-Ids come from a public ``tokenizers`` file whose path is a parameter.  The words
-of a batch are looked up in a bounded cache; a word that is not there goes
+Ids come from a public ``tokenizers`` file whose path is a parameter.  The distinct
+words of a batch are looked up in a bounded cache; a word that is not there goes
 through the tokenizer's own pre-tokenizer and model.
 """
 
@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,12 +30,16 @@ from .cutting_stock import solve
 
 CAPACITY = 1024
 END_ID = 0
-#: Words kept by a worker's caches; each takes about 200 bytes.
+#: Words kept by a worker's cache; each takes about 200 bytes.
 CACHE_WORDS = 800_000
+#: Share of a cache up to which words with marks behind them have entries of their own beside their letters'.
+MARKED_SHARE = 0.6
 
 #: White space other than a space and \n: texts with it are not split into words first.
 _OTHER_WHITE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 
+#: Latin letters (after a line's start, perhaps), with no other letter or combining mark behind them.
+_STEM = re.compile("\n?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+(?=[\x21-\x40\x5b-\x60\x7b-\x7e]|\\Z)")
 
 #: GPT-2's printable stand-ins for bytes: printable Latin-1 stands for itself, the others follow from U+0100.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -41,13 +47,17 @@ _STAND_IN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 
 
 @functools.lru_cache(maxsize=2)  # a worker's later tasks find the words of the earlier ones
-def token_ids(path: str, cache_words: int = CACHE_WORDS) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit numbers,
-    equal to the tokenizer's ``encode`` without special tokens.
+def batch_ids(path: str, cache_words: int = CACHE_WORDS) -> Callable[[pa.Array, np.ndarray], tuple]:
+    """A function from an array of texts (null: empty) and the ids that follow each of
+    them to all ids in one array (unsigned 32-bit) and the end of each text's ids in
+    it.  Ids equal the tokenizer's ``encode`` without special tokens.
 
     The file must hold a byte-level BPE tokenizer without a normaliser and with
     the usual split: before a space that follows a non-blank, around a \\n between
-    non-blanks, and between letters and a following full stop or comma."""
+    non-blanks, and between letters and a following full stop or comma.
+
+    Words of a batch are numbered first, so each is looked up once a batch; a word
+    at a line's start carries the \\n before it."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -56,49 +66,91 @@ def token_ids(path: str, cache_words: int = CACHE_WORDS) -> Callable[[str], byte
     split, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
 
     def of_part(part: str) -> bytes:
-        return np.array([t.id for t in model(part)], "<u4").tobytes()
+        return array("I", [t.id for t in model(part)]).tobytes()
 
     def encode(piece: str) -> bytes:
         return b"".join([of_part(part) for part, _ in split(piece)])
 
-    marks = {m: encode(m) for m in ".,"}
-    newline = encode("\n")
-
-    def missed(word: str, blank: str, cache: dict[str, bytes]) -> bytes:
-        mark = marks.get(word[-1:], b"")
-        stem = word[:-1] if mark else word
-        if stem.isalpha() and max(stem) < "\u0250":  # Latin letters are one part
-            known = cache.get(stem)
-            if known is None:
-                known = of_part((blank + stem).encode().decode("latin-1").translate(_STAND_IN))
-            ids = known + mark
-        else:
-            ids = encode(blank + word)
-        if len(cache) < cache_words // 2:
-            cache[word] = ids
+    newline, blank = encode("\n"), " ".translate(_STAND_IN)
+    tails = functools.lru_cache(10_000)(encode)
+    cache: dict[str, bytes] = {}  # by word; at a line's start with its \n in front
+
+    def missed(word: str) -> bytes:
+        head = word[0] == "\n"
+        # Letters are one part, whatever but a letter follows them.
+        found = _STEM.match(word)
+        if not found:
+            ids = newline + encode(word[1:]) if head else encode(" " + word)
+            if len(cache) < cache_words:
+                cache[word] = ids
+            return ids
+        stem = found[0]
+        tail = word[len(stem):]
+        ids = cache.get(stem) if tail else None
+        if ids is None:
+            letters = stem[1:] if head else stem
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(_STAND_IN)
+            ids = newline + of_part(letters) if head else of_part(blank + letters)
+            if len(cache) < cache_words:
+                cache[stem] = ids
+        if tail:
+            ids += tails(tail)
+            if len(cache) < MARKED_SHARE * cache_words:
+                cache[word] = ids
         return ids
 
-    heads: dict[str, bytes] = {"": b""}  # words at a line's start
-    words: dict[str, bytes] = {}  # words after a blank
-
-    def ids(text: str) -> bytes:
-        # Runs of blanks have rules of their own; such texts go through as a whole.
-        if _OTHER_WHITE.search(text) or "  " in text or "\n\n" in text or " \n" in text or "\n " in text \
-                or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n"):
-            return encode(text)
-        lines = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            got = list(map(words.get, rest))
-            if None in got:
-                got = [missed(w, " ", words) if g is None else g for w, g in zip(rest, got)]
-            first = heads.get(head)
-            lines.append((missed(head, "", heads) if first is None else first) + b"".join(got))
-        return newline.join(lines)
+    def ids(texts: pa.Array, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(texts)
+        # A \n in front of every text, taken off again, makes its first word a line's start.
+        marked = pc.binary_join_element_wise("", pc.fill_null(texts, ""), "\n")
+        parts = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        coded = pc.list_flatten(parts).dictionary_encode()
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        starts = ends - np.diff(ends, prepend=0)
+        at, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        # The first part of a text is the empty one before its \n.
+        odd = np.zeros(len(words), bool)
+        pool: list[bytes] = list(map(cache.get, words))
+        for i in [i for i, known in enumerate(pool) if known is None]:
+            # Runs of blanks have rules of their own; texts with them go through as a whole.
+            odd[i] = words[i] in ("", "\n") or _OTHER_WHITE.search(words[i]) is not None
+            pool[i] = b"" if odd[i] else missed(words[i])
+        whole = np.zeros(n, bool)
+        if odd.any():
+            strange = odd[at]
+            strange[starts] = False
+            whole = np.logical_or.reduceat(strange, starts) if n else whole
+        pool += [encode(texts[i].as_py() or "") for i in np.flatnonzero(whole)]
+        sizes = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        own, begin = sizes[at], firsts[at]
+        own[starts] = 0
+        heads = starts + 1
+        own[heads] -= len(newline) // 4
+        begin[heads] += len(newline) // 4
+        if whole.any():
+            own[np.repeat(whole, ends - starts)] = 0
+            k = len(words) + np.arange(int(whole.sum()))
+            own[heads[whole]], begin[heads[whole]] = sizes[k], firsts[k]
+        # Behind each text what follows it, at the end of the pool.
+        following = np.asarray(after, "<u4")
+        own = np.insert(own, ends, 1)
+        begin = np.insert(begin, ends, sizes.sum() + np.arange(n))
+        stops = np.cumsum(own)
+        flat = np.concatenate([np.frombuffer(b"".join(pool), "<u4"), following])
+        out = flat[np.repeat(begin - (stops - own), own) + np.arange(int(own.sum()))]
+        return out, stops[ends + np.arange(n)]
 
     return ids
 
 
+def token_ids(path: str) -> Callable[[str], bytes]:
+    """``batch_ids`` of one text, as little-endian unsigned 32-bit numbers."""
+    ids = batch_ids(path)
+    return lambda text: ids(pa.array([text], pa.string()), np.zeros(1, "<u4"))[0][:-1].tobytes()
+
+
 def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id",
                  capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: the id, start and length (long, in the document's ids),
@@ -111,24 +163,22 @@ def token_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str
         T.StructField("tokens", T.BinaryType())])
 
     def run(batches):
-        ids = token_ids(path)
-        end = np.array([end_id], "<u4").tobytes()
+        ids = batch_ids(path)
         for whole in batches:
             for b in slices(whole, 1):
-                rows, starts, lengths, totals, tokens = [], [], [], [], []
-                for i, text in enumerate(utf8(b.column(1))):
-                    got = ids(text.decode()) + end
-                    n = len(got) // 4
-                    for start in range(0, n, capacity):
-                        rows.append(i)
-                        starts.append(start)
-                        lengths.append(min(capacity, n - start))
-                        totals.append(n)
-                        tokens.append(got[4 * start:4 * (start + capacity)])
+                got, ends = ids(b.column(1), np.full(b.num_rows, end_id, "<u4"))
+                totals = np.diff(ends, prepend=0)
+                pieces = -(-totals // capacity)
+                rows = np.repeat(np.arange(b.num_rows), pieces)
+                starts = (np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+                lengths = np.minimum(totals[rows] - starts, capacity)
+                # Pieces lie one behind the other, as the texts' ids do.
+                offsets = np.concatenate([[0], np.cumsum(lengths) * 4])
+                tokens = pa.Array.from_buffers(pa.binary(), len(rows), [
+                    None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(got)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
-                     pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()), pa.array(tokens, pa.binary())],
-                    schema.names)
+                     pa.array(lengths, pa.int64()), pa.array(totals[rows], pa.int64()), tokens], schema.names)
 
     return docs.select(col(id_col), col(text_col).alias(fresh(docs, "text_")[0])).mapInArrow(run, schema)
 
