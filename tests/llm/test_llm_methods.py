@@ -242,6 +242,33 @@ def test_language_model_is_a_distribution():
     assert all(abs(x - 1) < 1e-9 for x in others.values())
 
 
+def test_language_model_words_and_gradients():
+    """Ids of an Arrow array of words, other words of each text, and a step's sums, each by definition."""
+    top = [(b"the", 9), (b"", 8), (b"of", 5)]
+    v = maxent_lm.Vocabulary(top, [(1, 1)] * maxent_lm.ENDINGS, 26, 7)
+    words = [b"the", b"x", b"", b"\xc3\xa9t\xc3\xa9", b"of", b"thereof", b"longer", b"er", b"the"]
+    assert v.encode(pa.array(words, pa.binary())).tolist() == [v.ids[w] for w in words]
+    none = maxent_lm.Vocabulary([], [(0, 0)] * maxent_lm.ENDINGS, 0, 0)
+    weights = maxent_lm.Weights.zero()
+    texts = [b"", b"The x x the", b"of er ER x", b" \t "]
+    for model, known in ((v, {b"the", b"of"}), (none, set())):
+        n, top_, _, _, others = maxent_lm.score_texts(model, weights, texts)
+        want = [collections.Counter(w for w in t.lower().split() if w not in known) for t in texts]
+        assert [{i["word"]: i["n"] for i in o} for o in others.to_pylist()] == want
+        assert n.tolist() == [len(t.split()) + 1 for t in texts]
+        assert (n - top_).tolist() == [sum(w.values()) + (model is none) for w in want]
+    rng = np.random.default_rng(2)
+    rows = rng.integers(0, maxent_lm.ROWS, (300, 5)) ** 3 // maxent_lm.ROWS ** 2  # some rows often
+    off = rng.normal(size=(300, maxent_lm.WIDTH)).astype(np.float32)
+    trainer = maxent_lm.Trainer(weights)
+    trainer._step(1, rows, off)
+    grad = np.zeros((maxent_lm.ROWS, maxent_lm.WIDTH))
+    np.add.at(grad, rows.T.ravel(), np.tile(off.astype(float), (5, 1)))
+    rate = maxent_lm.RATE / np.sqrt(1 + (grad ** 2).sum(axis=1, keepdims=True))
+    assert np.allclose(trainer.tables[1], grad * rate, atol=1e-5)
+    assert np.array_equal(trainer.used[1], np.bincount(rows.ravel(), minlength=maxent_lm.ROWS))
+
+
 def test_language_model_learns(spark):
     out = maxent_lm.op7_maxent_lm(spark, SF).collect()
     docs = {i: t for i, t, _ in _documents()}

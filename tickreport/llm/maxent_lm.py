@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +75,7 @@ class Vocabulary:
 
     def __init__(self, top: list[tuple[bytes, int]], rest: list[tuple[int, int]], total: int, size: int):
         self.ids = WordIds(top)
+        self.words = pa.array([w for w, _ in top], pa.binary())
         k = self.k = len(top)
         self.pad = k + ENDINGS
         self.total, self.size = total, size
@@ -95,11 +97,15 @@ class Vocabulary:
         filled = np.arange(FREQUENT) < k
         self.open = np.where(filled.reshape(-1, WIDTH), 0.0, -1e9).astype(np.float32)
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        out = np.empty(len(words) + 1, np.int64)
-        out[:-1] = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-        out[-1] = self.ids[END]
-        return out
+    def encode(self, words: pa.Array) -> np.ndarray:
+        found = pc.index_in(words, value_set=self.words)
+        ids = found.fill_null(-1).to_numpy().astype(np.int64)
+        other = np.flatnonzero(ids < 0)
+        if len(other):  # by ending
+            ends = pc.binary_slice(words.take(pa.array(other)), -2).dictionary_encode()
+            by_end = np.array([self.ids.__missing__(e) for e in ends.dictionary.to_pylist()], np.int64)
+            ids[other] = by_end[ends.indices.to_numpy()]
+        return ids
 
 
 def features(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -140,15 +146,26 @@ def log_likelihood(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     return own - np.log(x.sum(axis=1))
 
 
-def _sequence(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """Ids with three pads before each text, the tokens' positions and texts, and the words."""
-    words = [words_of(t) for t in texts]
-    parts, pad = [], np.full(3, vocabulary.pad)
-    for w in words:
-        parts += [pad, vocabulary.encode(w)]
-    seq = np.concatenate(parts)
-    at = np.flatnonzero(seq != vocabulary.pad)
-    return seq, at, np.repeat(np.arange(len(texts)), [len(w) + 1 for w in words]), words
+def tokens_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts, and their count in each text."""
+    flat: list[bytes] = []
+    ends = []
+    for t in texts:
+        flat += words_of(t)
+        flat.append(END)
+        ends.append(len(flat))
+    return pa.array(flat, pa.binary()), np.diff(ends, prepend=0)
+
+
+def _sequence(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Ids with three pads before each text, the tokens' positions and texts, and the tokens."""
+    words, counts = tokens_of(texts)
+    ids = vocabulary.encode(words)
+    text = np.repeat(np.arange(len(texts)), counts)
+    at = np.arange(len(ids)) + 3 * (text + 1)
+    seq = np.full(len(ids) + 3 * len(texts), vocabulary.pad)
+    seq[at] = ids
+    return seq, at, text, words
 
 
 def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -184,12 +201,13 @@ class Trainer:
             self.used[which][0] += len(off)
             self.tables[which][0] += grad * (RATE / np.sqrt(self.square[which][0]))
             rows = rows[:, 1:]
-        flat = rows.T.ravel()
+        flat, width = rows.T.ravel(), off.shape[1]
         times = np.bincount(flat, minlength=ROWS)
         hit = np.flatnonzero(times)
-        grad = np.empty((len(hit), off.shape[1]), np.float32)
-        for c, of_class in enumerate(np.ascontiguousarray(off.T, np.float64)):
-            grad[:, c] = np.bincount(flat, np.tile(of_class, rows.shape[1]), ROWS)[hit]
+        place = np.cumsum(times > 0) - 1  # of a row among those hit
+        cells = (place[flat] * width)[:, None] + np.arange(width)
+        grad = np.bincount(cells.ravel(), np.tile(off, (rows.shape[1], 1)).ravel(), len(hit) * width)
+        grad = grad.reshape(len(hit), width).astype(np.float32)
         self.square[which][hit] += np.einsum("ij,ij->i", grad, grad)
         self.used[which][hit] += times[hit]
         grad *= (RATE / np.sqrt(self.square[which][hit]))[:, None]
@@ -221,7 +239,8 @@ class Trainer:
 
 def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """Per text: tokens, tokens among the top words, their base score, the model's
-    natural log probability without the other words' own mass, and those words."""
+    natural log probability without the other words' own mass, and those words (a
+    list of word and count per text)."""
     seq, at, text, words = _sequence(vocabulary, texts)
     ids = seq[at]
     total = np.zeros(len(at))
@@ -235,15 +254,16 @@ def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) ->
             got[few] += log_likelihood(scores, vocabulary.member[own[few]])
         total[i:i + BATCH] = got
     n, top = len(texts), ids < vocabulary.k
-    others: list[Counter] = [Counter() for _ in texts]
-    flat: list[bytes] = []
-    for w in words:
-        flat += w
-        flat.append(END)
-    rare = np.flatnonzero(~top)
-    for i, t in zip(rare.tolist(), text[rare].tolist()):
-        if flat[i]:  # not the end
-            others[t][flat[i]] += 1
+    # Other words, but no end (which only a model without texts doesn't know).
+    rare = np.flatnonzero(~top & (pc.binary_length(words).to_numpy() > 0))
+    named = words.take(pa.array(rare)).dictionary_encode()
+    most = max(1, len(named.dictionary))
+    pairs, times = np.unique(text[rare] * most + named.indices.to_numpy(), return_counts=True)
+    in_text, code = np.divmod(pairs, most)
+    others = pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(in_text, np.arange(n + 1)), pa.int32()),
+        pa.StructArray.from_arrays([named.dictionary.take(pa.array(code)), pa.array(times, pa.int64())],
+                                   names=["word", "n"]))
     return (np.bincount(text, minlength=n), np.bincount(text, top, n), np.bincount(text, vocabulary.base[ids], n),
             np.bincount(text, total, n), others)
 
@@ -364,13 +384,6 @@ def lm_scores(docs: DataFrame, model, text_col: str = "text", keep: list[str] |
         T.StructField(tokens, T.LongType()), T.StructField(known, T.LongType()), T.StructField(base, T.DoubleType()),
         T.StructField(ln, T.DoubleType()), T.StructField(others, T.ArrayType(item))])
 
-    def listed(counters: list[Counter]) -> pa.Array:
-        ends = np.cumsum([0, *map(len, counters)])
-        items = pa.StructArray.from_arrays([pa.array([w for c in counters for w in c], pa.binary()),
-                                            pa.array([n for c in counters for n in c.values()], pa.int64())],
-                                           names=["word", "n"])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
-
     def run(batches):
         for b in batches:
             for p in slices(b, len(keep), 1 << 20):
@@ -379,7 +392,7 @@ def lm_scores(docs: DataFrame, model, text_col: str = "text", keep: list[str] |
                 yield pa.RecordBatch.from_arrays(
                     [p.column(i) for i in range(len(keep))]
                     + [pa.array(n, pa.int64()), pa.array(top.astype(np.int64)), pa.array(known_base), pa.array(log),
-                       listed(rest)], schema.names)
+                       rest], schema.names)
 
     rows = docs.select(*map(col, keep), col(text_col).alias(text)).mapInArrow(run, schema)
     rows = saved(rows.withColumn(key, F.monotonically_increasing_id()), "lm-rows")
