@@ -3,6 +3,7 @@
 import collections
 import itertools
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -269,6 +270,46 @@ def test_language_model_words_and_gradients():
     assert np.array_equal(trainer.used[1], np.bincount(rows.ravel(), minlength=maxent_lm.ROWS))
 
 
+def test_language_model_step_holds_no_cell_per_weight():
+    """A step sums whole rows of the gradient: with an entry per token, feature and class its time
+    and memory were most of the training's."""
+    rng = np.random.default_rng(4)
+    rows = np.ascontiguousarray(rng.integers(1, maxent_lm.ROWS, (5, maxent_lm.BATCH))).T
+    off = rng.normal(size=(maxent_lm.BATCH, maxent_lm.N_CLASSES)).astype(np.float32)
+    trainer = maxent_lm.Trainer(maxent_lm.Weights.zero())
+    tracemalloc.start()
+    try:
+        trainer._step(0, rows, off, bias=True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4 * 4 * off.nbytes
+
+
+@pytest.mark.parametrize("most", [1, 33, 5000])
+def test_language_model_run_sums(most):
+    rng = np.random.default_rng(most)
+    counts = np.concatenate([rng.integers(1, most + 1, 50), [most, 1]])
+    values = rng.normal(size=(70, 3)).astype(np.float32)
+    index = rng.integers(0, 70, counts.sum())
+    want = [values[i].sum(axis=0, dtype=float) for i in np.split(index, np.cumsum(counts)[:-1])]
+    assert np.allclose(maxent_lm.run_sums(values, index, counts), want, rtol=1e-5, atol=1e-3)
+
+
+def test_language_model_softmax_of_any_logits():
+    """Far apart logits, closed members and a target far below the others neither overflow nor vanish."""
+    rng = np.random.default_rng(5)
+    for spread in (1, 30, 2000):
+        x = (rng.normal(size=(200, maxent_lm.WIDTH)) * spread).astype(np.float32)
+        target = rng.integers(0, 8, 200)
+        x[:, 8:16] = -1e9
+        log = maxent_lm.log_softmax(x.astype(float))
+        assert np.allclose(maxent_lm.log_likelihood(x.copy(), target), log[np.arange(200), target], rtol=1e-5, atol=1e-4)
+        off = -np.exp(log)
+        off[np.arange(200), target] += 1
+        assert np.allclose(maxent_lm.softmax_off(x.copy(), target), off, atol=1e-4)
+
+
 def test_language_model_learns(spark):
     out = maxent_lm.op7_maxent_lm(spark, SF).collect()
     docs = {i: t for i, t, _ in _documents()}

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,8 @@ ROWS = 1 << 14  # hashed feature rows of either softmax
 BLOCKS = 32  # parts in which weights travel
 ROUNDS = 2
 BATCH = 8192  # tokens of a gradient step
+PART = 2048  # tokens whose logits are held at once
+RUN = 32  # rows that are summed place by place
 RATE = 0.5
 END = b""  # no word is empty
 
@@ -112,16 +114,17 @@ def features(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
     """(tokens, 5) hashed rows of the history before each position in ``at``."""
     a, b, c = (seq[at - d].astype(np.uint64) + np.uint64(1) for d in (1, 2, 3))
     keys = np.stack([a * _MIX[0], b * _MIX[1] + np.uint64(7), c * _MIX[2] + np.uint64(13),
-                     a * _MIX[3] + b * _MIX[4]], axis=1)
+                     a * _MIX[3] + b * _MIX[4]])
     keys = (keys ^ (keys >> np.uint64(31))) * _MIX[1]
-    rows = (keys >> np.uint64(40)) % np.uint64(ROWS - 1) + np.uint64(1)
-    return np.concatenate([np.zeros((len(at), 1), np.int64), rows.astype(np.int64)], axis=1)
+    out = np.zeros((5, len(at)), np.int64)  # a feature's rows lie together
+    out[1:] = ((keys >> np.uint64(40)).astype(np.uint32) % np.uint32(ROWS - 1)) + np.uint32(1)
+    return out.T
 
 
 def joined(rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """The rows of the second softmax: feature and class together."""
-    key = (rows.astype(np.uint64) + np.uint64(1)) * _MIX[2] + (cls.astype(np.uint64) + np.uint64(1))[:, None] * _MIX[0]
-    return (((key ^ (key >> np.uint64(29))) * _MIX[4] >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int64)
+    key = (rows.T.astype(np.uint64) + np.uint64(1)) * _MIX[2] + (cls.astype(np.uint64) + np.uint64(1)) * _MIX[0]
+    return (((key ^ (key >> np.uint64(29))) * _MIX[4] >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int64).T
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
@@ -129,21 +132,56 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _exp_sums(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Takes from each row of the logits ``x`` a number (the target's logit, or the
+    row's largest where exp could overflow) and puts exp in place of them.  Returns
+    the targets' remaining logits and the rows' sums of exp."""
+    own = (np.arange(len(x)), target)
+    x -= x[own][:, None]
+    if not x.max(initial=0.0) < 60:
+        x -= x.max(axis=1, keepdims=True)
+    left = x[own]
+    np.exp(x, out=x)
+    return left, x @ np.ones(x.shape[1], x.dtype)
+
+
 def softmax_off(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The gradient at the logits ``x`` (overwritten): the target less the softmax."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x *= -1.0 / x.sum(axis=1, keepdims=True)
+    _, total = _exp_sums(x, target)
+    x *= (-1.0 / total)[:, None]
     x[np.arange(len(x)), target] += 1.0
     return x
 
 
 def log_likelihood(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The log softmax of the targets alone (``x`` is overwritten)."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), target]
-    np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+    left, total = _exp_sums(x, target)
+    return left - np.log(total)
+
+
+def run_sums(values: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Row i: the sum of the next ``counts[i]`` (at least 1) of the rows ``values[index]``.
+
+    Runs are cut into pieces of at most ``RUN`` rows.  All pieces' first rows are
+    added at once, then all second rows and so on, then the pieces of each run."""
+    first, pieces = np.cumsum(counts) - counts, None
+    if counts.max(initial=0) > RUN:
+        pieces = -(-counts // RUN)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        end = np.repeat(first + counts, pieces)
+        first = np.repeat(first, pieces) + nth * RUN
+        counts = np.minimum(end - first, RUN)
+    by = np.argsort((RUN - counts).astype(np.uint8), kind="stable")  # longest first
+    first = first[by]
+    longer = len(by) - np.cumsum(np.bincount(counts, minlength=RUN + 1))  # [k]: pieces of over k rows
+    out = values.take(index[first], axis=0)
+    for k in range(1, RUN):
+        if not longer[k]:
+            break
+        out[:longer[k]] += values.take(index[first[:longer[k]] + k], axis=0)
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    return out.take(place, axis=0) if pieces is None else run_sums(out, place, pieces)
 
 
 def tokens_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
@@ -168,14 +206,21 @@ def _sequence(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, n
     return seq, at, text, words
 
 
-def logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The sum of each token's feature rows."""
+def logits(weights: np.ndarray, rows: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """The sum of each token's feature rows and of ``start``."""
     out = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
         out += weights.take(rows[:, k], axis=0)
+    if start is not None:
+        out += start
     return out
 
 
+def in_parts(of: Callable[[slice], np.ndarray], n: int) -> np.ndarray:
+    """``of`` every ``PART`` of ``n`` tokens, put together: what it holds stays in the cache."""
+    return np.concatenate([of(slice(i, min(i + PART, n))) for i in range(0, n, PART)])
+
+
 class Weights:
     def __init__(self, classes: np.ndarray, members: np.ndarray):
         self.tables = [classes, members]
@@ -201,13 +246,11 @@ class Trainer:
             self.used[which][0] += len(off)
             self.tables[which][0] += grad * (RATE / np.sqrt(self.square[which][0]))
             rows = rows[:, 1:]
-        flat, width = rows.T.ravel(), off.shape[1]
+        flat = rows.T.ravel()
         times = np.bincount(flat, minlength=ROWS)
         hit = np.flatnonzero(times)
-        place = np.cumsum(times > 0) - 1  # of a row among those hit
-        cells = (place[flat] * width)[:, None] + np.arange(width)
-        grad = np.bincount(cells.ravel(), np.tile(off, (rows.shape[1], 1)).ravel(), len(hit) * width)
-        grad = grad.reshape(len(hit), width).astype(np.float32)
+        by_row = np.argsort(flat.astype(np.min_scalar_type(ROWS)), kind="stable")  # a radix sort
+        grad = run_sums(off, by_row % len(off), times[hit])
         self.square[which][hit] += np.einsum("ij,ij->i", grad, grad)
         self.used[which][hit] += times[hit]
         grad *= (RATE / np.sqrt(self.square[which][hit]))[:, None]
@@ -219,13 +262,13 @@ class Trainer:
             now = at[i:i + BATCH]
             rows, ids = features(seq, now), seq[now]
             cls = vocabulary.cls[ids]
-            self._step(0, rows, softmax_off(logits(self.tables[0], rows), cls), bias=True)
+            self._step(0, rows, in_parts(lambda p: softmax_off(logits(self.tables[0], rows[p]), cls[p]), len(now)),
+                       bias=True)
             few = np.flatnonzero(vocabulary.member[ids] >= 0)
             if len(few):
-                rows = joined(rows[few], cls[few])
-                off = softmax_off(logits(self.tables[1], rows) + vocabulary.open[cls[few]],
-                                  vocabulary.member[ids[few]])
-                self._step(1, rows, off)
+                rows, cls, member = joined(rows[few], cls[few]), cls[few], vocabulary.member[ids[few]]
+                self._step(1, rows, in_parts(lambda p: softmax_off(
+                    logits(self.tables[1], rows[p], vocabulary.open[cls[p]]), member[p]), len(few)))
 
     def changes(self) -> Iterator[tuple[int, int, bytes, bytes]]:
         size = ROWS // BLOCKS
@@ -244,15 +287,16 @@ def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) ->
     seq, at, text, words = _sequence(vocabulary, texts)
     ids = seq[at]
     total = np.zeros(len(at))
-    for i in range(0, len(at), BATCH):
-        now, own = at[i:i + BATCH], ids[i:i + BATCH]
+    for i in range(0, len(at), PART):
+        now, own = at[i:i + PART], ids[i:i + PART]
         rows, cls = features(seq, now), vocabulary.cls[own]
         got = log_likelihood(logits(weights.tables[0], rows), cls) + vocabulary.within[own]
         few = np.flatnonzero(vocabulary.member[own] >= 0)
         if len(few):
-            scores = logits(weights.tables[1], joined(rows[few], cls[few])) + vocabulary.open[cls[few]]
+            cls = cls[few]
+            scores = logits(weights.tables[1], joined(rows[few], cls), vocabulary.open[cls])
             got[few] += log_likelihood(scores, vocabulary.member[own[few]])
-        total[i:i + BATCH] = got
+        total[i:i + PART] = got
     n, top = len(texts), ids < vocabulary.k
     # Other words, but no end (which only a model without texts doesn't know).
     rare = np.flatnonzero(~top & (pc.binary_length(words).to_numpy() > 0))
