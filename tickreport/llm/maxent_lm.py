@@ -132,35 +132,25 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _exp_sums(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Takes from each row of the logits ``x`` a number (the target's logit, or the
-    row's largest where exp could overflow) and puts exp in place of them.  Returns
-    the targets' remaining logits and the rows' sums of exp."""
-    own = (np.arange(len(x)), target)
-    x -= x[own][:, None]
-    if not x.max(initial=0.0) < 60:
-        x -= x.max(axis=1, keepdims=True)
-    left = x[own]
-    np.exp(x, out=x)
-    return left, x @ np.ones(x.shape[1], x.dtype)
-
-
 def softmax_off(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The gradient at the logits ``x`` (overwritten): the target less the softmax."""
-    _, total = _exp_sums(x, target)
-    x *= (-1.0 / total)[:, None]
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= -1.0 / x.sum(axis=1, keepdims=True)
     x[np.arange(len(x)), target] += 1.0
     return x
 
 
 def log_likelihood(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     """The log softmax of the targets alone (``x`` is overwritten)."""
-    left, total = _exp_sums(x, target)
-    return left - np.log(total)
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
 
 
 def run_sums(values: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Row i: the sum of the next ``counts[i]`` (at least 1) of the rows ``values[index]``.
+    """Row i: the sum (in doubles) of the next ``counts[i]`` (at least 1) of the rows ``values[index]``.
 
     Runs are cut into pieces of at most ``RUN`` rows.  All pieces' first rows are
     added at once, then all second rows and so on, then the pieces of each run."""
@@ -174,7 +164,7 @@ def run_sums(values: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.nd
     by = np.argsort((RUN - counts).astype(np.uint8), kind="stable")  # longest first
     first = first[by]
     longer = len(by) - np.cumsum(np.bincount(counts, minlength=RUN + 1))  # [k]: pieces of over k rows
-    out = values.take(index[first], axis=0)
+    out = values.take(index[first], axis=0).astype(float)
     for k in range(1, RUN):
         if not longer[k]:
             break
@@ -216,6 +206,13 @@ def logits(weights: np.ndarray, rows: np.ndarray, start: np.ndarray | None = Non
     return out
 
 
+def keep_freed() -> None:
+    """Frees a large array at once: from then on the C library keeps freed memory of
+    up to twice its size instead of handing it back after every step, whose pages
+    cost more to get again than the step's sums."""
+    np.empty(31 << 20, np.uint8)
+
+
 def in_parts(of: Callable[[slice], np.ndarray], n: int) -> np.ndarray:
     """``of`` every ``PART`` of ``n`` tokens, put together: what it holds stays in the cache."""
     return np.concatenate([of(slice(i, min(i + PART, n))) for i in range(0, n, PART)])
@@ -250,7 +247,7 @@ class Trainer:
         times = np.bincount(flat, minlength=ROWS)
         hit = np.flatnonzero(times)
         by_row = np.argsort(flat.astype(np.min_scalar_type(ROWS)), kind="stable")  # a radix sort
-        grad = run_sums(off, by_row % len(off), times[hit])
+        grad = run_sums(off, by_row % len(off), times[hit]).astype(np.float32)
         self.square[which][hit] += np.einsum("ij,ij->i", grad, grad)
         self.used[which][hit] += times[hit]
         grad *= (RATE / np.sqrt(self.square[which][hit]))[:, None]
@@ -266,7 +263,7 @@ class Trainer:
                        bias=True)
             few = np.flatnonzero(vocabulary.member[ids] >= 0)
             if len(few):
-                rows, cls, member = joined(rows[few], cls[few]), cls[few], vocabulary.member[ids[few]]
+                rows, cls, member = joined(rows.T[:, few].T, cls[few]), cls[few], vocabulary.member[ids[few]]
                 self._step(1, rows, in_parts(lambda p: softmax_off(
                     logits(self.tables[1], rows[p], vocabulary.open[cls[p]]), member[p]), len(few)))
 
@@ -294,7 +291,7 @@ def score_texts(vocabulary: Vocabulary, weights: Weights, texts: list[bytes]) ->
         few = np.flatnonzero(vocabulary.member[own] >= 0)
         if len(few):
             cls = cls[few]
-            scores = logits(weights.tables[1], joined(rows[few], cls), vocabulary.open[cls])
+            scores = logits(weights.tables[1], joined(rows.T[:, few].T, cls), vocabulary.open[cls])
             got[few] += log_likelihood(scores, vocabulary.member[own[few]])
         total[i:i + PART] = got
     n, top = len(texts), ids < vocabulary.k
@@ -348,6 +345,7 @@ def train_round(docs: DataFrame, vocabulary, weights, text_col: str = "text") ->
 
     def learn(batches):
         trainer = None
+        keep_freed()
         for b in batches:
             for piece in slices(b, 0, 1 << 20):
                 trainer = trainer or Trainer(weights.value)
@@ -429,6 +427,7 @@ def lm_scores(docs: DataFrame, model, text_col: str = "text", keep: list[str] |
         T.StructField(ln, T.DoubleType()), T.StructField(others, T.ArrayType(item))])
 
     def run(batches):
+        keep_freed()
         for b in batches:
             for p in slices(b, len(keep), 1 << 20):
                 n, top, known_base, log, rest = score_texts(vocabulary.value, weights.value,
